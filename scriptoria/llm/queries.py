@@ -9,10 +9,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptoria.llm import chat, html_extract, packing, secrets, topk
+from scriptoria.llm import chat, decontaminate, html_extract, packing, ppm, quality, secrets, topk
 from scriptoria.llm.common import table
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in which a test item is found, with the item."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rating of every document, by a model of the labelled ones, and whether it stays."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, quality.graded(table(spark, sf_dir, "labels")))
+    return quality.score(docs, model).withColumn("keep", F.col("p_good") >= quality.KEEP_TAIL)
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
@@ -52,12 +64,17 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_sequences(table(spark, sf_dir, "documents"))
 
 
+def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scores of every document under models of four fifths of them."""
+    return ppm.score_documents(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1)
+
+
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return html_extract.extract_pages(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_secrets": op3_secrets, "op6_topk": op6_topk, "op7_chat": op7_chat, "op8_packing": op8_packing, "op10_html": op10_html}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_decontaminate": op1_decontaminate, "op3_secrets": op3_secrets, "op4_quality": op4_quality, "op6_topk": op6_topk, "op7_chat": op7_chat, "op8_packing": op8_packing, "op9_ppm": op9_ppm, "op10_html": op10_html}
 
 ORACLE_SQL: dict[str, str] = {
     "op6_topk": """
