@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptoria.llm import chat, decontaminate, html_extract, packing, ppm, quality, secrets, topk
+from scriptoria.llm import chat, decontaminate, html_extract, neardup, packing, ppm, quality, secrets, topk
 from scriptoria.llm.common import table
 
 
@@ -25,6 +25,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).withColumn("keep", F.col("p_good") >= quality.KEEP_TAIL)
 
 
+def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near duplicates of every document."""
+    return neardup.classes(table(spark, sf_dir, "documents"))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
@@ -74,7 +79,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_decontaminate": op1_decontaminate, "op3_secrets": op3_secrets, "op4_quality": op4_quality, "op6_topk": op6_topk, "op7_chat": op7_chat, "op8_packing": op8_packing, "op9_ppm": op9_ppm, "op10_html": op10_html}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_decontaminate": op1_decontaminate, "op2_neardup": op2_neardup, "op3_secrets": op3_secrets, "op4_quality": op4_quality, "op6_topk": op6_topk, "op7_chat": op7_chat, "op8_packing": op8_packing, "op9_ppm": op9_ppm, "op10_html": op10_html}
 
 ORACLE_SQL: dict[str, str] = {
     "op6_topk": """
