@@ -19,16 +19,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Writes `df` to the shared checkpoint folder and reads it back, so that a lost executor costs no earlier stage.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: the one that the session names in spark.checkpoint.dir.
 
-    The folder is the one that the session names in spark.checkpoint.dir; only where that is unset (as in
-    tests, on one machine) is a temporary folder made.
+    Only where that is unset (as in tests, on one machine) is a temporary folder made.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Writes `df` to the shared folder and reads it back, so that a lost executor costs no earlier stage."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

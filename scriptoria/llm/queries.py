@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptoria.llm import chat, decontaminate, html_extract, neardup, packing, ppm, quality, secrets, topk
+from scriptoria.llm import chat, decontaminate, html_extract, neardup, packing, passages, ppm, quality, secrets, topk
 from scriptoria.llm.common import table
 
 
@@ -35,6 +35,11 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passages of every document that other documents repeat."""
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best candidates of every hundredth vector."""
     return topk.top_k(table(spark, sf_dir, "embeddings"))
@@ -79,7 +84,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_decontaminate": op1_decontaminate, "op2_neardup": op2_neardup, "op3_secrets": op3_secrets, "op4_quality": op4_quality, "op6_topk": op6_topk, "op7_chat": op7_chat, "op8_packing": op8_packing, "op9_ppm": op9_ppm, "op10_html": op10_html}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_decontaminate": op1_decontaminate, "op2_neardup": op2_neardup, "op3_secrets": op3_secrets, "op4_quality": op4_quality, "op5_passages": op5_passages, "op6_topk": op6_topk, "op7_chat": op7_chat, "op8_packing": op8_packing, "op9_ppm": op9_ppm, "op10_html": op10_html}
 
 ORACLE_SQL: dict[str, str] = {
     "op6_topk": """
