@@ -1,5 +1,6 @@
 """All queries of the reference capabilities."""
 
+from scriptoria.plans import admission, mixing
 from scriptoria.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES"]
+__all__ = ["ORACLES", "QUERIES", "admission", "mixing"]
