@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,9 +32,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Writes `df` to the shared folder and reads it back, so that a lost executor costs no earlier stage."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Writes `df` to a table in the shared folder and reads it back, so that a lost executor costs no earlier stage.
+
+    A table rather than checkpoint(): its rows are packed, and its plan is a plain scan, where a checkpoint
+    keeps what the optimiser has inferred and loops pile that up. As with checkpoints, the files stay until
+    the folder of the application (its id) is removed.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 _ASCII_BREAKS = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
