@@ -119,11 +119,20 @@ def parsed_label_line(lines: DataFrame, value: str = "value") -> DataFrame:
     return out.withColumn("boxes", F.try_variant_get("json", "$", "array<variant>"))
 
 
+_NUMBER = r"(BIGINT|DOUBLE|FLOAT|DECIMAL\(\d+,\d+\))"
+
+
 def box_points(box: Column) -> Column:
-    """The points of a box as doubles; null coordinates for what is not a number. Null if there is no list of points."""
+    """The points of a box as doubles; null coordinates for what is not a number. Null if there is no list of points.
+
+    Points that are numbers throughout are read in one go; only others are looked at one by one.
+    """
+    whole = F.try_variant_get(box, "$.points", "variant")
     points = F.try_variant_get(box, "$.points", "array<variant>")
-    number = lambda v: F.when(F.schema_of_variant(v).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*|INT.*|SMALLINT|TINYINT)$"), F.try_variant_get(v, "$", "double"))
-    return F.transform(points, lambda p: F.transform(F.try_variant_get(p, "$", "array<variant>"), number))
+    number = lambda v: F.when(F.schema_of_variant(v).rlike(f"^{_NUMBER}$"), F.try_variant_get(v, "$", "double"))
+    mixed = F.transform(points, lambda p: F.transform(F.try_variant_get(p, "$", "array<variant>"), number))
+    plain = F.schema_of_variant(whole).rlike(rf"^ARRAY<ARRAY<{_NUMBER}>>$")
+    return F.when(plain, F.try_variant_get(box, "$.points", "array<array<double>>")).otherwise(mixed)
 
 
 def detection(lines: DataFrame, min_area: float = 1.0, max_image_pixels: int = 100_000_000) -> tuple[DataFrame, DataFrame]:
