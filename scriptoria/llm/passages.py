@@ -69,15 +69,15 @@ def merged(starts: list[int]) -> list[tuple[int, int]]:
 def word_offsets(text: str | None) -> list[tuple[int, int]]:
     """Start and end of each word of a text, as common.normal_words() cuts it, in code points."""
     out: list[tuple[int, int]] = []
-    begin = -1
+    begin = last = -1
     for i, char in enumerate(text or ""):
-        for low in char.lower():
+        for low in char.lower():  # of some capitals, a letter and a mark that is a break
             if re.match(r"[^\W_]" if low < "\x80" else r"\w", low):
-                begin = i if begin < 0 else begin
+                begin, last = i if begin < 0 else begin, i
             elif begin >= 0:
-                out.append((begin, i))
+                out.append((begin, last + 1))
                 begin = -1
-    return [*out, (begin, len(text))] if begin >= 0 else out
+    return [*out, (begin, last + 1)] if begin >= 0 else out
 
 
 def _suffixes(texts: DataFrame) -> DataFrame:
@@ -98,15 +98,22 @@ def _suffixes(texts: DataFrame) -> DataFrame:
 
 
 def _extended(texts: DataFrame) -> DataFrame:
-    """(key, node, start): all passages of MIN_WORDS words around the suffixes of each row of `texts` (node, text, ats)."""
+    """(key, node, start): all passages of MIN_WORDS words around the suffixes of each row of `texts` (node, text, copies, ats).
+
+    A text of which there are several copies, and which is long enough, has one more row: start is minus its words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for b in batches:
-            nodes, all_texts, ats = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_pylist(), b.column(2).to_pylist()
+            nodes, all_texts, copies, ats = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()
             for begin, end in text_chunks(all_texts):
                 words, bounds = hasher(all_texts[begin:end])
-                found = [starts_near(words[bounds[i] : bounds[i + 1]], np.array(ats[begin + i], np.int64)) for i in range(end - begin)]
+                found = [starts_near(words[bounds[i] : bounds[i + 1]], np.array(ats[begin + i] or [], np.int64)) for i in range(end - begin)]
+                sizes = np.diff(bounds)
+                whole = [i for i in range(end - begin) if copies[begin + i] > 1 and sizes[i] >= MIN_WORDS]
+                if whole:
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes[begin:end][whole], pa.int64()), pa.array(nodes[begin:end][whole], pa.int64()), pa.array((-sizes[whole]).astype(np.int32))], ["key", "node", "start"])
                 node = np.repeat(nodes[begin:end], [len(f[0]) for f in found])
                 start, key = (np.concatenate([f[k] for f in found]) for k in (0, 1))
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(node, pa.int64()), pa.array(start.astype(np.int32))], ["key", "node", "start"])
@@ -118,7 +125,8 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compares the neighbours of one sorted part (key, node, start): kind 0 is a passage that another text has.
 
     The first and the last run of a key may go on in the next part. Of these, kind 1 tells up to two texts
-    that have the key here; and kind 2 is a passage of which only one text is seen here.
+    that have the key here; and kind 2 is a passage of which only one text is seen here. Kind 3 is a copied text
+    (start below 0), passed on.
     """
     names = ["kind", "key", "node", "start"]
 
@@ -145,6 +153,11 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not b.num_rows:
             continue
         k, n, s = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        if (s < 0).any():
+            yield rows(3, k[s < 0], n[s < 0], s[s < 0])
+            k, n, s = k[s >= 0], n[s >= 0], s[s >= 0]
+            if not len(k):
+                continue
         cuts = np.concatenate([[0], np.flatnonzero(k[1:] != k[:-1]) + 1, [len(k)]])
         begin = 0
         if len(key) and k[0] == key[0]:
@@ -206,8 +219,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     grams = suffixes.groupBy("gram").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("gram")
     grams = cut_lineage(grams)  # so that Spark can split the join for a gram that very many texts have
     kept = suffixes.join(grams, "gram").groupBy("node").agg(F.collect_set("at").alias("ats"))
-    by_text = texts.groupBy("node").agg(F.first("text").alias("text"))
-    passages = _extended(by_text.join(kept, "node").select("node", "text", "ats"))
+    by_text = texts.groupBy("node").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    passages = _extended(by_text.join(kept, "node", "left").where("copies > 1 or ats is not null").select("node", "text", "copies", "ats"))
     ordered = passages.repartitionByRange("key", "node", "start").sortWithinPartitions("key", "node", "start")
     told = cut_lineage(ordered.mapInArrow(_neighbours, "kind int, key long, node long, start int"))
     ends = told.where("kind = 1").groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key")
@@ -218,17 +231,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     spans = F.pandas_udf(merge, "array<struct<start_word:int,end_word:int>>")
     found = cut_lineage(hits.groupBy("node").agg(F.collect_set("start").alias("starts")).select("node", spans("starts").alias("spans")))
-    # Copies of a whole text are as many words as it has.
-    copies = texts.groupBy("node").agg(F.count("*").alias("rows"), F.first("text").alias("text")).where("rows > 1")
-
-    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
-        for b in batches:
-            all_texts = b.column(1).to_pylist()
-            n = [int(x) for begin, end in text_chunks(all_texts) for x in np.diff(hasher(all_texts[begin:end])[1])]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int32())], ["node", "n"])
-
-    whole = cut_lineage(copies.select("node", "text").mapInArrow(count_words, "node long, n int").where(F.col("n") >= MIN_WORDS))
+    whole = told.where("kind = 3").select("node", (-F.col("start")).alias("n"))
     span = F.array(F.struct(F.lit(0).alias("start_word"), F.col("n").alias("end_word")))
     by_node = found.join(whole, "node", "full").select("node", F.when(F.col("n").isNotNull(), span).otherwise(F.col("spans")).alias("spans"), F.col("n").isNotNull().alias("whole_copy"))
     slim = docs.select(F.col(id_col).alias("id"), content(text_col).alias("node"))
