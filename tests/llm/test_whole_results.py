@@ -4,7 +4,8 @@ import itertools
 import random
 
 import numpy as np
-from test_corpus_ops import VOCABULARY, prose
+import pytest
+from test_corpus_ops import VOCABULARY, plain_aligned, prose
 
 from scriptoria.llm import common, neardup
 
@@ -57,3 +58,25 @@ def test_parities_exclude_no_pair():
             b = np.concatenate([a[k:], neardup.mix64(rng.integers(0, 1 << 60, k // 2).astype(np.uint64))])
             x, y = neardup.parities([a, b], 64)
             assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
+
+def test_alignment_of_repeated_shingles():
+    rng = random.Random(13)
+    for _ in range(400):
+        a = [rng.randrange(rng.choice((2, 6, 40))) for _ in range(rng.randint(1, 40))]
+        b = list(a)
+        for _ in range(rng.randint(0, 5)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randint(0, 2)] = [rng.randrange(8)] * rng.randint(0, 2)
+        exact = plain_aligned(a, b)
+        got = neardup.aligned(np.array(a, np.uint64), np.array(b, np.uint64))
+        assert got == pytest.approx(exact if exact >= 0.8 - 1e-12 else 0.0)
+
+
+@pytest.mark.parametrize("length", [8, 12, 20])
+def test_copies_with_a_recurring_line(spark, length):
+    rng = random.Random(14)
+    line, parts = prose(rng, length), [prose(rng, 12) for _ in range(25)]
+    whole = "\n".join(f"{line}\n{p}" for p in parts)
+    df = spark.createDataFrame([(1, whole), (2, whole[len(line) + 1 :]), (3, prose(rng, 300))], "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in neardup.classes(df).collect()} == {1: 1, 2: 1, 3: 3}
