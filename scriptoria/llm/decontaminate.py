@@ -21,6 +21,8 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.6
 #: Least share of the word runs of question and of answer that the passage must hold.
 OVERLAP = 0.6
+#: Least share of the word runs of a whole item that lets its parts be told by their words, as one edit spoils all runs of a short part.
+WHOLE_OVERLAP = 0.8
 SHINGLE = 5
 #: Postings whose best impact is kept together, and bytes of items that one index (and so one broadcast) holds.
 POSTING_BLOCK, SHARD_BYTES = 32, 8 << 20
@@ -191,6 +193,30 @@ def overlap(part: np.ndarray, passage: np.ndarray) -> float:
     return float(np.isin(np.unique(shingle_hashes(part, k)), shingle_hashes(passage, k)).mean())
 
 
+def nearby(part: np.ndarray, passage: np.ndarray) -> float:
+    """Largest share of the distinct words of `part` that stand together in `passage`, in a stretch two words longer than `part`."""
+    if not len(part):
+        return 1.0
+    words = np.unique(part)
+    width = min(len(part) + 2, len(passage))
+    if not width:
+        return 0.0
+    together = np.zeros(len(passage) - width + 1, np.int64)
+    for word in words:
+        at = np.concatenate([[0], np.cumsum(passage == word)])
+        together += at[width:] > at[:-width]
+    return float(together.max() / len(words))
+
+
+def present(item: Item, passage: np.ndarray, question: float, answer: float, least: float) -> bool:
+    """Whether the passage holds the item: both parts by their runs, or nearly all runs of the whole and both parts by runs or words."""
+    if question >= least and answer >= least:
+        return True
+    if overlap(item.words, passage) < WHOLE_OVERLAP:
+        return False
+    return all(share >= least or nearby(part, passage) >= least for part, share in ((item.question, question), (item.answer, answer)))
+
+
 def hits(index: ItemIndex, words: np.ndarray, bounds: np.ndarray, threshold: float = THRESHOLD, least: float = OVERLAP) -> list[tuple[int, int, float, float, float]]:
     """(text, item, score, question overlap, answer overlap) of the verified items of each text; bounds as WordHasher gives them.
 
@@ -210,7 +236,7 @@ def hits(index: ItemIndex, words: np.ndarray, bounds: np.ndarray, threshold: flo
         begin, end = max(begin, int(bounds[text])), min(int(bounds[text + 1]), begin + 2 * stride)
         for i, score in index.search(terms[begin:end], threshold):
             q, a = (overlap(part, words[begin:end]) for part in (index.items[i].question, index.items[i].answer))
-            if q >= least and a >= least:
+            if present(index.items[i], words[begin:end], q, a, least):
                 best[text, i] = max(best.get((text, i), (0.0, 0.0, 0.0)), (score, q, a))
     return [(t, i, *x) for (t, i), x in sorted(best.items())]
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from test_corpus_ops import VOCABULARY, plain_aligned, prose
 
-from scriptoria.llm import common, neardup
+from scriptoria.llm import common, decontaminate, neardup
 
 
 def variants(rng, n, fewest, most):
@@ -80,3 +80,19 @@ def test_copies_with_a_recurring_line(spark, length):
     whole = "\n".join(f"{line}\n{p}" for p in parts)
     df = spark.createDataFrame([(1, whole), (2, whole[len(line) + 1 :]), (3, prose(rng, 300))], "doc_id long, text string")
     assert {r["doc_id"]: r["class_id"] for r in neardup.classes(df).collect()} == {1: 1, 2: 1, 3: 3}
+
+
+def test_items_with_one_word_changed():
+    rng = random.Random(15)
+    items = [(i, prose(rng, 40) + ". " + prose(rng, rng.randint(5, 10)) + ".") for i in range(20)]
+    index, hasher = decontaminate.ItemIndex(items), common.WordHasher()
+    for i, text in items:
+        words = text.split()
+        for at in range(40, len(words)):
+            changed = " ".join([*words[:at], "changed", *words[at + 1 :]])
+            doc = f"{prose(rng, 30)} {changed} {prose(rng, 30)}"
+            passage = hasher([doc])
+            assert decontaminate.overlap(index.items[i].words, passage[0]) >= 0.8
+            assert i in [h[1] for h in decontaminate.hits(index, *passage)]
+        question = f"{prose(rng, 30)} {' '.join(words[:40])} {prose(rng, 30)}"
+        assert not decontaminate.hits(index, *hasher([question]))
