@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -18,6 +19,8 @@ RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noe
 DROPPED = {"script", "style", "noscript", "iframe", "template", "svg", "math", "canvas", "object", "audio", "video", "head", "title", "nav", "footer", "aside", "form", "button", "select", "textarea", "dialog", "menu", "header", "fieldset", "datalist", "xmp", "noembed", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCK = {"address", "article", "blockquote", "body", "center", "dd", "details", "div", "dl", "dt", "fieldset", "figcaption", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "hr", "html", "li", "main", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul", "caption", "hgroup"} | DROPPED - {"button", "svg", "math", "canvas", "object"}
+#: Parts of a line of text; one that is told to be chrome is left out of its line.
+PHRASING = {"a", "abbr", "b", "bdi", "bdo", "cite", "code", "data", "del", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strong", "sub", "sup", "time", "u", "var"}
 CONTAINER = {"article", "body", "div", "main", "section", "td", "center", "blockquote", "html"}
 #: A start tag of the first kind ends open elements of the second, up to the nearest of the third.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"}), "dt": ({"dd", "dt"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
@@ -27,10 +30,12 @@ _MARK = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>
 _ATTR = re.compile(r"""(class|id|role|itemprop|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
 _CHROME = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|adslot|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|notification|alert|newsletter|subscri\w*|signup|sign-up|paywall|"
-    r"sidebar|side-bar|widget|menu|nav|navbar|navigation|breadcrumbs?|share|sharing|social|related|recommend\w*|more-stories|comments?|disqus|respond|replies|reply|"
+    r"rail|sidebar|side-bar|widget|menu|nav|navbar|navigation|breadcrumbs?|share|sharing|social|related|recommend\w*|more-stories|comments?|disqus|respond|replies|reply|"
     r"footer|foot|site-header|page-header|masthead|popup|modal|overlay|toolbar|pagination|pager|tags|skip-link|hidden)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+#: Parts that are dropped whatever they hold: they have no text of a page, or it is not shown.
+_UNSEEN = {"script", "style", "noscript", "iframe", "template", "svg", "math", "canvas", "object", "audio", "video", "head", "title", "button", "select", "textarea", "datalist", "xmp", "noembed", "noframes"}
 _CHROME_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar", "alertdialog"}
 _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
@@ -43,6 +48,12 @@ class Block:
     text: str
     path: tuple[str, ...]
     link_chars: int
+    told: tuple[int, ...] = ()  # open elements that are told to be chrome
+    body: int = -1  # the outermost open article or main
+
+    @property
+    def weight(self) -> int:
+        return max(0, len(self.text) - 2 * self.link_chars)
 
 
 @dataclass
@@ -51,6 +62,8 @@ class _Element:
     label: str | None  # of a container
     dropped: bool
     path: tuple[str, ...] = field(default=())
+    told: bool = False
+    body: bool = False
 
 
 def generalised(tag: str, attributes: dict[str, str]) -> str:
@@ -63,21 +76,63 @@ def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(source)} if source and not source.isspace() else {}
 
 
-def _is_chrome(tag: str, attributes: dict[str, str], stack: list[_Element]) -> bool:
+#: Unseen; chrome unless it holds the page's article; the same, or most of the page's text (a wrapper).
+_KEPT, _DROPPED, _TOLD, _WRAPPER = range(4)
+
+
+def _kind(tag: str, attributes: dict[str, str], stack: list[_Element]) -> int:
+    if tag in _UNSEEN:
+        return _DROPPED
+    if attributes and tag not in ("body", "html", "article", "main"):
+        if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", attributes.get("style", ""), re.IGNORECASE):
+            return _DROPPED
     if tag in DROPPED:
         # An article's own header holds its title.
-        return not (tag == "header" and any(e.tag in ("article", "main") for e in stack))
+        if tag == "header" and any(e.tag in ("article", "main") for e in stack):
+            return _KEPT
+        return _WRAPPER if tag in ("form", "fieldset") else _TOLD
     if not attributes or tag in ("body", "html", "article", "main"):
-        return False
-    if attributes.get("role", "").lower() in _CHROME_ROLES or "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
-        return True
-    if re.search(r"display\s*:\s*none", attributes.get("style", ""), re.IGNORECASE):
-        return True
-    return bool(_CHROME.search(attributes.get("class", "")) or _CHROME.search(attributes.get("id", "")))
+        return _KEPT
+    if attributes.get("role", "").lower() in _CHROME_ROLES:
+        return _WRAPPER if attributes["role"].lower() == "form" else _TOLD
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
+    if any((m := _CHROME.search(x)) and m[0] == x for x in names):
+        return _TOLD
+    return _WRAPPER if any(_CHROME.search(x) for x in names) else _KEPT
+
+
+def _chrome(blocks: list[Block], wrappers: set[int], mains: set[int]) -> set[int]:
+    """Which of the elements that blocks are told by are chrome indeed.
+
+    Elements are numbered in page order. None is that holds a main, or most of the page's text and all of its
+    articles (a wrapper: or no article, if the page has none).
+    """
+    total = sum(b.weight for b in blocks)
+    weight: dict[int, int] = {}
+    inside: dict[int, int] = {}
+    holds_main: set[int] = set()
+    articles = 0
+    for b in blocks:
+        articles += b.body >= 0
+        for e in b.told:
+            weight[e] = weight.get(e, 0) + b.weight
+            if b.body > e:
+                inside[e] = inside.get(e, 0) + 1
+                if b.body in mains:
+                    holds_main.add(e)
+    out = set(weight)
+    for e, w in weight.items():
+        whole = inside.get(e, 0) == articles and (articles > 0 or e in wrappers)
+        if e in holds_main or (whole and 2 * w > total):
+            out.discard(e)
+    return out
 
 
 def blocks_of(page: str | None) -> list[Block]:
-    """The page's text blocks outside dropped parts, in page order. Null, empty and broken pages are read as far as they go."""
+    """The page's text blocks outside dropped parts, in page order. Null, empty and broken pages are read as far as they go.
+
+    Where all text stands in what is told to be chrome, it is all given.
+    """
     if not page:
         return []
     out: list[Block] = []
@@ -85,14 +140,18 @@ def blocks_of(page: str | None) -> list[Block]:
     parts: list[str] = []
     links = in_link = 0
     path: tuple[str, ...] = ()
-    dropped = 0
+    dropped = number = 0
+    told: list[int] = []
+    bodies: list[int] = []
+    wrappers: set[int] = set()
+    mains: set[int] = set()
 
     def flush() -> None:
         nonlocal links
         if parts:
             text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
             if text:
-                out.append(Block(text, path, links))
+                out.append(Block(text, path, links, tuple(told), bodies[0] if bodies else -1))
             parts.clear()
         links = 0
 
@@ -101,6 +160,11 @@ def blocks_of(page: str | None) -> list[Block]:
         while len(stack) > to:
             e = stack.pop()
             dropped -= e.dropped
+            if e.told:
+                flush()
+                told.pop()
+            if e.body:
+                bodies.pop()
             if e.label is not None:
                 path = e.path
 
@@ -130,7 +194,7 @@ def blocks_of(page: str | None) -> list[Block]:
                     if tag in BLOCK or not any(e.tag in BLOCK for e in stack[i + 1 :]):
                         pop(i)
                     break
-                if stack[i].dropped and tag not in DROPPED and tag in ("p", "b", "i", "span", "a"):
+                if (stack[i].dropped or stack[i].told) and tag not in DROPPED and tag in ("p", "b", "i", "span", "a"):
                     break
             continue
         if tag == "br":
@@ -164,14 +228,29 @@ def blocks_of(page: str | None) -> list[Block]:
         if m[3].endswith("/") and tag not in BLOCK:
             continue
         attributes = _attributes(m[3])
-        chrome = _is_chrome(tag, attributes, stack) and not (dropped == 0 and tag in HEADINGS)
+        kind = _kind(tag, attributes, stack) if tag not in HEADINGS else _KEPT
+        if kind >= _TOLD and tag in PHRASING:
+            kind = _DROPPED
         label = generalised(tag, attributes) if tag in CONTAINER else None
-        stack.append(_Element(tag, label, chrome, path))
-        dropped += chrome
+        number += 1
+        if kind >= _TOLD:
+            if tag not in BLOCK:
+                flush()  # text before it does not stand in it
+            told.append(number)
+            if kind == _WRAPPER:
+                wrappers.add(number)
+        body = tag in ("article", "main")
+        if body:
+            bodies.append(number)
+            if tag == "main":
+                mains.add(number)
+        stack.append(_Element(tag, label, kind == _DROPPED, path, kind >= _TOLD, body))
+        dropped += kind == _DROPPED
         if label is not None:
             path = (*path, label)
     flush()
-    return out
+    chrome = _chrome(out, wrappers, mains)
+    return [b for b in out if chrome.isdisjoint(b.told)] or out
 
 
 #: Share of a page's text that a container must hold to stand for the page.
@@ -190,7 +269,7 @@ def score_containers(blocks: list[Block]) -> dict[str, float]:
     weight: dict[tuple[str, ...], int] = {}
     total = 0
     for b in blocks:
-        w = max(0, len(b.text) - 2 * b.link_chars)
+        w = b.weight
         total += w
         for i in range(1, len(b.path) + 1):
             weight[b.path[:i]] = weight.get(b.path[:i], 0) + w
@@ -202,22 +281,39 @@ def score_containers(blocks: list[Block]) -> dict[str, float]:
     return out
 
 
-def text_under(blocks: list[Block], path: str | None) -> str:
-    """The blocks under `path`, or all of them if it is null, one a line."""
+def text_under(blocks: list[Block], path: str | None, repeated: Collection[int] = ()) -> str:
+    """The blocks under `path`, or all of them if it is null, one a line, and in their places those outside that nothing tells to be chrome.
+
+    Outside, a block is chrome if half of it or more is links, or if it is `repeated` on the host's pages.
+    """
     want = tuple(path.split(">")) if path else ()
-    return "\n".join(b.text for b in blocks if b.path[: len(want)] == want)
+    return "\n".join(b.text for b in blocks if b.path[: len(want)] == want or (b.weight and (not repeated or text_key(b.text) not in repeated)))
 
 
-def extract(page: str | None, winners: list[str]) -> str:
-    """The page's text under the first of the host's paths that stands for this page; else under its own best."""
+def text_key(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
+def outside(blocks: list[Block], own: dict[str, float]) -> tuple[int, list[int]]:
+    """Key of the text under the page's own best path, and keys of the blocks outside it."""
+    want = tuple(max(sorted(own), key=own.get).split(">")) if own else ()
+    apart = [b.path[: len(want)] != want for b in blocks]
+    if not any(apart):
+        return 0, []
+    inner = text_key("\n".join(b.text for b, out in zip(blocks, apart, strict=True) if not out))
+    return inner, [text_key(b.text) for b, out in zip(blocks, apart, strict=True) if out and b.weight]
+
+
+def extract(page: str | None, winners: list[str], repeated: Collection[int] = ()) -> str:
+    """The page's text under the first of the host's paths that stands for this page, else under its own best; see text_under()."""
     blocks = blocks_of(page)
     if not blocks:
         return ""
     own = score_containers(blocks)
     for path in winners:
         if path in own:
-            return text_under(blocks, path)
-    return text_under(blocks, max(sorted(own), key=own.get) if own else None)
+            return text_under(blocks, path, repeated)
+    return text_under(blocks, max(sorted(own), key=own.get) if own else None, repeated)
 
 
 #: Winning paths kept for each host, and bytes of winners that are sent to every task; more are joined.
@@ -230,25 +326,46 @@ def host_of(url: str | None) -> str:
 
 
 def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, winners): for each host the paths with most votes, best first. Pages without a host vote together.
+    """(host, winners, repeated): for each host the paths with most votes, best first, and the keys of the blocks
+    outside the pages' own best paths that stand beside two different texts. Pages without a host vote together.
 
     Each task sums the votes of its own pages before they are shuffled, so that a hot host sends a few rows
-    from each task; Spark sums those.
+    from each task; Spark sums those. Of a block only the least and the greatest key of the texts beside it count.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             votes: dict[tuple[str, str], float] = {}
+            beside: dict[tuple[str, int], tuple[int, int]] = {}
             for url, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                host = host_of(url)
-                for path, score in score_containers(blocks_of(page)).items():
+                host, blocks = host_of(url), blocks_of(page)
+                own = score_containers(blocks)
+                for path, score in own.items():
                     votes[host, path] = votes.get((host, path), 0.0) + score
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in votes], pa.string()), pa.array([k[1] for k in votes], pa.string()), pa.array(list(votes.values()), pa.float64())], ["host", "path", "votes"])
-
-    ballots = pages.select(F.col(url_col).cast("string"), F.col(html_col).cast("string")).mapInArrow(run, "host string, path string, votes double")
-    summed = ballots.groupBy("host", "path").agg(F.round(F.sum("votes"), 6).alias("votes"))
-    ranked = summed.groupBy("host").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("votes")).alias("low"), "path"))), 1, PATHS_PER_HOST).alias("best"))
-    return ranked.select("host", F.col("best.path").alias("winners"))
+                inner, keys = outside(blocks, own)
+                for key in keys:
+                    lo, hi = beside.get((host, key), (inner, inner))
+                    beside[host, key] = min(lo, inner), max(hi, inner)
+            none = [None] * len(votes)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([k[0] for k in (*votes, *beside)], pa.string()),
+                    pa.array([*(k[1] for k in votes), *([None] * len(beside))], pa.string()),
+                    pa.array([*votes.values(), *([None] * len(beside))], pa.float64()),
+                    pa.array([*none, *(k[1] for k in beside)], pa.int64()),
+                    pa.array([*none, *(x[0] for x in beside.values())], pa.int64()),
+                    pa.array([*none, *(x[1] for x in beside.values())], pa.int64()),
+                ],
+                ["host", "path", "votes", "block", "lo", "hi"],
+            )
+
+    ballots = pages.select(F.col(url_col).cast("string"), F.col(html_col).cast("string")).mapInArrow(run, "host string, path string, votes double, block long, lo long, hi long")
+    summed = ballots.groupBy("host", "path", "block").agg(F.round(F.sum("votes"), 6).alias("votes"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("path is not null or lo <> hi")
+    ranked = summed.groupBy("host").agg(
+        F.slice(F.array_sort(F.collect_list(F.when(F.col("path").isNotNull(), F.struct((-F.col("votes")).alias("low"), "path")))), 1, PATHS_PER_HOST).alias("best"),
+        F.collect_list("block").alias("repeated"),
+    )
+    return ranked.select("host", F.col("best.path").alias("winners"), "repeated")
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -263,27 +380,27 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     joined by host, and Spark splits a hot host.
     """
     winners = cut_lineage(host_paths(pages, url_col, html_col))
-    size = winners.agg(F.sum(F.length("host") + F.length(F.array_join("winners", ",")) + 64)).first()[0] or 0
+    size = winners.agg(F.sum(F.length("host") + F.length(F.array_join("winners", ",")) + 8 * F.size("repeated") + 64)).first()[0] or 0
     id_type, url_type = (pages.schema[c].dataType.simpleString() for c in (id_col, url_col))
     schema = f"`{id_col}` {id_type}, `{url_col}` {url_type}, text string"
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
     if size <= broadcast_bytes:
-        by_host = dict(winners.toLocalIterator()) if size else {}
-        shared = pages.sparkSession.sparkContext.broadcast({k: list(v) for k, v in by_host.items()})
+        by_host = {r["host"]: (list(r["winners"]), frozenset(r["repeated"])) for r in winners.toLocalIterator()} if size else {}
+        shared = pages.sparkSession.sparkContext.broadcast(by_host)
 
         def with_map(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = shared.value
             for b in batches:
-                texts = [extract(page, known.get(host_of(str(url) if url is not None else None), [])) for url, page in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+                texts = [extract(page, *known.get(host_of(str(url) if url is not None else None), ([], ()))) for url, page in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], [id_col, url_col, "text"])
 
         return rows.mapInArrow(with_map, schema)
 
-    hosted = rows.withColumn("host", F.udf(host_of, "string")(F.col("url").cast("string"))).join(winners, "host", "left").select("id", "url", "html", "winners")
+    hosted = rows.withColumn("host", F.udf(host_of, "string")(F.col("url").cast("string"))).join(winners, "host", "left").select("id", "url", "html", "winners", "repeated")
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [extract(page, paths or []) for page, paths in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+            texts = [extract(page, paths or [], frozenset(told or ())) for page, paths, told in zip(*(b.column(k).to_pylist() for k in (2, 3, 4)), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], [id_col, url_col, "text"])
 
     return hosted.mapInArrow(joined, schema)

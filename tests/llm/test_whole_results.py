@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from test_corpus_ops import VOCABULARY, plain_aligned, prose
 
-from scriptoria.llm import common, decontaminate, neardup
+from scriptoria.llm import common, decontaminate, html_extract, neardup
 
 
 def variants(rng, n, fewest, most):
@@ -96,3 +96,33 @@ def test_items_with_one_word_changed():
             assert i in [h[1] for h in decontaminate.hits(index, *passage)]
         question = f"{prose(rng, 30)} {' '.join(words[:40])} {prose(rng, 30)}"
         assert not decontaminate.hits(index, *hasher([question]))
+
+
+LONG = "".join(f"<p>Sentence {i} of the story goes on for a while.</p>" for i in range(30))
+
+
+def test_article_text_outside_the_winner():
+    lead = "<div class=lead><p>" + "The lead tells in short what happened. " * 12 + "</p></div>"
+    text = html_extract.extract(f"<body>{lead}<div class=content>{LONG}</div></body>", [])
+    assert text.startswith("The lead") and text.count("\n") == 30
+    assert html_extract.extract(f"<main><h1>Title</h1><article>{LONG}</article></main>", []).startswith("Title\nSentence 0")
+
+
+@pytest.mark.parametrize("around", ["div class='layout with-sidebar'", "div class='has-banner page'", "form", "app-root class='no-menu'", "div class=sidebar"])
+def test_chrome_that_holds_the_article(around):
+    page = f"<body><div class=ad>Buy</div><{around}><article>{LONG}<div class=share-bar>Tell all</div></article><div class=sidebar>Side</div></{around.split()[0]}><nav>Home</nav></body>"
+    text = html_extract.extract(page, [])
+    assert text.startswith("Sentence 0") and text.count("\n") == 29
+
+
+def test_chrome_beside_the_article():
+    page = f"<body><div class=content>{LONG}</div><div id=comments><article>A comment</article></div><span class=tags>x</span><aside class=related><article>Other</article></aside></body>"
+    assert html_extract.extract(page, []).count("\n") == 29
+
+
+def test_junk_that_a_host_repeats(spark):
+    page = "<body><div class=top><p>About this house</p></div><div class=intro><p>Lead {0}</p></div><div class=content>" + LONG.replace("story", "story {0}") + "</div></body>"
+    df = spark.createDataFrame([(i, "http://h/", page.format(i // 2)) for i in range(6)], "page_id long, url string, html string")
+    for limit in (1 << 20, -1):
+        for r in html_extract.extract_pages(df, broadcast_bytes=limit).collect():
+            assert r["text"].startswith(f"Lead {r['page_id'] // 2}\nSentence 0") and r["text"].count("\n") == 30
