@@ -127,10 +127,17 @@ def read_coco(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, Dat
     return tuple(doc.select(F.posexplode(name).alias("place", "x")).select("place", "x.*") for name in ("images", "annotations", "categories"))
 
 
+#: Distinct lines that an alphabet file may have; a file of more is refused.
+ALPHABET_LINES = 200_000
+
+
 def read_alphabet(spark: SparkSession, path: str) -> str:
     """The characters of an alphabet file, one a line, and the space. It is a small file by its nature."""
     lines = spark.read.text(path).select(F.regexp_replace("value", "^﻿", "").alias("c")).where("c <> ''").distinct()
-    return "".join(sorted({r[0] for r in lines.limit(200_000).collect()} | {" "}))
+    found = lines.limit(ALPHABET_LINES + 1).collect()
+    if len(found) > ALPHABET_LINES:
+        raise ValueError(f"{path} has more than {ALPHABET_LINES} lines, and so is no alphabet")
+    return "".join(sorted({r[0] for r in found} | {" "}))
 
 
 def read_shard_index(spark: SparkSession, path: str) -> DataFrame:
