@@ -32,8 +32,8 @@ ALLOW = (
     re.compile(r"[0-9]+"),  # numbers
     re.compile(r"[^A-Za-z0-9]+"),  # rules and rows of signs
     re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),  # UUIDs
-    re.compile(r"(?:[A-Za-z]+|[0-9]{1,4})(?:[-_/=+](?:[A-Za-z]*|[0-9]{1,4}))+"),  # names, slugs, paths, dates
-    re.compile(r"(?i)(?:example|sample|dummy|placeholder|xxxx)[A-Za-z0-9+/_=-]*"),
+    re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4})(?:[-_/=+](?:[A-Z]?[a-z]*|[A-Z]*|[0-9]{1,4}))+"),  # names, slugs, paths, dates
+    re.compile(r"(?i)(?:x+|0+|your|my|the|an?|insert|change|me|here|this|example|sample|dummy|placeholder|fake|test|demo|redacted|secret|access|private|public|api|auth|key|token|password|id|[-_=+/])+"),  # placeholders, made of such words only
 )
 _LONG = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 _TERM = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 2)]
@@ -144,7 +144,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """`docs` with every secret in `text_col` replaced by `mark`; all columns and rows stay, null texts stay null."""
+    """`docs` with every secret in `text_col` replaced by `mark`; all columns and rows stay, null texts stay null.
+
+    Empty texts stay empty, repeated rows are repeated in the result, an empty table stays empty. The columns
+    are taken by their places, so extra ones of any name pass through. Texts of any length are taken whole.
+    """
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,4 +164,4 @@ def digest(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
     base = F.filter("secrets", lambda s: s["kind"] != "entropy")
     joined = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     n = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    return scanned.select(id_col, *(n(k) for k in KINDS), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
+    return scanned.select(id_col, *(n(k) for k in KINDS[:3]), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"), n("entropy"))

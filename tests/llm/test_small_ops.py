@@ -56,6 +56,62 @@ def test_entropy_by_increments(text):
     assert got == covered
 
 
+def plain_entropy_spans(text):
+    """Every window of every class by itself; windows of a class that touch are one, stretches of classes that overlap are one."""
+    out = []
+    for run in re.finditer("[A-Za-z0-9+/_=-]+", text or ""):
+        if len(run[0]) < 20 or secrets.allowed(run[0]):
+            continue
+        stretches = []
+        for chars, least in (("0123456789abcdefABCDEF", 3.0), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 3.2), (None, 3.6)):
+            parts, begin = [], None
+            for i, c in enumerate(run[0] + " "):
+                inside = c != " " and (chars is None or c in chars)
+                if inside and begin is None:
+                    begin = i
+                if not inside and begin is not None:
+                    parts.append((begin, i))
+                    begin = None
+            for b, e in parts:
+                if e - b < 20 or secrets.allowed(run[0][b:e]):
+                    continue
+                mine = []
+                for i in range(b, e - 19):
+                    counts = Counter(run[0][i : i + 20])
+                    if -sum(n / 20 * math.log2(n / 20) for n in counts.values()) >= least - 1e-9:
+                        if mine and i <= mine[-1][1]:
+                            mine[-1][1] = i + 20
+                        else:
+                            mine.append([i, i + 20])
+                stretches += mine
+        merged = []
+        for b, e in sorted(stretches):
+            if merged and b < merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], e)
+            else:
+                merged.append([b, e])
+        out += [("entropy", run.start() + b, run.start() + e) for b, e in merged]
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["password=", "token: '", "AKIA", " ", "\n", "é", "0f3a", "9c1e77", "QX7Z2", "Zx8Qp2Lm9Rt4Vb7N", "y1Kd6Ws3", "example", "xxxx", "-", "/", "=", "some", "Word", "2024", "deadbeefdeadbeef"]) | st.text("abcdef0123456789ABCDEFGHXYZ+/_=-", max_size=24), max_size=14).map("".join))
+def test_whole_texts_against_a_plain_scan(text):
+    want = plain_base(text) + plain_entropy_spans(text)
+    want.sort(key=lambda s: (s[1], secrets.KINDS.index(s[0])))
+    assert [(k, b, e) for b, e, k in secrets.find_spans(text)] == want
+
+
+def test_placeholders_do_not_hide_keys(spark):
+    key = "Zx8Qp2Lm9Rt4Vb7Ny1Kd6Ws3"
+    for before in ("xxxx", "sample", "example-", "dummy_"):
+        assert any(k == "entropy" for *_, k in secrets.find_spans(before + key)), before
+    for harmless in ("your_api_key_here_xxxxxxxx", "XXXXXXXXXXXXXXXXXXXXXXXX", "example-secret-access-key", "EXAMPLE_TOKEN_PLACEHOLDER"):
+        assert secrets.find_spans(harmless) == [], harmless
+    columns = secrets.digest(secrets.scan(spark.createDataFrame([(1, "x")], "doc_id long, text string"))).columns
+    assert columns == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_entropy"]
+
+
 # --- chat
 
 
