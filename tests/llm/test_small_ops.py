@@ -174,15 +174,47 @@ def cheapest(lengths, capacities):
     return best
 
 
-@settings(max_examples=40, deadline=None)
-@given(st.lists(st.integers(1, 64), min_size=1, max_size=6))
-def test_packing_is_near_the_cheapest(lengths):
+def priced(bins):
+    return sum(packing.cost(c) for c, _ in bins)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 64), min_size=1, max_size=8))
+def test_few_pieces_are_packed_at_the_least_cost(lengths):
     capacities = (16, 32, 64)
     lengths = sorted(lengths, reverse=True)
     bins = packing.pack(lengths, capacities)
     assert sorted(i for _, b in bins for i in b) == list(range(len(lengths)))
     assert all(c == min(x for x in capacities if x >= sum(lengths[i] for i in b)) for c, b in bins)
-    assert sum(packing.cost(c) for c, _ in bins) <= 1.5 * cheapest(lengths, capacities)
+    assert priced(bins) == cheapest(lengths, capacities)
+
+
+def test_lengths_are_chosen_jointly():
+    assert priced(packing.pack([508, 428, 331, 191])) == 1568
+    rng = np.random.default_rng(3)
+    for n in (9, 12, 300, 5000):
+        lengths = sorted((int(x) for x in np.minimum(4096, rng.lognormal(5, 1.2, n))), reverse=True)
+        bins = packing.pack(lengths)
+        assert sorted(i for _, b in bins for i in b) == list(range(n))
+        assert all(sum(lengths[i] for i in b) <= c for c, b in bins)
+        single = [sum(packing.cost(packing.fitting(sum(lengths[i] for i in b), packing.CAPACITIES)) for b in packing.pack_opening(lengths, packing.CAPACITIES, c)) for c in packing.CAPACITIES]
+        assert sum(lengths) <= priced(bins) <= min(single)
+
+
+def test_joint_packing_is_near_the_cheapest(monkeypatch):
+    monkeypatch.setattr(packing, "TRIED", 3)
+    rng = np.random.default_rng(4)
+    capacities, worst = (16, 32, 64), 1.0
+    for _ in range(150):
+        lengths = sorted(map(int, rng.integers(1, 65, rng.integers(4, 8))), reverse=True)
+        worst = max(worst, priced(packing.pack(lengths, capacities)) / cheapest(lengths, capacities))
+    assert worst < 1.3
+
+
+def test_a_row_repeated_very_often(spark):
+    df = spark.range(100_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("a b c").alias("text"))
+    shards = packing.pack_sequences(df).groupBy(F.substring_index("bin_id", "-", 1).alias("shard")).agg(F.count("*").alias("n"), F.sum("n_tokens").alias("t")).collect()
+    assert len(shards) == 13 and max(r["n"] for r in shards) < 2 * packing.SHARD_PIECES and sum(r["t"] for r in shards) == 400_000
 
 
 # --- top-k
