@@ -16,9 +16,9 @@ from scriptoria.llm.common import cut_lineage
 
 # Names of HTML elements by their part in a page.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes"}
-DROPPED = {"script", "style", "noscript", "iframe", "template", "svg", "math", "canvas", "object", "audio", "video", "head", "title", "nav", "footer", "aside", "form", "button", "select", "textarea", "dialog", "menu", "header", "fieldset", "datalist", "xmp", "noembed", "noframes"}
+DROPPED = {"script", "style", "noscript", "iframe", "template", "svg", "canvas", "audio", "video", "head", "title", "nav", "footer", "aside", "form", "button", "select", "textarea", "dialog", "menu", "header", "datalist", "noembed", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-BLOCK = {"address", "article", "blockquote", "body", "center", "dd", "details", "div", "dl", "dt", "fieldset", "figcaption", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "hr", "html", "li", "main", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul", "caption", "hgroup"} | DROPPED - {"button", "svg", "math", "canvas", "object"}
+BLOCK = {"address", "article", "blockquote", "body", "center", "dd", "details", "div", "dl", "dt", "fieldset", "figcaption", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "hr", "html", "li", "main", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul", "caption", "hgroup"} | DROPPED - {"button", "svg", "canvas"}
 #: Parts of a line of text; one that is told to be chrome is left out of its line.
 PHRASING = {"a", "abbr", "b", "bdi", "bdo", "cite", "code", "data", "del", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strong", "sub", "sup", "time", "u", "var"}
 CONTAINER = {"article", "body", "div", "main", "section", "td", "center", "blockquote", "html"}
@@ -27,15 +27,21 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"}), "d
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 _MARK = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|</?[A-Za-z][^>]*+>?""", re.DOTALL)
-_ATTR = re.compile(r"""(class|id|role|itemprop|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
+_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
+#: Attributes that tell something of an element.
+_TELLING = {"class", "id", "role", "hidden", "aria-hidden", "style"}
+#: Words that tell chrome: as a whole class or id; and of a part of the page (a division, section or list) as one of the hyphenated parts of it, too.
 _CHROME = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|adslot|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|notification|alert|newsletter|subscri\w*|signup|sign-up|paywall|"
+    r"(?:ad|ads|adv|advert\w*|adsense|adslot|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|notification|alert|newsletter|subscri\w*|signup|sign-up|paywall|"
     r"rail|sidebar|side-bar|widget|menu|nav|navbar|navigation|breadcrumbs?|share|sharing|social|related|recommend\w*|more-stories|comments?|disqus|respond|replies|reply|"
-    r"footer|foot|site-header|page-header|masthead|popup|modal|overlay|toolbar|pagination|pager|tags|skip-link|hidden)(?:$|[\s_-])",
+    r"footer|foot|site-header|page-header|masthead|popup|modal|overlay|toolbar|pagination|pager|tags|skip-link|hidden)",
     re.IGNORECASE,
 )
+_PART = re.compile(rf"(?:^|[_-]){_CHROME.pattern}(?:$|[_-])", re.IGNORECASE)
+#: Parts of a page, of which a hyphenated name tells what they are; a paragraph or a heading is named for its looks.
+_PARTS = {"div", "section", "ul", "ol", "table", "aside", "center", "dl", "details", "article"}
 #: Parts that are dropped whatever they hold: they have no text of a page, or it is not shown.
-_UNSEEN = {"script", "style", "noscript", "iframe", "template", "svg", "math", "canvas", "object", "audio", "video", "head", "title", "button", "select", "textarea", "datalist", "xmp", "noembed", "noframes"}
+_UNSEEN = {"script", "style", "noscript", "iframe", "template", "svg", "canvas", "audio", "video", "head", "title", "button", "select", "textarea", "datalist", "noembed", "noframes"}
 _CHROME_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar", "alertdialog"}
 _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
@@ -69,11 +75,18 @@ class _Element:
 def generalised(tag: str, attributes: dict[str, str]) -> str:
     """Tag and sorted classes (the id where there is no class), with digits taken as one sign, so that pages of a template agree."""
     names = sorted(set((attributes.get("class") or attributes.get("id") or "").lower().split()))
-    return _DIGITS.sub("0", ".".join([tag, *names[:4]]))
+    return _DIGITS.sub("0", ".".join([tag, *names]))
 
 
 def _attributes(source: str) -> dict[str, str]:
-    return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(source)} if source and not source.isspace() else {}
+    """The telling attributes of a start tag. They are read one by one from its beginning, so that no name is seen in a value; of several of a name the first counts."""
+    out: dict[str, str] = {}
+    if source and not source.isspace():
+        for m in _ATTR.finditer(source):
+            name = m[1].lower()
+            if name in _TELLING and name not in out:
+                out[name] = html.unescape(m[2] or m[3] or m[4] or "")
+    return out
 
 
 #: Unseen; chrome unless it holds the page's article; the same, or most of the page's text (a wrapper).
@@ -90,15 +103,16 @@ def _kind(tag: str, attributes: dict[str, str], stack: list[_Element]) -> int:
         # An article's own header holds its title.
         if tag == "header" and any(e.tag in ("article", "main") for e in stack):
             return _KEPT
-        return _WRAPPER if tag in ("form", "fieldset") else _TOLD
+        return _WRAPPER if tag == "form" else _TOLD
     if not attributes or tag in ("body", "html", "article", "main"):
         return _KEPT
     if attributes.get("role", "").lower() in _CHROME_ROLES:
         return _WRAPPER if attributes["role"].lower() == "form" else _TOLD
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
-    if any((m := _CHROME.search(x)) and m[0] == x for x in names):
+    if any(_CHROME.fullmatch(x) for x in names):
         return _TOLD
-    return _WRAPPER if any(_CHROME.search(x) for x in names) else _KEPT
+    named = tag in _PARTS or "-" in tag or tag in ("form", "body", "html")
+    return _WRAPPER if named and any(_PART.search(x) for x in names) else _KEPT
 
 
 def _chrome(blocks: list[Block], wrappers: set[int], mains: set[int]) -> set[int]:
@@ -294,9 +308,9 @@ def text_key(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
-def outside(blocks: list[Block], own: dict[str, float]) -> tuple[int, list[int]]:
+def outside(blocks: list[Block], best: str | None) -> tuple[int, list[int]]:
     """Key of the text under the page's own best path, and keys of the blocks outside it."""
-    want = tuple(max(sorted(own), key=own.get).split(">")) if own else ()
+    want = tuple(best.split(">")) if best else ()
     apart = [b.path[: len(want)] != want for b in blocks]
     if not any(apart):
         return 0, []
@@ -304,20 +318,18 @@ def outside(blocks: list[Block], own: dict[str, float]) -> tuple[int, list[int]]
     return inner, [text_key(b.text) for b, out in zip(blocks, apart, strict=True) if out and b.weight]
 
 
-def extract(page: str | None, winners: list[str], repeated: Collection[int] = ()) -> str:
-    """The page's text under the first of the host's paths that stands for this page, else under its own best; see text_under()."""
+def extract(page: str | None, votes: dict[str, float], repeated: Collection[int] = ()) -> str:
+    """The page's text under that of its own qualifying paths which has most votes of the host, else under its own best; see text_under()."""
     blocks = blocks_of(page)
     if not blocks:
         return ""
     own = score_containers(blocks)
-    for path in winners:
-        if path in own:
-            return text_under(blocks, path, repeated)
-    return text_under(blocks, max(sorted(own), key=own.get) if own else None, repeated)
+    path = best_of({p: votes[p] for p in own if p in votes})
+    return text_under(blocks, path if path is not None else best_of(own), repeated)
 
 
-#: Winning paths kept for each host, and bytes of winners that are sent to every task; more are joined.
-PATHS_PER_HOST, BROADCAST_BYTES = 8, 16 << 20
+#: Bytes of the vote's outcome that are sent to every task; more is joined.
+BROADCAST_BYTES = 16 << 20
 
 
 def host_of(url: str | None) -> str:
@@ -325,9 +337,17 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, winners, repeated): for each host the paths with most votes, best first, and the keys of the blocks
-    outside the pages' own best paths that stand beside two different texts. Pages without a host vote together.
+def best_of(scores: dict[str, float]) -> str | None:
+    """The path with the highest score; of several the least."""
+    return min(scores, key=lambda p: (-scores[p], p)) if scores else None
+
+
+def host_votes(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(host, path, votes, block): the outcome of the vote of each host's pages. Pages without a host vote together.
+
+    Each page votes for its own best path, with that path's score. A row without a path has the key of a block
+    outside the pages' own best paths that stands beside two different texts. Nothing is left out, and no list
+    is made of what a host has: its paths are rows.
 
     Each task sums the votes of its own pages before they are shuffled, so that a hot host sends a few rows
     from each task; Spark sums those. Of a block only the least and the greatest key of the texts beside it count.
@@ -340,9 +360,10 @@ def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
             for url, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 host, blocks = host_of(url), blocks_of(page)
                 own = score_containers(blocks)
-                for path, score in own.items():
-                    votes[host, path] = votes.get((host, path), 0.0) + score
-                inner, keys = outside(blocks, own)
+                path = best_of(own)
+                if path is not None:
+                    votes[host, path] = votes.get((host, path), 0.0) + own[path]
+                inner, keys = outside(blocks, path)
                 for key in keys:
                     lo, hi = beside.get((host, key), (inner, inner))
                     beside[host, key] = min(lo, inner), max(hi, inner)
@@ -360,12 +381,8 @@ def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
             )
 
     ballots = pages.select(F.col(url_col).cast("string"), F.col(html_col).cast("string")).mapInArrow(run, "host string, path string, votes double, block long, lo long, hi long")
-    summed = ballots.groupBy("host", "path", "block").agg(F.round(F.sum("votes"), 6).alias("votes"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("path is not null or lo <> hi")
-    ranked = summed.groupBy("host").agg(
-        F.slice(F.array_sort(F.collect_list(F.when(F.col("path").isNotNull(), F.struct((-F.col("votes")).alias("low"), "path")))), 1, PATHS_PER_HOST).alias("best"),
-        F.collect_list("block").alias("repeated"),
-    )
-    return ranked.select("host", F.col("best.path").alias("winners"), "repeated")
+    summed = ballots.groupBy("host", "path", "block").agg(F.round(F.sum("votes"), 6).alias("votes"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return summed.where("path is not null or lo <> hi").select("host", "path", "votes", "block")
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -373,34 +390,59 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
     Null and empty pages have the text ''; a page without a container that stands for it gives all its kept
     blocks; null urls are one host; repeated rows and null ids stay; an empty table gives an empty result.
-    Other columns are not read. Texts are whole, whatever their length.
+    Other columns are not read. Texts are whole, whatever their length. Paths with as many votes go by name.
 
     The votes are counted in a first pass over the pages. Their outcome is a few paths a host; where it is
-    within `broadcast_bytes` it goes to every task and the pages are not shuffled, else pages and outcome are
-    joined by host, and Spark splits a hot host.
+    within `broadcast_bytes` it goes to every task and the pages are not shuffled. Else each page asks, in
+    slim rows, for the votes of its own paths and for its own blocks, and what it is told is joined to it.
     """
-    winners = cut_lineage(host_paths(pages, url_col, html_col))
-    size = winners.agg(F.sum(F.length("host") + F.length(F.array_join("winners", ",")) + 8 * F.size("repeated") + 64)).first()[0] or 0
+    votes = cut_lineage(host_votes(pages, url_col, html_col))
+    size = votes.agg(F.sum(F.length("host") + F.coalesce(F.length("path"), F.lit(0)) + 64)).first()[0] or 0
     id_type, url_type = (pages.schema[c].dataType.simpleString() for c in (id_col, url_col))
     schema = f"`{id_col}` {id_type}, `{url_col}` {url_type}, text string"
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
     if size <= broadcast_bytes:
-        by_host = {r["host"]: (list(r["winners"]), frozenset(r["repeated"])) for r in winners.toLocalIterator()} if size else {}
-        shared = pages.sparkSession.sparkContext.broadcast(by_host)
+        known: dict[str, tuple[dict[str, float], set[int]]] = {}
+        for r in votes.toLocalIterator():
+            paths, repeated = known.setdefault(r["host"], ({}, set()))
+            if r["path"] is not None:
+                paths[r["path"]] = r["votes"]
+            else:
+                repeated.add(r["block"])
+        shared = pages.sparkSession.sparkContext.broadcast(known)
 
         def with_map(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = shared.value
+            known, none = shared.value, ({}, set())
             for b in batches:
-                texts = [extract(page, *known.get(host_of(str(url) if url is not None else None), ([], ()))) for url, page in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+                texts = [extract(page, *known.get(host_of(str(url) if url is not None else None), none)) for url, page in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], [id_col, url_col, "text"])
 
         return rows.mapInArrow(with_map, schema)
 
-    hosted = rows.withColumn("host", F.udf(host_of, "string")(F.col("url").cast("string"))).join(winners, "host", "left").select("id", "url", "html", "winners", "repeated")
+    # A page is told by its url and html: pages that are the same in these have the same text.
+    key = F.md5(F.concat_ws("\n", F.coalesce(F.col("url").cast("string"), F.lit("")), F.coalesce(F.col("html"), F.lit("")))).alias("key")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[tuple] = []
+            for k, url, page in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                host, blocks = host_of(url), blocks_of(page)
+                own = score_containers(blocks)
+                out += [(k, host, path, None) for path in own]
+                out += [(k, host, None, x) for x in {text_key(x.text) for x in blocks if x.weight}]
+            kinds = (pa.string(), pa.string(), pa.string(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], ["key", "host", "path", "block"])
+
+    asked = cut_lineage(rows.select(key, F.col("url").cast("string").alias("url"), "html").mapInArrow(ask, "key string, host string, path string, block long"))
+    paths = asked.where("path is not null").select("key", "host", "path").join(votes.where("path is not null").select("host", "path", "votes"), ["host", "path"])
+    best = cut_lineage(paths.groupBy("key").agg(F.min(F.struct((-F.col("votes")).alias("low"), "path")).alias("best")).select("key", F.col("best.path").alias("path")))
+    blocks = asked.where("path is null").select("key", "host", "block").join(votes.where("path is null").select("host", "block"), ["host", "block"])
+    repeated = cut_lineage(blocks.groupBy("key").agg(F.collect_set("block").alias("repeated")))  # of the page's own blocks
+    told = rows.withColumn("key", key).join(best, "key", "left").join(repeated, "key", "left").select("id", "url", "html", "path", "repeated")
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [extract(page, paths or [], frozenset(told or ())) for page, paths, told in zip(*(b.column(k).to_pylist() for k in (2, 3, 4)), strict=True)]
+            texts = [extract(page, {path: 1.0} if path is not None else {}, frozenset(told or ())) for page, path, told in zip(*(b.column(k).to_pylist() for k in (2, 3, 4)), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], [id_col, url_col, "text"])
 
-    return hosted.mapInArrow(joined, schema)
+    return told.mapInArrow(joined, schema)

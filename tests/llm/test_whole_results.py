@@ -104,21 +104,21 @@ LONG = "".join(f"<p>Sentence {i} of the story goes on for a while.</p>" for i in
 
 def test_article_text_outside_the_winner():
     lead = "<div class=lead><p>" + "The lead tells in short what happened. " * 12 + "</p></div>"
-    text = html_extract.extract(f"<body>{lead}<div class=content>{LONG}</div></body>", [])
+    text = html_extract.extract(f"<body>{lead}<div class=content>{LONG}</div></body>", {})
     assert text.startswith("The lead") and text.count("\n") == 30
-    assert html_extract.extract(f"<main><h1>Title</h1><article>{LONG}</article></main>", []).startswith("Title\nSentence 0")
+    assert html_extract.extract(f"<main><h1>Title</h1><article>{LONG}</article></main>", {}).startswith("Title\nSentence 0")
 
 
 @pytest.mark.parametrize("around", ["div class='layout with-sidebar'", "div class='has-banner page'", "form", "app-root class='no-menu'", "div class=sidebar"])
 def test_chrome_that_holds_the_article(around):
     page = f"<body><div class=ad>Buy</div><{around}><article>{LONG}<div class=share-bar>Tell all</div></article><div class=sidebar>Side</div></{around.split()[0]}><nav>Home</nav></body>"
-    text = html_extract.extract(page, [])
+    text = html_extract.extract(page, {})
     assert text.startswith("Sentence 0") and text.count("\n") == 29
 
 
 def test_chrome_beside_the_article():
     page = f"<body><div class=content>{LONG}</div><div id=comments><article>A comment</article></div><span class=tags>x</span><aside class=related><article>Other</article></aside></body>"
-    assert html_extract.extract(page, []).count("\n") == 29
+    assert html_extract.extract(page, {}).count("\n") == 29
 
 
 def test_junk_that_a_host_repeats(spark):
@@ -136,3 +136,100 @@ def test_alphabet_is_whole_or_refused(spark, tmp_path):
         read_alphabet(spark, str(file))
     file.write_text("b\na\nb")
     assert read_alphabet(spark, str(file)) == " ab"
+
+
+@pytest.mark.parametrize(
+    "part, kept",
+    [
+        ("<p title='the hidden valley'>Part</p>", True),
+        ("<p><img alt='role=navigation'>Part</p>", True),
+        ("<p class='notice-period'>Part</p>", True),
+        ("<p>Formula <math><mi>Part</mi></math> end</p>", True),
+        ("<fieldset><legend>Part</legend></fieldset>", True),
+        ("<p hidden>Part</p>", False),
+        ("<div class='cookie-notice'>Part</div>", False),
+        ("<p class='notice'>Part</p>", False),
+        ("<div id='comments' width='100'><p>Part</p></div>", False),
+        ("<div role=navigation>Part</div>", False),
+        ("<form><p>Part</p></form>", False),
+        ("<div data-x='a > b' class=ad>Part</div>", False),
+    ],
+)
+def test_attributes_and_parts_of_an_article(part, kept):
+    text = html_extract.extract(f"<body><article>{LONG}{part}</article><footer>x</footer></body>", {})
+    assert ("Part" in text) == kept and text.count("goes on") == 30
+
+
+def test_paths_with_many_classes_and_templates(spark):
+    """Twelve templates of six classes each on one hot host: each page is read by its own template's path, sent or joined."""
+    pages = []
+    for k in range(12):
+        names = " ".join(f"{chr(97 + k)}{c}" for c in "qrstuv")
+        for i in range(3):
+            body = LONG.replace("story", f"story {'abcdefghijkl'[k]} {'xyz'[i]}")
+            pages.append((10 * k + i, "http://hot/", f"<body><div class='junk'><p>Junk beside {'abcdefghijkl'[k]}</p></div><div class='{names}'>{body}</div></body>"))
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    paths = {r["path"] for r in html_extract.host_votes(df).where("path is not null").collect()}
+    assert len(paths) == 12 and all(p.count(".") == 6 for p in paths)
+    for limit in (1 << 20, -1):
+        got = html_extract.extract_pages(df, broadcast_bytes=limit).collect()
+        assert len(got) == 36 and all(r["text"].count("\n") == 29 and "Junk" not in r["text"] for r in got)
+
+
+def plain_extraction(pages):
+    """The vote and the second reading, page by page, on pages made of nested divisions with classes and paragraphs only."""
+    import re
+
+    def blocks(page):
+        path, out = [], []
+        for close, name, attr, text in re.findall(r"<(/?)(body|div|p)(?: class=(\w+))?>([^<]*)", page):
+            if close:
+                path.pop()
+            else:
+                path.append(re.sub(r"\d+", "0", f"{name}.{attr}" if attr else name))
+            if text:
+                out.append((tuple(x for x in path if not x.startswith("p")), text))
+        return out
+
+    def scores(found):
+        total = sum(len(t) for _, t in found)
+        out = {}
+        for path in {p[:i] for p, _ in found for i in range(1, len(p) + 1)}:
+            held = sum(len(t) for p, t in found if p[: len(path)] == path)
+            if held >= 0.7 * total:
+                out[path] = held / total + 0.4 * (".content" in path[-1]) + 0.02 * len(path)
+        return out
+
+    votes, beside = {}, {}
+    for url, page in pages:
+        found = blocks(page)
+        own = scores(found)
+        best = min(own, key=lambda p: (-own[p], ">".join(p)))
+        votes[url, best] = votes.get((url, best), 0) + own[best]
+        inner = "\n".join(t for p, t in found if p[: len(best)] == best)
+        for p, t in found:
+            if p[: len(best)] != best:
+                beside.setdefault((url, t), set()).add(inner)
+    out = []
+    for url, page in pages:
+        found = blocks(page)
+        own = scores(found)
+        told = [p for p in own if (url, p) in votes]
+        best = min(told, key=lambda p: (-votes[url, p], ">".join(p))) if told else min(own, key=lambda p: (-own[p], ">".join(p)))
+        out.append("\n".join(t for p, t in found if p[: len(best)] == best or len(beside.get((url, t), ())) < 2))
+    return out
+
+
+def test_generated_pages_against_a_plain_vote(spark):
+    rng = random.Random(21)
+
+    def division(depth):
+        inner = "".join(division(depth - 1) if depth and rng.random() < 0.5 else f"<p>{prose(rng, rng.randint(1, 30)) if rng.random() < 0.8 else 'the same junk everywhere'}</p>" for _ in range(rng.randint(1, 3)))
+        return f"<div class={rng.choice(['content', 'box', 'x1', 'x2', 'outer'])}>{inner}</div>"
+
+    pages = [(i, f"h{i % 4}", f"<body>{''.join(division(3) for _ in range(rng.randint(1, 3)))}</body>") for i in range(120)]
+    df = spark.createDataFrame([(i, f"http://{h}/", p) for i, h, p in pages], "page_id long, url string, html string")
+    want = plain_extraction([(h, p) for _, h, p in pages])
+    for limit in (1 << 20, -1):
+        got = {r["page_id"]: r["text"] for r in html_extract.extract_pages(df, broadcast_bytes=limit).collect()}
+        assert [got[i] for i in range(120)] == want
