@@ -236,8 +236,8 @@ def test_topk(spark):
     vectors += [(i, vectors[0][1]) for i in range(120, 160)] + [(10, vectors[10][1]), (10, vectors[3][1]), (10, vectors[10][1])]
     vectors += [(200, None), (201, [None] * 8), (202, [math.nan] * 8), (203, [math.inf] * 8), (None, vectors[1][1]), (210, [1.0, 2.0]), (211, [0.0] * 8), (220, [0.0] * 8), (230, [1e9] * 8), (240, [])]
     df = spark.createDataFrame([(*v, "clash") for v in vectors], "vec_id long, embedding array<double>, score string")
-    for block in (4096, 30):
-        got = sorted(map(tuple, topk.top_k(df, k=4, every=10, block_rows=block, block_queries=7).collect()))
+    for block, chunk in ((4096, 1 << 20), (30, 700)):  # blocks hand on their bounds; several chunks of queries
+        got = sorted(map(tuple, topk.top_k(df, k=4, every=10, block_rows=block, chunk_bytes=chunk).collect()))
         assert got == plain_top(vectors, 4, 10)
     assert topk.top_k(df.limit(0)).count() == 0
 
@@ -246,9 +246,22 @@ def test_threshold_stops_early():
     rng = np.random.default_rng(1)
     matrix = np.floor(1024 * rng.exponential(size=(4000, 4)) ** 3)
     lists = topk.SortedLists(np.arange(4000), matrix)
-    best, score, read = lists.top(matrix[7], 7, 10)
-    exact = np.lexsort((np.arange(4000), -np.where(np.arange(4000) == 7, -1, matrix @ matrix[7])))[:10]
+    best, score, read = lists.top(matrix[7], 10)
+    exact = np.lexsort((np.arange(4000), -(matrix @ matrix[7])))[:10]
     assert best.tolist() == exact.tolist() and read < 2000
+    after = lists.top(matrix[7], 10, float(score[3]))
+    assert after[0][:4].tolist() == exact[:4].tolist() and after[2] <= read
+
+
+def test_bounds_pass_from_block_to_block():
+    rng = np.random.default_rng(2)
+    rows_ = np.floor(rng.normal(size=(3000, 8)) * 50)
+    best = topk.Best(list(rows_[:20]), 7)
+    for b in range(0, 3000, 250):
+        best.add(np.arange(b, b + 250), rows_[b : b + 250])
+    for i in range(20):
+        exact = np.lexsort((np.arange(3000), -(rows_ @ rows_[i])))[:7]
+        assert best.ids[i].tolist() == exact.tolist()
 
 
 @pytest.mark.parametrize("name", ["op6_topk", "op7_chat"])
