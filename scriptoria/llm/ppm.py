@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scriptoria.llm.common import cut_lineage, text_chunks
@@ -143,6 +144,17 @@ class GramTable:
         return self.chances[at]
 
 
+_TABLES: dict[str, GramTable] = {}
+
+
+def _kept_table(mark: str, model: tuple[np.ndarray, np.ndarray]) -> GramTable:
+    """The table of the model named `mark`, made once in each Python worker and kept until another is asked for."""
+    if mark not in _TABLES:
+        _TABLES.clear()
+        _TABLES[mark] = GramTable(*model)
+    return _TABLES[mark]
+
+
 def count_grams(docs: DataFrame) -> DataFrame:
     """(gram, n): every gram of `docs` (text, learn), and how often it occurs where `learn` holds."""
 
@@ -193,8 +205,9 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
 
     Counts are summed in the tasks before Spark adds them up. Documents are dealt into blocks of about
     BLOCK_BYTES by a hash of id and text; a block asks for the counts of its own words only, so no task holds
-    the vocabulary. The grams of a block are looked up in the whole model where that is within
-    `broadcast_bytes`, else in what the block asks for, as with words.
+    the vocabulary. A block's documents stream through its task and are not held, so a row that is repeated
+    very often, whose copies share a block, takes time but no memory. The grams of a block are looked up in
+    the whole model where that is within `broadcast_bytes`, else in what the block asks for, as with words.
     """
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -206,84 +219,108 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
     n_grams = model.count()
     small = n_grams * 12 <= broadcast_bytes
 
-    def ask(table: pa.Table) -> pa.Table:
-        n: Counter[bytes] = Counter()
-        only: set[bytes] = set()
-        codes: list[np.ndarray] = []
-        texts, learns = table.column("text").to_pylist(), table.column("learn").to_pylist()
-        for text, learn_ in zip(texts, learns, strict=True):
-            (n if learn_ else only).update(tokens(text))
+    def told_by(block: int, n: Counter[bytes], only: set[bytes], codes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         keys = [*n, *(w for w in only if w not in n)]
         counts = [*n.values(), *[0] * (len(keys) - len(n))]
-        block = table.column("block")[0].as_py()
         kinds = [False] * len(keys)
         if not small:
-            for begin, end in text_chunks(texts):
-                codes.append(np.unique(grams(texts[begin:end])[0]))
             asked = np.unique(np.concatenate(codes)) if codes else np.empty(0, np.int64)
             keys += [int(c).to_bytes(ORDER + 1, "big") for c in asked]
             counts += [0] * len(asked)
             kinds += [True] * len(asked)
-        return pa.table([pa.array([block] * len(keys), pa.int32()), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(kinds, pa.bool_())], ["block", "key", "n", "is_gram"])
-
-    asked = rows.groupBy("block").applyInArrow(ask, "block int, key binary, n long, is_gram boolean")
-    # Each key has a row for each block at most, so no key is hot.
-    by_key = Window.partitionBy("is_gram", "key")
-    told = asked.where(~F.col("is_gram")) if small else asked
-    told = told.select("block", "key", "n", "is_gram", F.sum("n").over(by_key).alias("c"), F.row_number().over(by_key.orderBy("block")).alias("nth"))
-    value = F.col("c").cast("double")
+        for at in range(0, len(keys), 1 << 16):
+            part = slice(at, at + (1 << 16))
+            yield pa.RecordBatch.from_arrays([pa.array([block] * len(keys[part]), pa.int32()), pa.array(keys[part], pa.binary()), pa.array(counts[part], pa.int64()), pa.array(kinds[part], pa.bool_())], ["block", "key", "n", "is_gram"])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What each block asks for, and what it adds; a block's rows stand together and are not held."""
+        now: int | None = None
+        n: Counter[bytes] = Counter()
+        only: set[bytes] = set()
+        codes: list[np.ndarray] = []
+        for b in batches:
+            for block, text, learnt in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                if block != now:
+                    if now is not None:
+                        yield from told_by(now, n, only, codes)
+                    now, n, only, codes = block, Counter(), set(), []
+                (n if learnt else only).update(tokens(text))
+                if not small:
+                    codes.append(np.unique(grams([text])[0]))
+                    if len(codes) == 64:
+                        codes = [np.unique(np.concatenate(codes))]
+        if now is not None:
+            yield from told_by(now, n, only, codes)
+
+    dealt = rows.repartition("block").sortWithinPartitions("block")
+    asked = cut_lineage(dealt.select("block", "text", "learn").mapInArrow(ask, "block int, key binary, n long, is_gram boolean"))
+    # A word has a row for each block that has it. These are summed in the tasks first, and what is summed is
+    # written out, so that the join back is one of two plain inputs, which Spark splits where a word is in very many blocks.
+    totals = cut_lineage(asked.where(~F.col("is_gram")).groupBy("key").agg(F.sum("n").alias("c")))
+    n_all, v_all = (int(x or 0) for x in totals.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first())
+    told = asked.where(~F.col("is_gram")).select("block", "key", "is_gram").join(totals.select("key", F.col("c").cast("double").alias("value")), "key").select("block", "key", "is_gram", "value")
     if not small:
-        chances = model.select(F.lit(True).alias("is_gram"), F.unhex(F.lpad(F.hex("gram"), 2 * (ORDER + 1), "0")).alias("key"), "chance")
-        told = told.join(chances, ["is_gram", "key"], "left")
-        value = F.when(F.col("is_gram"), F.col("chance")).otherwise(value)
-    told = told.select("block", "key", "n", "is_gram", value.alias("value"), (~F.col("is_gram") & (F.col("nth") == 1) & (F.col("c") > 0)).cast("long").alias("first"))
-
-    def gather(table: pa.Table) -> pa.Table:
-        """A block's dictionary as two buffers; what it adds to the corpus totals."""
-        is_gram = np.array(table.column("is_gram").to_pylist(), bool)
-        keys, values = table.column("key").to_pylist(), np.array(table.column("value").to_pylist(), np.float64)
-        words = [k for k, g in zip(keys, is_gram, strict=True) if not g]
-        codes = np.array([int.from_bytes(k, "big") for k, g in zip(keys, is_gram, strict=True) if g], np.int64)
-        row = [table.column("block")[0].as_py(), b" ".join(words), values[~is_gram].tobytes(), codes.tobytes(), values[is_gram].tobytes(), sum(table.column("n").to_pylist()), sum(table.column("first").to_pylist())]
-        kinds = [pa.int32(), *[pa.binary()] * 4, pa.int64(), pa.int64()]
-        names = ["block", "words", "counts", "codes", "chances", "n", "v"]
-        return pa.table([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], names)
-
-    books = cut_lineage(told.groupBy("block").applyInArrow(gather, "block int, words binary, counts binary, codes binary, chances binary, n long, v long"))
-    n_all, v_all = (int(x or 0) for x in books.agg(F.sum("n"), F.sum("v")).first())
+        chances = model.select(F.unhex(F.lpad(F.hex("gram"), 2 * (ORDER + 1), "0")).alias("key"), F.col("chance").alias("value"))
+        told = told.unionByName(asked.where("is_gram").select("block", "key", "is_gram").join(chances, "key").select("block", "key", "is_gram", "value"))
+
     train_tokens, kinds = n_all + n_docs, v_all + int(n_docs > 0)
     total_log = math.log10(train_tokens + 0.5 * (kinds + 1))
     shared = None
     if small:
         got = model.toPandas()
         shared = spark.sparkContext.broadcast((got["gram"].to_numpy(np.int64), got["chance"].to_numpy(np.float64)))
+    mark = uuid.uuid4().hex
     unit = math.log10(2)
 
-    def rate(left: pa.Table, right: pa.Table) -> pa.Table:
-        book = {k: right.column(k)[0].as_py() for k in ("words", "counts", "codes", "chances")} if right.num_rows else {"words": b"", "counts": b"", "codes": b"", "chances": b""}
-        counts = np.frombuffer(book["counts"], np.float64)
-        logs = dict(zip(book["words"].split(b" ") if len(counts) else [], np.log10(counts + 0.5).tolist(), strict=True))
-        codes, chances = shared.value if small else (np.frombuffer(book["codes"], np.int64), np.frombuffer(book["chances"], np.float64))
-        table = GramTable(codes, chances)
-        texts = left.column("text").to_pylist()
-        n_tokens, n_known, base, score = [], [], [], []
-        # The end is a token: it is known if any document is learnt from, once for each of them.
-        end_log, end_known = math.log10(n_docs + 0.5), int(n_docs > 0)
-        least = math.log10(0.5) + 1e-12
-        for text in texts:
-            found = [logs[w] for w in tokens(text)]
-            n_tokens.append(len(found) + 1)
-            n_known.append(sum(x > least for x in found) + end_known)
-            base.append(math.fsum(found) + end_log - (len(found) + 1) * total_log)
-        for begin, end in text_chunks(texts):
-            c, sizes = grams(texts[begin:end])
-            sums = np.concatenate([[0.0], np.cumsum(table(c))])
-            at = np.concatenate([[0], np.cumsum(sizes)])
-            score += (np.diff(sums[at]) * unit).tolist()
-        held = [not x for x in left.column("learn").to_pylist()]
-        n = len(texts)
-        columns = [left.column("id"), pa.array(held, pa.bool_()), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array([train_tokens] * n, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())]
-        return pa.table(columns, ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    scored = rows.groupBy("block").cogroup(books.groupBy("block")).applyInArrow(rate, f"id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    # The end is a token: it is known if any document is learnt from, once for each of them.
+    end_log, end_known = math.log10(n_docs + 0.5), int(n_docs > 0)
+    least = math.log10(0.5) + 1e-12
+
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The scores of the documents of each block; what the block asked for stands before them, the documents are not held."""
+        names = ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+        now: int | None = None
+        logs: dict[bytes, float] = {}
+        codes: list[int] = []
+        chances: list[float] = []
+        table: GramTable | None = None
+        for b in batches:
+            blocks, kind = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(kind) != 0)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, b.num_rows], strict=True):
+                if lo == hi:
+                    continue
+                part = b.slice(lo, hi - lo)
+                if blocks[lo] != now:
+                    now, logs, codes, chances, table = int(blocks[lo]), {}, [], [], None
+                if kind[lo] == 0:
+                    keys, values = part.column(2).to_pylist(), part.column(3).to_numpy(zero_copy_only=False)
+                    logs.update(zip(keys, np.log10(values + 0.5).tolist(), strict=True))
+                elif kind[lo] == 1:
+                    codes += [int.from_bytes(k, "big") for k in part.column(2).to_pylist()]
+                    chances += part.column(3).to_pylist()
+                else:
+                    if table is None:
+                        table = _kept_table(mark, shared.value) if small else GramTable(np.array(codes, np.int64), np.array(chances, np.float64))
+                    texts = part.column(5).to_pylist()
+                    n_tokens, n_known, base, score = [], [], [], []
+                    for text in texts:
+                        found = [logs[w] for w in tokens(text)]
+                        n_tokens.append(len(found) + 1)
+                        n_known.append(sum(x > least for x in found) + end_known)
+                        base.append(math.fsum(found) + end_log - (len(found) + 1) * total_log)
+                    for begin, end in text_chunks(texts):
+                        c, sizes = grams(texts[begin:end])
+                        sums = np.concatenate([[0.0], np.cumsum(table(c))])
+                        score += (np.diff(sums[np.concatenate([[0], np.cumsum(sizes)])]) * unit).tolist()
+                    n = len(texts)
+                    held = [not x for x in part.column(6).to_pylist()]
+                    columns = [part.column(4), pa.array(held, pa.bool_()), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array([train_tokens] * n, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())]
+                    yield pa.RecordBatch.from_arrays(columns, names)
+
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    books = told.select("block", F.col("is_gram").cast("int").alias("kind"), "key", "value", none(id_type, "id"), none("string", "text"), none("boolean", "learn"))
+    asks = rows.select("block", F.lit(2).alias("kind"), none("binary", "key"), none("double", "value"), "id", "text", "learn")
+    both = books.unionByName(asks).repartition("block").sortWithinPartitions("block", "kind")
+    scored = both.mapInArrow(rate, f"id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return scored.withColumnRenamed("id", id_col)
