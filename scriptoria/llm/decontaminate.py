@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from scriptoria.llm.common import WordHasher, normal_words, shingle_hashes, text_chunks
+from scriptoria.llm.common import WordHasher, cut_lineage, normal_words, shingle_hashes, text_chunks
 
 K1, B = 1.2, 0.75
 #: Least BM25 score of an item, as a share of the score that the item's own text gets.
@@ -49,11 +49,35 @@ def split_item(text: str) -> tuple[str, str]:
     return " ".join(words[:cut]), " ".join(words[cut:])
 
 
+@dataclass
+class Statistics:
+    """What BM25 knows of all items: how many there are, their mean length in words, and in how many each term is."""
+
+    n: int
+    mean: float
+    terms: np.ndarray  # rising
+    frequency: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[str | None]) -> Statistics:
+        words, bounds = WordHasher()(texts)
+        sizes = np.diff(bounds)
+        owner = np.repeat(np.arange(len(texts)), sizes)
+        pairs = np.unique(np.stack([owner.astype(np.uint64), words]), axis=1)[1] if len(words) else np.empty(0, np.uint64)
+        terms, frequency = np.unique(pairs, return_counts=True)
+        n = int((sizes > 0).sum())
+        return cls(n, float(sizes.sum()) / max(n, 1), terms, frequency)
+
+
 class ItemIndex:
-    """Inverted index of test items; impacts are BM25 scores as shares of the item's own, kept by blocks with their maxima."""
+    """Inverted index of test items; impacts are BM25 scores as shares of the item's own, kept by blocks with their maxima.
+
+    Terms are weighed by `statistics`, which are those of all items, whether or not all are in this index.
+    """
 
-    def __init__(self, rows: list[tuple[object, str | None]]) -> None:
+    def __init__(self, rows: list[tuple[object, str | None]], statistics: Statistics | None = None) -> None:
         hasher = WordHasher()
+        statistics = statistics or Statistics.of([text for _, text in rows])
         self.items: list[Item] = []
         for item_id, text in rows:
             question, answer = split_item(text or "")
@@ -63,9 +87,10 @@ class ItemIndex:
         n = len(self.items)
         self.longest = max((len(x.words) for x in self.items), default=0)
         counts = [np.unique(x.words, return_counts=True) for x in self.items]
-        mean = sum(len(x.words) for x in self.items) / max(n, 1)
-        self.terms, frequency = np.unique(np.concatenate([c[0] for c in counts]), return_counts=True) if n else (np.empty(0, np.uint64), np.empty(0, np.int64))
-        idf = np.log1p((n - frequency + 0.5) / (frequency + 0.5))
+        mean = statistics.mean
+        self.terms = np.unique(np.concatenate([c[0] for c in counts])) if n else np.empty(0, np.uint64)
+        frequency = statistics.frequency[np.searchsorted(statistics.terms, self.terms)] if n else np.empty(0, np.int64)
+        idf = np.log1p((statistics.n - frequency + 0.5) / (frequency + 0.5))
         flat: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for i, (terms, tf) in enumerate(counts):
             at = np.searchsorted(self.terms, terms)
@@ -220,8 +245,8 @@ def present(item: Item, passage: np.ndarray, question: float, answer: float, lea
 def hits(index: ItemIndex, words: np.ndarray, bounds: np.ndarray, threshold: float = THRESHOLD, least: float = OVERLAP) -> list[tuple[int, int, float, float, float]]:
     """(text, item, score, question overlap, answer overlap) of the verified items of each text; bounds as WordHasher gives them.
 
-    A text's passages are windows of twice the longest item's words, a longest item apart, so that any item
-    that is copied into a text lies whole in one of them.
+    A text's passages are windows of twice the words of the index's longest item, a longest item apart, so that
+    any item that is copied into a text lies whole in one of them.
     """
     stride = max(index.longest, SHINGLE)
     sizes = np.diff(bounds)
@@ -241,31 +266,77 @@ def hits(index: ItemIndex, words: np.ndarray, bounds: np.ndarray, threshold: flo
     return [(t, i, *x) for (t, i), x in sorted(best.items())]
 
 
-def index_shards(items: DataFrame, id_col: str, text_col: str, shard_bytes: int = SHARD_BYTES) -> Iterator[list[tuple[object, str]]]:
-    """The items in shards of bounded size, each once; the rows come to the driver a partition at a time.
+#: Items whose words are within this factor of each other share an index, so that one long item does not widen the windows of the short ones.
+LENGTH_FACTOR = 4
+
 
-    The document frequencies that BM25 weighs terms by are those of a shard.
+def length_class(text: str) -> int:
+    """The class of lengths of an item, by its words: 1 to 63, 64 to 255, 256 to 1,023, and so on."""
+    n, k = len(normal_words(text)), 0
+    while n >= 64 * LENGTH_FACTOR**k:
+        k += 1
+    return k
+
+
+def index_shards(items: DataFrame, id_col: str, text_col: str, shard_bytes: int = SHARD_BYTES) -> Iterator[list[ItemIndex]]:
+    """The indexes of all items, in shards of bounded size, each item once; the rows come to the driver a partition at a time.
+
+    A shard has an index for each class of lengths. The statistics that BM25 weighs terms by are those of all
+    items. They are counted in Spark, and a shard asks for its own terms, so how items are cut into shards
+    changes no score.
     """
+    slim = items.select(id_col, F.col(text_col).cast("string").alias("text")).where(F.col(text_col).isNotNull())
+    total = slim.agg(F.sum(F.length("text") + 64)).first()[0] or 0
+    counted: tuple[int, float, DataFrame] | None = None
+    if total > shard_bytes:
+        def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            hasher = WordHasher()
+            for b in batches:
+                for text in b.column(0).to_pylist():
+                    words, _ = hasher([text])
+                    distinct = np.unique(words)
+                    sizes = np.zeros(len(distinct), np.int64)
+                    sizes[:1] = len(words)  # once for each item
+                    yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(sizes)], ["term", "size"])
+
+        table = cut_lineage(slim.select("text").mapInArrow(terms, "term long, size long").groupBy("term").agg(F.count("*").alias("frequency"), F.sum("size").alias("size"), F.count_if(F.col("size") > 0).alias("items")))
+        size, n = (int(x or 0) for x in table.agg(F.sum("size"), F.sum("items")).first())
+        counted = n, size / max(n, 1), table
+
+    def made(rows: list[tuple[object, str]]) -> list[ItemIndex]:
+        statistics = Statistics.of([text for _, text in rows])
+        if counted is not None:
+            own = items.sparkSession.createDataFrame([(int(t),) for t in statistics.terms.view(np.int64)], "term long")
+            found = {r["term"]: r["frequency"] for r in counted[2].join(F.broadcast(own), "term").select("term", "frequency").collect()}  # as many as the shard has terms
+            frequency = np.array([found[int(t)] for t in statistics.terms.view(np.int64)], np.int64)
+            statistics = Statistics(counted[0], counted[1], statistics.terms, frequency)
+        by_class: dict[int, list[tuple[object, str]]] = {}
+        for row in rows:
+            by_class.setdefault(length_class(row[1]), []).append(row)
+        return [ItemIndex(by_class[k], statistics) for k in sorted(by_class)]
+
     rows: list[tuple[object, str]] = []
     held = 0
-    for item_id, text in items.select(id_col, F.col(text_col).cast("string")).where(F.col(text_col).isNotNull()).orderBy(id_col, text_col).toLocalIterator():
-        if rows and held + len(text) > shard_bytes:
-            yield rows
+    for item_id, text in slim.orderBy(id_col, "text").toLocalIterator():
+        if rows and held + len(text) + 64 > shard_bytes:
+            yield made(rows)
             rows, held = [], 0
         rows.append((item_id, text))
-        held += len(text)
+        held += len(text) + 64
     if rows:
-        yield rows
+        yield made(rows)
 
 
-def _results(index: ItemIndex, hasher: WordHasher, texts: list[str | None]) -> Iterator[tuple[int, int, float, float, float]]:
+def _results(indexes: list[ItemIndex], hasher: WordHasher, texts: list[str | None]) -> Iterator[tuple[int, object, float, float, float]]:
+    """(text, item's id, score, question overlap, answer overlap) of what is found in the texts."""
     for begin, end in text_chunks(texts):
         words, bounds = hasher(texts[begin:end])
-        for t, *rest in hits(index, words, bounds):
-            yield (begin + t, *rest)
+        for index in indexes:
+            for t, i, *rest in hits(index, words, bounds):
+                yield (begin + t, index.items[i].item_id, *rest)
 
 
-def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """One row (id_col, item_id, score, question_overlap, answer_overlap) for each document and test item found in it.
 
     The best passage of the document counts; its score is a share of the item's own. Null and empty texts
@@ -273,8 +344,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     items likewise; an empty table on either side gives an empty result. Other columns are not read. Texts
     of any length are searched whole.
 
-    Nothing is shuffled: the items go to every task, at most SHARD_BYTES of them at once; a larger
-    benchmark takes as many passes over the documents as it has shards.
+    Nothing is shuffled: the items go to every task, at most `shard_bytes` of them at once; a larger
+    benchmark takes as many passes over the documents as it has shards, to the same result.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     item_field = to_arrow_type(items.schema[item_id_col].dataType)
@@ -282,15 +353,15 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = f"`{id_col}` {id_type}, item_id {item_type}, score double, question_overlap double, answer_overlap double"
     parts: list[DataFrame] = []
-    for shard in index_shards(items, item_id_col, item_text_col):
-        shared = docs.sparkSession.sparkContext.broadcast(ItemIndex(shard))
+    for shard in index_shards(items, item_id_col, item_text_col, shard_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast(shard)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index, hasher = shared.value, WordHasher()
+            indexes, hasher = shared.value, WordHasher()
             for b in batches:
-                found = list(_results(index, hasher, b.column(1).to_pylist()))
+                found = list(_results(indexes, hasher, b.column(1).to_pylist()))
                 ids = b.column(0).take(pa.array([f[0] for f in found], pa.int64()))
-                names = [index.items[f[1]].item_id for f in found]
+                names = [f[1] for f in found]
                 numbers = [pa.array([f[k] for f in found], pa.float64()) for k in (2, 3, 4)]
                 yield pa.RecordBatch.from_arrays([ids, pa.array(names, item_field), *numbers], [id_col, "item_id", "score", "question_overlap", "answer_overlap"])
 
@@ -298,17 +369,22 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     return reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], schema)
 
 
-def without_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns as they are, in whose text contaminated() finds no item."""
+def without_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """The rows of `docs`, all columns as they are, in whose text contaminated() finds no item.
+
+    Rows with null, empty and wordless texts stay, as do all rows where there are no items; repeated rows stay
+    or go together; an empty table stays empty; the columns are taken by their places, so extra ones of any
+    name pass through.
+    """
     at = docs.columns.index(text_col)
-    for shard in index_shards(items, item_id_col, item_text_col):
-        shared = docs.sparkSession.sparkContext.broadcast(ItemIndex(shard))
+    for shard in index_shards(items, item_id_col, item_text_col, shard_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast(shard)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index, hasher = shared.value, WordHasher()
+            indexes, hasher = shared.value, WordHasher()
             for b in batches:
                 keep = np.ones(b.num_rows, bool)
-                keep[[f[0] for f in _results(index, hasher, b.column(at).to_pylist())]] = False
+                keep[[f[0] for f in _results(indexes, hasher, b.column(at).to_pylist())]] = False
                 yield b.filter(pa.array(keep))
 
         docs = docs.mapInArrow(run, docs.schema)

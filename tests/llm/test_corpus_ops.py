@@ -81,8 +81,44 @@ def test_contaminated(spark):
     assert kept.columns == d.columns and sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 3, 5, 7]
     assert decontaminate.contaminated(d.limit(0), b).count() == decontaminate.contaminated(d, b.limit(0)).count() == 0
     assert decontaminate.without_contaminated(d, b.limit(0)).count() == len(docs)
-    shards = list(decontaminate.index_shards(b, "item_id", "text", 500))
-    assert len(shards) > 3 and sum(map(len, shards)) == 22
+    shards = list(decontaminate.index_shards(b, "item_id", "text", 1500))
+    assert len(shards) > 3 and sum(len(i.items) for s in shards for i in s) == 21
+
+
+def test_shards_and_lengths_change_no_result(spark):
+    """Against all items scored one by one with the statistics of all: whatever the shards, and beside one very long item."""
+    rng = random.Random(31)
+    items = [(i, prose(rng, rng.randint(20, 40)) + ". " + prose(rng, 8) + ".") for i in range(40)] + [(100, prose(rng, 3000)), (101, prose(rng, 90))]
+    docs = [(i, prose(rng, 50)) for i in range(10)]
+    for i, text in items:
+        words = text.split()
+        for at in rng.sample(range(len(words)), len(words) // rng.choice((8, 15, 40))):
+            words[at] = rng.choice(VOCABULARY)
+        docs.append((1000 + i, f"{prose(rng, rng.randint(0, 80))} {' '.join(words)} {prose(rng, 30)}"))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    index, hasher = decontaminate.ItemIndex(items), common.WordHasher()
+    want = set()
+    for doc_id, text in docs:
+        words = hasher([text])[0]
+        for i, item in enumerate(index.items):
+            n = 64 if len(item.words) < 64 else 256 if len(item.words) < 256 else 4096
+            group = [x for x in index.items if len(x.words) < n and len(x.words) * 4 >= n] if n > 64 else [x for x in index.items if len(x.words) < 64]
+            stride = max(len(x.words) for x in group)
+            for at in range(0, max(1, len(words)), stride):
+                passage = words[at : at + 2 * stride]
+                score = plain_scores(index, index.lookup(passage))[i]
+                q, a = (decontaminate.overlap(part, passage) for part in (item.question, item.answer))
+                if score >= decontaminate.THRESHOLD and decontaminate.present(item, passage, q, a, decontaminate.OVERLAP):
+                    want.add((doc_id, item.item_id))
+    assert len(want) > 25
+    scores = []
+    for shard_bytes in (1 << 20, 3000):
+        got = decontaminate.contaminated(d, b, shard_bytes=shard_bytes).collect()
+        assert {(r["doc_id"], r["item_id"]) for r in got} == want
+        scores.append(sorted((r["doc_id"], r["item_id"], round(r["score"], 9)) for r in got))
+        assert decontaminate.without_contaminated(d, b, shard_bytes=shard_bytes).count() == len(docs) - len({x for x, _ in want})
+    assert scores[0] == scores[1]
 
 
 # --- near duplicates
