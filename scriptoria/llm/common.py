@@ -23,12 +23,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share: the one that the session names in spark.checkpoint.dir.
 
-    Only where that is unset (as in tests, on one machine) is a temporary folder made.
+    Only where that is unset and driver and executors are one process (as in tests) is a temporary folder
+    made; on a cluster, executors would not see it.
     """
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
-    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = context.getCheckpointDir()
+    return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -12,7 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scriptoria.llm.common import WordHasher, _powers, cut_lineage, mix64, text_chunks
-from scriptoria.llm.neardup import content
+
+
+def content(text_col):
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
 
 #: Words of the shortest passage that counts.
 MIN_WORDS = 50

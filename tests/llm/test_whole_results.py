@@ -233,3 +233,37 @@ def test_generated_pages_against_a_plain_vote(spark):
     for limit in (1 << 20, -1):
         got = {r["page_id"]: r["text"] for r in html_extract.extract_pages(df, broadcast_bytes=limit).collect()}
         assert [got[i] for i in range(120)] == want
+
+
+def test_recall_against_all_pairs(spark):
+    """A group of 600 partly similar copies, and texts that share only a header: pairs at 0.8 are in one class, the exact answer is that of all pairs, and hot buckets lose hardly any."""
+    rng = random.Random(17)
+    texts = variants(rng, 600, 3, 9)
+    header = prose(rng, 60)
+    texts += [f"{header} {prose(rng, 60)}" for _ in range(100)]
+    shingles = [common.shingle_hashes(common.WordHasher()([t])[0], 5) for t in texts]
+    pairs = [(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if neardup.aligned(shingles[i], shingles[j]) > 0]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected = joined_by_all_pairs(texts, lambda w: common.shingle_hashes(w, 5))
+    assert len(pairs) > 200
+    assert {r["doc_id"]: r["class_id"] for r in neardup.classes(df, exact=True).collect()} == dict(enumerate(expected))
+    nodes = {r["node"]: r["doc_id"] for r in df.select("doc_id", neardup.content("text").alias("node")).collect()}
+    for hot in (neardup.HOT_MEMBERS, 40):
+        root = {nodes[r["node"]]: r["root"] for r in neardup.links(df, hot_members=hot)[1].collect()}
+        recall = sum(root.get(i, i) == root.get(j, j) for i, j in pairs) / len(pairs)
+        assert recall >= 0.99, (hot, recall)
+
+
+def test_long_alignments_in_bands():
+    rng = np.random.default_rng(18)
+    for n, edits in ((700, 10), (700, 60), (300, 20)):
+        a = rng.integers(0, 1 << 40, n).astype(np.uint64)
+        a[rng.integers(0, n, n // 20)] = 7
+        b = a.tolist()
+        for at in sorted(rng.integers(0, n, edits).tolist(), reverse=True):
+            b[at : at + int(rng.integers(0, 3))] = rng.integers(0, 1 << 40, int(rng.integers(0, 3))).tolist()
+        b = np.array(b, np.uint64)
+        exact = plain_aligned(a.tolist(), b.tolist())
+        got = neardup.aligned(a, b)
+        assert (got >= 0.8) == (exact >= 0.8) and got <= exact + 1e-12
+        assert neardup._common(a, b, n) == round(exact * (len(a) + len(b)) / (1 + exact))
