@@ -181,7 +181,11 @@ def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
 
 
 def select(docs: DataFrame, model: OrdinalModel, text_col: str = "text", keep_tail: float = KEEP_TAIL) -> DataFrame:
-    """The rows of `docs`, all columns as they are, whose chance of the top grade is at least `keep_tail`."""
+    """The rows of `docs`, all columns as they are, whose chance of the top grade is at least `keep_tail`.
+
+    Null texts rate like empty ones; repeated rows stay or go together; a chance of just `keep_tail` stays; an
+    empty table stays empty; the columns are taken by their places, so extra ones of any name pass through.
+    """
     at = docs.columns.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

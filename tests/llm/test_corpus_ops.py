@@ -311,6 +311,38 @@ def test_quality_on_held_out(spark):
     assert quality.score(df.limit(0), model).count() == 0
 
 
+def test_fit_against_a_plain_optimiser():
+    """The penalised likelihood that fit() reaches is that of plain descent with a line search, on dense rows, from other starts."""
+    rng = np.random.default_rng(10)
+    n, p, ridge = 200, 12, 1.0
+    x = (rng.random((n, p)) < 0.4).astype(float)
+    latent = x @ rng.normal(size=p) + rng.logistic(size=n)
+    grades = np.digitize(latent, np.quantile(latent, [0.25, 0.6]))
+    found = np.concatenate([np.flatnonzero(r) for r in x])
+    begins = np.concatenate([[0], np.cumsum(x.sum(1))]).astype(int)
+
+    def loss(w, cuts):
+        below = np.concatenate([np.zeros((n, 1)), 1 / (1 + np.exp(-(cuts[None, :] - (x @ w)[:, None]))), np.ones((n, 1))], axis=1)
+        return -np.log(below[np.arange(n), grades + 1] - below[np.arange(n), grades]).sum() + ridge / 2 * (w @ w)
+
+    def value(z):
+        return loss(z[:p], np.array([z[p], z[p] + math.exp(z[p + 1])]))
+
+    z = np.concatenate([rng.normal(size=p), [-1.0, 0.0]])
+    for _ in range(400):
+        g = np.array([(value(z + e) - value(z - e)) / 2e-5 for e in np.eye(p + 2) * 1e-5])
+        step = 1.0
+        while value(z - step * g) > value(z) - 0.3 * step * (g @ g) and step > 1e-9:
+            step /= 2
+        z = z - step * g
+    model = quality.fit(found, begins, grades, ridge=ridge)
+    assert loss(model.weights[:p].astype(float), model.thresholds) < value(z) * 1.002
+    assert np.allclose(model.weights[:p], z[:p], atol=0.1) and np.allclose(model.thresholds, [z[p], z[p] + math.exp(z[p + 1])], atol=0.1)
+    for k in (0, 1):
+        chance = 1 / (1 + np.exp(-(x @ z[:p] - [z[p], z[p] + math.exp(z[p + 1])][k])))
+        assert np.allclose(model.tails(model.latent(found, begins))[:, k], chance, atol=0.03)
+
+
 # --- language model
 
 
