@@ -13,11 +13,25 @@ LABELS = (
     "footnote", "formula_number", "header", "header_image", "image", "inline_formula", "number", "paragraph_title", "reference",
     "reference_content", "seal", "table", "text", "vertical_text", "vision_footnote",
 )
-# Labels whose task is not "ocr", and labels that have no task.
-OTHER_TASKS = {"table": "table", "chart": "chart", "display_formula": "formula", "inline_formula": "formula"}
-NO_TASK = {"algorithm", "figure_title", "footer_image", "formula_number", "header_image", "image", "number", "seal", "vision_footnote"}
-
-LABEL_TASK = {label: OTHER_TASKS.get(label, "ocr") for label in LABELS if label not in NO_TASK}
+# Label -> task; labels that are not listed have none.
+LABEL_TASK = {
+    "abstract": "ocr",
+    "aside_text": "ocr",
+    "chart": "chart",
+    "content": "ocr",
+    "display_formula": "formula",
+    "doc_title": "ocr",
+    "footer": "ocr",
+    "footnote": "ocr",
+    "header": "ocr",
+    "inline_formula": "formula",
+    "paragraph_title": "ocr",
+    "reference": "ocr",
+    "reference_content": "ocr",
+    "table": "table",
+    "text": "ocr",
+    "vertical_text": "ocr",
+}
 
 
 def lookup(values: dict[str, str], key: Column) -> Column:

@@ -18,6 +18,15 @@ def _y(p: Column) -> Column:
     return F.get(p, F.lit(1))
 
 
+def _corners(points: Column) -> list[tuple[Column, Column]]:
+    """The first four points as plain doubles: most polygons are quadrilaterals, and expressions on these are compiled, which lambdas are not."""
+    return [(_x(F.get(points, F.lit(i))).cast("double"), _y(F.get(points, F.lit(i))).cast("double")) for i in range(4)]
+
+
+def _fine(v: Column) -> Column:
+    return v.isNotNull() & ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < F.lit(float("inf")))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with the value computed once: a lambda's variable is not put in again wherever it is used."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -26,9 +35,26 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def area(points: Column) -> Column:
     """Shoelace area of a polygon; 0 for fewer than three points."""
     n = F.size(points)
+    (x0, y0), (x1, y1), (x2, y2), (x3, y3) = _corners(points)
+    quad = F.abs(x0 * y1 - x1 * y0 + x1 * y2 - x2 * y1 + x2 * y3 - x3 * y2 + x3 * y0 - x0 * y3) / 2
     following = F.concat(F.slice(points, F.lit(2), F.greatest(n - 1, F.lit(0))), F.slice(points, F.lit(1), F.least(n, F.lit(1))))
     twice = F.aggregate(F.zip_with(points, following, lambda a, b: _x(a) * _y(b) - _x(b) * _y(a)), F.lit(0.0), lambda s, v: s + v.cast("double"))
-    return F.when(n < 3, 0.0).otherwise(F.abs(twice) / 2)
+    return F.when(n < 3, 0.0).when(n == 4, quad).otherwise(F.abs(twice) / 2)
+
+
+def flat_area(flat: Column) -> Column:
+    """The area of a triangle or quadrilateral [x, y, x, y, ...], in plain expressions."""
+    v = [F.get(flat, F.lit(i)).cast("double") for i in range(8)]
+    three = v[0] * v[3] - v[2] * v[1] + v[2] * v[5] - v[4] * v[3]
+    return F.abs(F.when(F.size(flat) == 6, three + v[4] * v[1] - v[0] * v[5]).otherwise(three + v[4] * v[7] - v[6] * v[5] + v[6] * v[1] - v[0] * v[7])) / 2
+
+
+def all_finite(numbers: Column, most: int) -> Column:
+    """Whether an array of up to `most` numbers holds finite ones only, in plain expressions."""
+    out = F.lit(True)
+    for i in range(most):
+        out = out & ((F.size(numbers) <= i) | _fine(F.get(numbers, F.lit(i))))
+    return out
 
 
 def flat_points(flat: Column) -> Column:
@@ -65,24 +91,43 @@ def clamp(points: Column, width: Column, height: Column) -> Column:
 def snapped(points: Column, width: Column, height: Column) -> Column:
     """Points rounded half to even and moved into the picture, as whole numbers."""
     into = lambda v, n: F.least(F.greatest(F.bround(v.cast("double")), F.lit(0.0)), n.cast("double") - 1).cast("int")
-    return F.transform(points, lambda p: F.array(into(_x(p), width), into(_y(p), height)))
+    quad = F.array(*(F.array(into(x, width), into(y, height)) for x, y in _corners(points)))
+    return F.when(F.size(points) == 4, quad).otherwise(F.transform(points, lambda p: F.array(into(_x(p), width), into(_y(p), height))))
+
+
+def _pairs(points: Column) -> Column:
+    """Whether every point has two numbers."""
+    quad = F.lit(True)
+    for i in range(4):
+        quad = quad & (F.size(F.get(points, F.lit(i))) == 2)
+    return F.coalesce(F.when(F.size(points) == 4, quad).otherwise(F.forall(points, lambda q: F.size(q) == 2)), F.lit(False))
 
 
 def finite(points: Column) -> Column:
     """Whether every point is two finite numbers."""
-    fine = lambda v: v.isNotNull() & ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < F.lit(float("inf")))
-    return F.coalesce(F.forall(points, lambda p: (F.size(p) == 2) & fine(_x(p)) & fine(_y(p))), F.lit(False))
+    quad = F.lit(True)
+    for i, (x, y) in enumerate(_corners(points)):
+        quad = quad & (F.size(F.get(points, F.lit(i))) == 2) & _fine(x) & _fine(y)
+    return F.coalesce(F.when(F.size(points) == 4, quad).otherwise(F.forall(points, lambda p: (F.size(p) == 2) & _fine(_x(p)) & _fine(_y(p)))), F.lit(False))
+
+
+def _few_points(p: Column) -> Column:
+    """Whether a polygon has fewer than three points that are not the same."""
+    q = [F.get(p, F.lit(i)) for i in range(4)]
+    known = lambda i: ~F.greatest(*([F.lit(False)] + [q[i] == q[j] for j in range(i)])) if i > 1 else q[1] != q[0]
+    quad = 1 + sum((known(i).cast("int") for i in range(1, 4)), F.lit(0)) < 3
+    return F.when(F.size(p) == 4, quad).otherwise(F.size(F.array_distinct(p)) < 3)
 
 
 def polygon_problem(points: Column, p: Column, least_area: float) -> Column:
     """The first thing wrong with a detection polygon, null if it is good; `p` is what snapped() makes of it."""
     return (
         F.when(points.isNull() | (F.size(points) < 4), "points must contain at least four vertices")
-        .when(~F.coalesce(F.forall(points, lambda q: F.size(q) == 2), F.lit(False)), "each point must be [x, y]")
+        .when(~_pairs(points), "each point must be [x, y]")
         .when(~finite(points), "coordinates must be finite numbers")
-        .when(F.size(F.array_distinct(p)) < 3, "polygon has fewer than three unique points")
+        .when(_few_points(p), "polygon has fewer than three unique points")
         .when(self_crossing(p), "polygon is self-intersecting")
-        .otherwise(let(area(p), lambda a: F.when(a < least_area, F.format_string(f"polygon area %.3f is below {least_area}", a))))
+        .when(area(p) < least_area, F.format_string(f"polygon area %.3f is below {least_area}", area(p)))
     )
 
 

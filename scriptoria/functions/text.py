@@ -1,4 +1,4 @@
-"""Text expressions. All but nfc() and natural_key()'s case folding run inside the JVM."""
+"""Text expressions. All but nfc() run inside the JVM."""
 
 from __future__ import annotations
 
@@ -98,10 +98,12 @@ def transcription(raw: Column) -> Column:
 
 
 def natural_key(name: Column, digits: int = 20) -> Column:
-    """Sorts digit runs as numbers and the rest without case."""
+    """Sorts digit runs as numbers, of any length, and the rest in lower case."""
     parts = F.regexp_extract_all(name, F.lit(r"\d+|\D+"), F.lit(0))
     number = lambda p: F.regexp_replace(p, "^0+(?=.)", "")
-    padded = F.transform(parts, lambda p: F.when(p.rlike(r"^\d"), F.lpad(number(p), digits, "0")).otherwise(F.lower(p)))
+    # Numbers of more than `digits` digits come behind the others (':' is what follows '9'), by how many they have.
+    wide = lambda n: F.concat(F.lit(":"), F.lpad(F.length(n).cast("string"), 10, "0"), n)
+    padded = F.transform(parts, lambda p: F.when(p.rlike(r"^\d"), F.when(F.length(number(p)) <= digits, F.lpad(number(p), digits, "0")).otherwise(wide(number(p)))).otherwise(F.lower(p)))
     # A run of digits sorts before any text, as does an empty beginning.
     return F.array_join(padded, "\x01")
 
@@ -159,8 +161,8 @@ def log_counts(log: Column, key: str) -> Column:
     return F.when(raw != "", F.replace(raw, F.lit(","), F.lit("")).cast("double").cast("long"))
 
 
-#: Parameters that adapters may train, and projections that they must have.
-ADAPTER_SCOPE = r"^(model\.)?model\.layers\.[0-9]+\.(self_attn\.(q|k|v|o)_proj|mlp\.(up|gate|down)_proj)\.lora_[AB]$"
+# Parameters that adapters may train, and projections that they must have.
+ADAPTER_SCOPE = r"^(?:model\.)?model\.layers\.\d+\.(?:self_attn\.(?:q_proj|k_proj|v_proj|o_proj)|mlp\.(?:up_proj|gate_proj|down_proj))\.lora_[AB]\z"
 PROJECTIONS = ("q_proj", "k_proj", "v_proj", "o_proj", "up_proj", "gate_proj", "down_proj")
 
 

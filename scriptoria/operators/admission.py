@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from scriptoria.functions import geometry as g
 from scriptoria.functions import text as t
 from scriptoria.functions.grammar import target_error_of
+from scriptoria.scratch import staged
 
 
 def first_reason(checks: list[tuple[str, Column, Column | None]]) -> tuple[Column, Column]:
@@ -166,6 +167,8 @@ def detection(lines: DataFrame, min_area: float = 1.0, max_image_pixels: int = 1
     early, early_detail = first_reason(before)
     late, late_detail = first_reason(behind)
     out = out.withColumn("early", early).withColumn("early_detail", early_detail).withColumn("late", F.when(F.col("early").isNull(), late)).withColumn("late_detail", late_detail)
+    # Two read this: the winners, and the lines that they are joined to. Parsing and geometry are done once.
+    out = staged(out.select("source", "line_number", "path", "sha256", "width", "height", "judged", "labels", "early", "early_detail", "late", "late_detail"))
     place = F.struct("source", "line_number")
     good = F.col("early").isNull() & F.col("late").isNull()
     # The winners are one row for each image, summed up in the tasks before they are shuffled, and joined back.

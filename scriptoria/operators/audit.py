@@ -25,7 +25,7 @@ def taxonomy_problems(categories: DataFrame) -> DataFrame:
 
 def image_problems(images: DataFrame) -> DataFrame:
     """(split, id, problems) of images (split, id, file_name, width, height, exists)."""
-    times = images.groupBy("split", "id").agg(F.count("*").alias("times"))
+    times = images.groupBy("split", "id").agg(F.count("*").alias("times")).where("times > 1")  # few, so joined by broadcast where they are
     name = F.col("file_name")
     problems = _listed(
         ("image id is missing", F.col("id").isNull()),
@@ -43,21 +43,26 @@ def annotation_problems(annotations: DataFrame, images: DataFrame) -> DataFrame:
 
     The area that an annotation states is not compared with that of its polygons.
     """
-    times = annotations.groupBy("split", "id").agg(F.count("*").alias("times"))
-    sizes = images.groupBy("split", F.col("id").alias("image_id")).agg(F.first("width").alias("width"), F.first("height").alias("height"), F.lit(True).alias("known"))
+    times = annotations.groupBy("split", "id").agg(F.count("*").alias("times")).where("times > 1")  # few, so joined by broadcast where they are
+    # Of an image that is told twice the smaller sides count, whatever the order of the rows.
+    sizes = images.groupBy("split", F.col("id").alias("image_id")).agg(F.min("width").alias("width"), F.min("height").alias("height"), F.lit(True).alias("known"))
     box = [F.get("bbox", F.lit(i)) for i in range(4)]
     numbers = lambda a: F.coalesce(F.forall(a, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))), F.lit(False))
-    polygons = F.transform("segmentation", g.flat_points)
-    total = F.aggregate(F.transform(polygons, g.area), F.lit(0.0), lambda s, v: s + v)
+    only = F.get("segmentation", F.lit(0))
+    single = (F.size("segmentation") == 1) & F.size(only).isin(6, 8)  # one triangle or quadrilateral: plain expressions
+    total = F.when(single, g.flat_area(only)).otherwise(F.aggregate(F.transform(F.transform("segmentation", g.flat_points), g.area), F.lit(0.0), lambda s, v: s + v))
+    few = F.coalesce(g.all_finite(only, 8), F.lit(False))
+    bad_polygon = F.when(single, ~few).otherwise(F.exists(F.transform("segmentation", lambda s: numbers(s) & g.flat_points(s).isNotNull()), lambda ok: ~ok))
+    whole_box = F.coalesce((F.size("bbox") == 4) & g.all_finite(F.col("bbox"), 4), F.lit(False))
     problems = _listed(
         ("annotation id is missing", F.col("id").isNull()),
         ("annotation id is not unique", F.col("times") > 1),
         ("unknown image", F.col("known").isNull()),
         ("bad category", ~F.coalesce(F.col("category_id").between(1, len(LABELS)), F.lit(False))),
-        ("bad box", ~numbers(F.col("bbox")) | (F.size("bbox") != 4) | (box[0] < 0) | (box[1] < 0) | (box[2] <= 0) | (box[3] <= 0)),
+        ("bad box", ~whole_box | (box[0] < 0) | (box[1] < 0) | (box[2] <= 0) | (box[3] <= 0)),
         ("box leaves the image", (box[0] + box[2] > F.col("width") + SLACK) | (box[1] + box[3] > F.col("height") + SLACK)),
         ("no segmentation", F.coalesce(F.size("segmentation"), F.lit(0)) < 1),
-        ("bad polygon", F.exists(F.transform("segmentation", lambda s: numbers(s) & g.flat_points(s).isNotNull()), lambda ok: ~ok)),
+        ("bad polygon", bad_polygon),
         ("bad area", ~F.coalesce((F.col("area") > 0) & (F.col("area") < F.lit(float("inf"))), F.lit(False))),
         ("polygon has no area", total <= 0),
         ("bad read order", F.coalesce(F.col("read_order") < 0, F.lit(True))),
@@ -94,11 +99,15 @@ def fingerprint(files: DataFrame, by: list[str] | None = None) -> DataFrame:
     return files.groupBy(*(by or [])).agg(F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("fingerprint"))
 
 
-def tree_fingerprint(files: DataFrame, buckets: int = 4096) -> DataFrame:
-    """As fingerprint(), for any number of files: the digest of the digests of hash buckets, so that no row holds all paths."""
-    bucket = F.pmod(F.xxhash64("path"), F.lit(buckets)).cast("string")
-    parts = fingerprint(files.withColumn("bucket", F.lpad(bucket, 8, "0")), ["bucket"])
-    return fingerprint(parts.select(F.col("bucket").alias("path"), F.col("fingerprint").alias("sha256")))
+def tree_fingerprint(files: DataFrame, by: list[str] | None = None, digits: int = 3) -> DataFrame:
+    """As fingerprint(), for any number of files: the digest of the digests of buckets, so that no row holds all paths.
+
+    A file's bucket is the first hexadecimal digits of its path's digest.
+    """
+    by = by or []
+    bucket = F.left(F.sha2(F.col("path").cast("binary"), 256), F.lit(digits))
+    parts = fingerprint(files.withColumn("bucket", bucket), [*by, "bucket"])
+    return fingerprint(parts.select(*by, F.col("bucket").alias("path"), F.col("fingerprint").alias("sha256")), by)
 
 
 def report(images: DataFrame, annotations: DataFrame) -> DataFrame:

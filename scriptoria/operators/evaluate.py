@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def with_distance(predictions: DataFrame, target: str = "target", prediction: str = "prediction") -> DataFrame:
-    """`predictions` with edits (code points), once for all metrics. Long texts cost the product of their lengths: rows are dealt out evenly first."""
-    return predictions.repartition(F.xxhash64(target, prediction)).withColumn("edits", F.levenshtein(target, prediction).cast("long"))
+    """`predictions` with edits (code points), once for all metrics. Long texts cost the product of their lengths: rows are dealt out evenly first, whatever they hold."""
+    return predictions.hint("rebalance").withColumn("edits", F.levenshtein(target, prediction).cast("long"))
 
 
 def similarity(edits: Column, target: Column, prediction: Column) -> Column:
@@ -41,12 +41,14 @@ def coverage_problems(predictions: DataFrame, candidates: list[str], fixtures: i
     """(candidate, problem): every candidate must have each of `fixtures` fixtures (dataset, image) once, and all the same ones."""
     spark = predictions.sparkSession
     expected = spark.createDataFrame([(c,) for c in candidates], "candidate string")
-    mark = F.xxhash64("dataset", "image").cast("decimal(38,0)")
     seen = predictions.groupBy("candidate", "dataset", "image").agg(F.count("*").alias("times"))
-    by = seen.groupBy("candidate").agg(F.sum("times").alias("n"), F.count("*").alias("distinct"), F.sum(mark).alias("set"))
-    known = expected.join(by, "candidate", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    first = known.agg(F.min_by("set", "candidate").alias("of_first"))
-    problem = F.when(F.col("n") > F.coalesce(F.col("distinct"), F.lit(0)), "duplicate fixture").when(F.col("n") != fixtures, "incomplete").when(F.col("set") != F.col("of_first"), "other fixtures")
+    by = seen.groupBy("candidate").agg(F.sum("times").alias("n"), F.count("*").alias("distinct"))
+    # Fixtures of the first candidate that each one has: it has the same ones if these are all of its own and all of the first's.
+    reference = seen.where(F.col("candidate") == min(candidates)).select("dataset", "image")
+    same = seen.join(reference, ["dataset", "image"]).groupBy("candidate").agg(F.count("*").alias("same"))
+    known = expected.join(by, "candidate", "left").join(same, "candidate", "left").select("candidate", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n", "distinct", "same")))
+    first = reference.agg(F.count("*").alias("of_first"))
+    problem = F.when(F.col("n") > F.col("distinct"), "duplicate fixture").when(F.col("n") != fixtures, "incomplete").when((F.col("same") != F.col("distinct")) | (F.col("same") != F.col("of_first")), "other fixtures")
     # one row joined to a few
     own = known.join(F.broadcast(first)).select("candidate", problem.alias("problem")).where("problem is not null")
     return own.unionByName(by.join(expected, "candidate", "left_anti").select("candidate", F.lit("unexpected candidate").alias("problem")))

@@ -19,7 +19,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document, with a blank, a control character or a foreign sign put into some of them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.posexplode(F.split("text", "\n", -1)).alias("line", "raw"))
     k = (F.col("doc_id") * 31 + F.col("line")) % 23
-    text = F.when(k == 0, F.lit("  ")).when(k == 1, F.concat("raw", F.lit("\x07"), F.lit("x"))).when(k == 2, F.concat(F.lit(" "), "raw", F.lit(" Ω中"))).when(k == 3, F.concat(F.left("raw", F.lit(40)), F.lit("\té "))).otherwise(F.left("raw", F.lit(100)))
+    text = F.when(k == 0, F.lit("  ")).when(k == 1, F.concat("raw", F.lit("\x07"), F.lit("x"))).when(k == 2, F.concat(F.lit(" "), "raw", F.lit(" Ω中"))).when(k == 3, F.concat("raw", F.lit("\té "))).otherwise(F.col("raw"))
     return docs.select("doc_id", "source", "line", text.alias("text"))
 
 
@@ -28,7 +28,7 @@ _LINES = """
         SELECT doc_id, source, CAST(unnest(range(0, len(string_split(text, chr(10))))) AS INTEGER) AS line, unnest(string_split(text, chr(10))) AS raw FROM documents
     ), s AS (
         SELECT doc_id, source, line, CASE (doc_id * 31 + line) % 23 WHEN 0 THEN ' ' || chr(160) WHEN 1 THEN raw || chr(7) || 'x'
-            WHEN 2 THEN chr(8195) || raw || ' ' || chr(937) || chr(20013) WHEN 3 THEN substr(raw, 1, 40) || chr(9) || 'e' || chr(769) || ' ' ELSE substr(raw, 1, 100) END AS text FROM l
+            WHEN 2 THEN chr(8195) || raw || ' ' || chr(937) || chr(20013) WHEN 3 THEN raw || chr(9) || 'e' || chr(769) || ' ' ELSE raw END AS text FROM l
     ), n AS (
         SELECT doc_id, source, line, {strip} AS target FROM s
     ), a AS (

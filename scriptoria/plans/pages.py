@@ -47,9 +47,8 @@ def q_polygon_area(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_polygon_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is wrong with quadrilaterals in a picture of 64 by 48."""
-    p = g.snapped(F.col("points"), F.lit(64), F.lit(48))
-    problem = g.let(p, lambda s: g.polygon_problem(F.col("points"), s, 1.0))
-    return quads(spark, sf_dir).select("l_orderkey", "l_linenumber", F.when(problem.startswith("polygon area"), "area").otherwise(problem).alias("problem"))
+    problem = g.polygon_problem(F.col("points"), F.col("snapped"), 1.0)
+    return quads(spark, sf_dir).withColumn("snapped", g.snapped(F.col("points"), F.lit(64), F.lit(48))).select("l_orderkey", "l_linenumber", F.when(problem.startswith("polygon area"), "area").otherwise(problem).alias("problem"))
 
 
 @query(
@@ -291,11 +290,15 @@ def q_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.leaks(d.where("doc_id % 10 = 0"), d.where("doc_id % 10 <> 0"), "sha")
 
 
-@query("SELECT source, sha256(string_agg('f' || doc_id || sha256(text), '' ORDER BY 'f' || doc_id)) AS fingerprint FROM documents GROUP BY source")
+@query(
+    """WITH f AS (SELECT source, 'f' || doc_id AS path, sha256(text) AS sha, left(sha256('f' || doc_id), 3) AS bucket FROM documents),
+    p AS (SELECT source, bucket, sha256(string_agg(path || sha, '' ORDER BY path)) AS part FROM f GROUP BY source, bucket)
+    SELECT source, sha256(string_agg(bucket || part, '' ORDER BY bucket)) AS fingerprint FROM p GROUP BY source"""
+)
 def q_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A digest of each source's files."""
+    """A digest of each source's files: no row holds all paths of a source."""
     d = table(spark, sf_dir, "documents").select("source", F.concat(F.lit("f"), F.col("doc_id").cast("string")).alias("path"), F.sha2(F.col("text").cast("binary"), 256).alias("sha256"))
-    return audit.fingerprint(d, ["source"])
+    return audit.tree_fingerprint(d, ["source"])
 
 
 def coco(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from scriptoria.operators.split import chosen_splits
 
-_SHARD = r"^(.+)-\d{5}-of-\d{5}(?:-[0-9A-Za-z]+)?\.parquet$"
+# Fixed value: the name of a shard; what follows the count is a run without a dot.
+_SHARD = r"^(.+)-\d{5}-of-\d{5}(?:-[^.]+)?\.parquet$"
 
 
 def split_of_file(name: Column) -> Column:
@@ -57,14 +58,18 @@ RECORD = "image_info array<struct<image_url:string,matched_text_index:int>>, tex
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_number, value) of text files, numbered from 1, blank lines too.
+    """(file, line_number, value) of text files, numbered from 1, blank lines too; a byte-order mark is taken off.
 
-    Each file is one row until its lines are numbered; files are read in parallel, and a file must fit a task.
+    Large files are read in splits. A split's lines are numbered by themselves, which sorts no more than a
+    split, and the lines of the splits before it in its file are added.
     """
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
-    text = F.regexp_replace(F.regexp_replace("value", "^﻿", ""), r"\r\n?", "\n")
-    lines = files.select("file", F.posexplode(F.split(F.regexp_replace(text, r"\n\z", ""), "\n", -1)).alias("i", "value"))
-    return lines.select("file", (F.col("i") + 1).cast("long").alias("line_number"), "value")
+    split = ["path", "at"]
+    raw = spark.read.text(path).select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("place"), "value")
+    sizes = raw.groupBy(*split).agg(F.count("*").alias("n"))  # a row a split
+    before = sizes.select(*split, F.coalesce(F.sum("n").over(Window.partitionBy("path").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    numbered = raw.withColumn("own", F.row_number().over(Window.partitionBy(*split).orderBy("place"))).join(before, split)
+    line = (F.col("before") + F.col("own")).cast("long")
+    return numbered.select("file", line.alias("line_number"), F.when(line == 1, F.regexp_replace("value", "^﻿", "")).otherwise(F.col("value")).alias("value"))
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -140,6 +145,16 @@ def read_alphabet(spark: SparkSession, path: str) -> str:
     return "".join(sorted({r[0] for r in found} | {" "}))
 
 
+def read_tensor_header(spark: SparkSession, path: str) -> DataFrame:
+    """(name, shard, dtype, shape) of the tensors of a single file: eight bytes that tell a header's length, then the header as JSON."""
+    files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("shard"), "content")
+    size = F.conv(F.hex(F.reverse(F.substring("content", 1, 8))), 16, 10).cast("int")
+    header = F.decode(F.substring(F.col("content"), F.lit(9), size), "utf-8")
+    entries = files.select("shard", F.explode(F.from_json(header, "map<string,string>")).alias("name", "entry")).where("name <> '__metadata__'")
+    parsed = F.from_json("entry", "dtype string, shape array<long>")
+    return entries.select("name", "shard", parsed["dtype"].alias("dtype"), parsed["shape"].alias("shape"))
+
+
 def read_shard_index(spark: SparkSession, path: str) -> DataFrame:
     """(name, shard) of a tensor index."""
     return spark.read.schema("weight_map map<string,string>").json(path, multiLine=True).select(F.explode("weight_map").alias("name", "shard"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from scriptoria.dims import LABELS
 from scriptoria.functions import geometry as g
 from scriptoria.functions import text as t
+from scriptoria.scratch import staged
 
 
 def write_rejections(rows: DataFrame, path: str) -> None:
@@ -103,9 +104,13 @@ def coco(pages: DataFrame, ratio: float = 0.1, seed: int = 42) -> tuple[DataFram
 
 
 def numbered_rows(rows: DataFrame, order: str, name: str) -> DataFrame:
-    """`rows` numbered from 1 in an order: sorted in ranges, which are counted first."""
+    """`rows` numbered from 1 in an order: sorted in ranges, which are counted first.
+
+    The ranges are written out with their rows' places before they are counted, so that a lost executor
+    cannot cut them anew and number rows twice.
+    """
     ranged = rows.repartitionByRange(order).sortWithinPartitions(order).withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id())
-    ranged = ranged.withColumn("__at", F.col("__at") - F.shiftleft(F.col("__part").cast("long"), 33)).persist()
+    ranged = staged(ranged.withColumn("__at", F.col("__at") - F.shiftleft(F.col("__part").cast("long"), 33)))
     sizes = ranged.groupBy("__part").agg(F.count("*").alias("n"))
     before = sizes.select("__part", F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))  # a row a partition
     return ranged.join(before, "__part").withColumn(name, F.col("__before") + F.col("__at") + 1).drop("__part", "__at", "__before")
