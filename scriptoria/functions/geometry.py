@@ -233,3 +233,95 @@ def moved(points: Column, dx: Column, dy: Column, width: Column, height: Column)
 def dragged_box(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     """The rectangle between two corners, in any order."""
     return box_polygon(F.array(F.least(x1, x2), F.least(y1, y2), F.greatest(x1, x2), F.greatest(y1, y2)))
+
+
+# Least and greatest scale of a view; the inspector's sides in pixels, its shares and its zoom.
+SCALES = (0.1, 8.0)
+INSPECTOR_WIDTH, CANVAS_WIDTH, CROP_HEIGHT, EDITOR_HEIGHT = (340, 760), 420, 130, 180
+SPLIT, ZOOM = (0.2, 0.72), (0.25, 4.0)
+
+
+def between(v: Column, lo: Column | float, hi: Column | float) -> Column:
+    """v, not below lo and not above hi (which wins where they are at odds)."""
+    lo, hi = (x if isinstance(x, Column) else F.lit(x) for x in (lo, hi))
+    return F.least(F.greatest(v, lo), hi)
+
+
+def fit_view(view_width: Column, view_height: Column, width: Column, height: Column) -> Column:
+    """struct(scale, x, y) of a view that shows the whole picture in the middle, not enlarged; without a side the plain view."""
+    known = F.coalesce((view_width > 0) & (view_height > 0) & (width > 0) & (height > 0), F.lit(False))
+    scale = F.when(known, F.least(fit_scale(width, height, view_width, view_height), F.lit(1.0))).otherwise(1.0)
+    middle = lambda view, side: F.when(known, (view - side * scale) / 2).otherwise(0.0)
+    return F.struct(scale.alias("scale"), middle(view_width, width).alias("x"), middle(view_height, height).alias("y"))
+
+
+def zoomed_view(view: Column, x: Column, y: Column, wanted: Column) -> Column:
+    """The view at the wanted scale, within limits, with the point (x, y) of the screen where it is."""
+    scale = between(wanted.cast("double"), *SCALES)
+    return F.struct(scale.alias("scale"), zoomed_offset(view["x"], x, view["scale"], scale).alias("x"), zoomed_offset(view["y"], y, view["scale"], scale).alias("y"))
+
+
+def panned_view(view: Column, dx: Column, dy: Column) -> Column:
+    return view.withField("x", view["x"] + dx).withField("y", view["y"] + dy)
+
+
+def resized_edge(points: Column, edge: Column, x: Column, y: Column, width: Column, height: Column) -> Column:
+    """A rectangle with one edge ('top', 'right', 'bottom', 'left') dragged to (x, y): inside the picture, and one pixel at least from the edge opposite."""
+    (x0, y0), (x1, y1), (x2, y2), (x3, y3) = _corners(points)
+    end_x, end_y = (F.greatest(n.cast("double") - 1, F.lit(0.0)) for n in (width, height))
+    x, y = x.cast("double"), y.cast("double")
+    top = between(y, 0.0, F.greatest(F.least(y2, y3) - 1, F.lit(0.0)))
+    left = between(x, 0.0, F.greatest(F.least(x1, x2) - 1, F.lit(0.0)))
+    right = F.least(F.greatest(F.least(x, end_x), F.least(end_x, F.greatest(x0, x3) + 1)), end_x)
+    bottom = F.least(F.greatest(F.least(y, end_y), F.least(end_y, F.greatest(y0, y1) + 1)), end_y)
+    top, left = F.least(top, end_y), F.least(left, end_x)
+    pick = lambda name, new, old: F.when(edge == name, new).otherwise(old)
+    return F.array(
+        F.array(pick("left", left, x0), pick("top", top, y0)), F.array(pick("right", right, x1), pick("top", top, y1)),
+        F.array(pick("right", right, x2), pick("bottom", bottom, y2)), F.array(pick("left", left, x3), pick("bottom", bottom, y3)),
+    )
+
+
+def crop_rect(points: Column, width: Column, height: Column) -> Column:
+    """struct(left, top, right, bottom, width, height): the whole pixels around a polygon, at least one, inside the picture."""
+    b = bounds(points)
+    sides = {}
+    for name, low, high, n in (("x", b[0], b[2], width), ("y", b[1], b[3], height)):
+        n = F.greatest(n.cast("double"), F.lit(1.0))
+        lo = between(F.floor(low).cast("double"), 0.0, n - 1)
+        sides[name] = lo, between(F.ceil(high).cast("double"), lo + 1, n)
+    (l, r), (t, e) = sides["x"], sides["y"]
+    return F.struct(l.alias("left"), t.alias("top"), r.alias("right"), e.alias("bottom"), (r - l).alias("width"), (e - t).alias("height"))
+
+
+def crop_view(box: Column, width: Column, height: Column, view_width: Column, view_height: Column, zoom: Column) -> Column:
+    """How a crop (crop_rect()) is shown in a view: its scale (null zoom: fitted), the sides of content and canvas, and where both begin."""
+    room = [F.greatest(v.cast("double"), F.lit(1.0)) for v in (view_width, view_height)]
+    scale = F.when(zoom.isNull(), F.least(room[0] / box["width"], room[1] / box["height"])).otherwise(between(zoom.cast("double"), *ZOOM))
+    content = [F.greatest(box[s] * scale, F.lit(1.0)) for s in ("width", "height")]
+    canvas = [F.greatest(r, c) for r, c in zip(room, content, strict=True)]
+    names = {
+        "scale": scale, "content_width": content[0], "content_height": content[1], "canvas_width": canvas[0], "canvas_height": canvas[1],
+        "clip_left": (canvas[0] - content[0]) / 2, "clip_top": (canvas[1] - content[1]) / 2, "image_left": -box["left"] * scale, "image_top": -box["top"] * scale,
+        "image_width": F.greatest(width * scale, F.lit(1.0)), "image_height": F.greatest(height * scale, F.lit(1.0)),
+    }
+    return F.struct(*(c.alias(name) for name, c in names.items()))
+
+
+def inspector_width(value: Column, view_width: Column, sidebar: int = 245, separator: int = 9) -> Column:
+    """A pane's width between its limits, as far as the canvas beside it allows."""
+    lo, hi = INSPECTOR_WIDTH
+    most = F.greatest(F.lit(lo), F.least(F.lit(hi), view_width - sidebar - separator - CANVAS_WIDTH))
+    return between(value, F.lit(lo), most)
+
+
+def crop_height(total: Column, share: Column, separator: int = 9) -> Column:
+    """The height of the crop's pane for its share of the whole, as far as the editor below allows."""
+    most = F.greatest(F.lit(CROP_HEIGHT), F.greatest(total - separator, F.lit(0)) - EDITOR_HEIGHT)
+    return between(total * between(share, *SPLIT), F.lit(float(CROP_HEIGHT)), most.cast("double"))
+
+
+def crop_share(total: Column, height: Column, separator: int = 9) -> Column:
+    """The share that a height of the crop's pane stands for."""
+    most = F.greatest(F.lit(CROP_HEIGHT), F.greatest(total - separator, F.lit(0)) - EDITOR_HEIGHT)
+    return between(between(height, F.lit(CROP_HEIGHT), most) / F.greatest(total, F.lit(1)), *SPLIT)

@@ -280,6 +280,13 @@ def resize_chart(model: dict, edge: str, grow: bool) -> dict:
     return {"headers": headers, "alignments": alignments, "rows": rows}
 
 
+def align_chart(model: dict, column: int, alignment: str) -> dict:
+    """A chart with one column's alignment set: none, left, center or right."""
+    if alignment not in ("none", "left", "center", "right"):
+        raise ValueError(f"unknown alignment {alignment!r}")
+    return model | {"alignments": [alignment if i == column else a for i, a in enumerate(model["alignments"])]}
+
+
 # Column forms.
 
 

@@ -161,6 +161,45 @@ def log_counts(log: Column, key: str) -> Column:
     return F.when(raw != "", F.replace(raw, F.lit(","), F.lit("")).cast("double").cast("long"))
 
 
+def csv(values: Column) -> Column:
+    return F.array_join(values, ",")
+
+
+def utc_stamp(at: Column) -> Column:
+    """A time in UTC as ISO 8601, to the second."""
+    return F.date_format(F.to_utc_timestamp(at, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def run_stamp(at: Column) -> Column:
+    """A time as the names of run folders have it."""
+    return F.date_format(at, "yyyyMMdd_HHmmss")
+
+
+# Fixed value: the line of a trainer's log that tells the counts.
+TRAINABLE = r"(?is)trainable\s+parameters?\s*[:=]\s*([0-9,.+e-]+).*?(?:all|total)\s+parameters?\s*[:=]\s*([0-9,.+e-]+)"
+
+
+def trainable_report(log: Column, names_key: str) -> Column:
+    """struct(trainable, total, names) of a trainer's log: two counts, and the JSON list of names behind `names_key`= at the begin of a line; null for what is not there."""
+    number = lambda i: F.replace(F.regexp_extract(log, TRAINABLE, i), F.lit(","), F.lit("")).try_cast("double").cast("long")
+    raw = F.regexp_extract(log, rf"(?m)^{names_key}=(\[.*\])", 1)
+    names = F.try_variant_get(F.try_parse_json(raw), "$", "array<string>")
+    return F.struct(number(1).alias("trainable"), number(2).alias("total"), F.when(F.forall(names, lambda n: n.isNotNull() & (n != "")), names).alias("names"))
+
+
+def trainable_problem(report: Column, most: float = 0.2) -> Column:
+    """The first thing wrong with a trainable_report(), null if training may start."""
+    n, total, names = report["trainable"], report["total"], report["names"]
+    return (
+        F.when(n.isNull() | total.isNull(), "no counts")
+        .when(names.isNull(), "no names")
+        .when((total <= 0) | (n <= 0), "counts must be positive")
+        .when(~F.exists(names, lambda x: F.lower(x).contains("lora")), "no adapter parameters")
+        .when(F.exists(names, lambda x: ~in_adapter_scope(x)), "parameters outside the adapter's scope")
+        .when((n >= total) | (n / total > most), "too much is trainable")
+    )
+
+
 # Parameters that adapters may train, and projections that they must have.
 ADAPTER_SCOPE = r"^(?:model\.)?model\.layers\.\d+\.(?:self_attn\.(?:q_proj|k_proj|v_proj|o_proj)|mlp\.(?:up_proj|gate_proj|down_proj))\.lora_[AB]\z"
 PROJECTIONS = ("q_proj", "k_proj", "v_proj", "o_proj", "up_proj", "gate_proj", "down_proj")

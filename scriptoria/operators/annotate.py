@@ -185,3 +185,70 @@ def source_unchanged(catalog: DataFrame, current: DataFrame) -> DataFrame:
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"now_{k}"))
     return catalog.join(now, "image_id", "left").select("image_id", same.alias("unchanged"))
+
+
+# Steps of an editor on the blocks of a page. An id that no block has leaves the blocks as they are; orders are numbered anew.
+
+
+def _of(blocks: Column, block_id: Column, step) -> Column:
+    return F.transform(blocks, lambda b: F.when(b["id"] == block_id, step(b)).otherwise(b))
+
+
+def with_text(blocks: Column, block_id: Column, text: Column) -> Column:
+    return renumbered(_of(blocks, block_id, lambda b: changed(b, text=text)))
+
+
+def with_corner(blocks: Column, block_id: Column, corner: Column, x: Column, y: Column, width: Column, height: Column) -> Column:
+    """One corner of a block's polygon, counted from 0, moved to (x, y) inside the picture."""
+    point = F.get(g.clamp(F.array(F.array(x.cast("double"), y.cast("double"))), width, height), F.lit(0))
+    moved = lambda b: changed(b, polygon=F.transform(b["polygon"], lambda p, i: F.when(i == corner, point).otherwise(p)))
+    return renumbered(_of(blocks, block_id, moved))
+
+
+def with_move(blocks: Column, block_id: Column, dx: Column, dy: Column, width: Column, height: Column) -> Column:
+    return renumbered(_of(blocks, block_id, lambda b: changed(b, polygon=g.moved(b["polygon"], dx, dy, width, height))))
+
+
+def with_block(blocks: Column, block: Column, width: Column, height: Column) -> Column:
+    """One block more (of the blocks' own type) behind the others: inside the picture, drawn by hand, and so without a score."""
+    new = changed(block, order=F.size(blocks), polygon=g.clamp(block["polygon"], width, height), source=F.lit("manual"), score=F.lit(None).cast("double"))
+    return renumbered(F.concat(renumbered(blocks), F.array(new)))
+
+
+def without_block(blocks: Column, block_id: Column) -> Column:
+    return renumbered(F.filter(blocks, lambda b: b["id"] != block_id))
+
+
+def with_place(blocks: Column, block_id: Column, place: Column) -> Column:
+    """A block moved to a place in the order, counted from 0 among the others."""
+    ordered = in_order(blocks)
+    rest = F.filter(ordered, lambda b: b["id"] != block_id)
+    at = g.between(place, 0, F.size(rest)).cast("int")
+    whole = F.concat(F.slice(rest, F.lit(1), at), F.filter(ordered, lambda b: b["id"] == block_id), F.slice(rest, at + 1, F.size(rest)))
+    return F.transform(whole, lambda b, i: changed(b, order=i))
+
+
+def saved_blocks(blocks: Column) -> Column:
+    """Blocks as a save leaves them: validations of texts that have changed since are gone."""
+    return F.transform(blocks, lambda b: changed(b, validation=fresh_validation(b)))
+
+
+def issue_count(block: Column) -> Column:
+    """How many issues a block's validation has; 0 without one."""
+    return F.when(block["validation"]["issues"].isNull(), 0).otherwise(F.size(block["validation"]["issues"]))
+
+
+def with_issues(blocks: DataFrame, issues: DataFrame, page: str = "page") -> DataFrame:
+    """`blocks` (page, id, ...) with n_issues: how many rows of `issues` (page, id) each one has. Issues are summed up before they are joined."""
+    n = issues.groupBy(page, "id").agg(F.count("*").alias("n_issues"))
+    return blocks.join(n, [page, "id"], "left").withColumn("n_issues", F.coalesce("n_issues", F.lit(0)))
+
+
+def annotation_matches(catalog: DataFrame, annotations: DataFrame) -> DataFrame:
+    """(image_id, matches): whether an annotation (image_id, path, width, height, sha256) was made of the picture in the catalogue; without one it is null."""
+    keys = ("path", "width", "height", "sha256")
+    own = annotations.select("image_id", F.lit(True).alias("annotated"), *(F.col(k).alias(f"a_{k}") for k in keys))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"a_{k}"))
+    return catalog.join(own, "image_id", "left").select("image_id", F.when(F.col("annotated"), same).alias("matches"))

@@ -110,6 +110,27 @@ def tree_fingerprint(files: DataFrame, by: list[str] | None = None, digits: int
     return fingerprint(parts.select(*by, F.col("bucket").alias("path"), F.col("fingerprint").alias("sha256")), by)
 
 
+def full_report(images: DataFrame, annotations: DataFrame, files: DataFrame) -> DataFrame:
+    """One JSON document of an audit: totals by split, annotations by class and split, what splits share, and the fingerprint of the files (path, sha256).
+
+    Totals and classes are few; all else in it is counts.
+    """
+    spark = images.sparkSession
+    totals = report(images, annotations)
+    named = label_table(spark)
+    by_class = annotations.groupBy("split", F.col("category_id").cast("int").alias("label_id")).agg(F.count("*").alias("n")).join(named, "label_id").select("split", "label", "n")
+    shared = lambda c: images.where("split = 'train'").select(c).intersect(images.where("split = 'validation'").select(c)).agg(F.count("*").alias("n"))
+    one = lambda df, column, name: df.agg(F.array_sort(F.collect_list(column)).alias(name))
+    parts = [
+        one(totals, F.struct("split", "images", "annotations", "problems"), "splits"), one(by_class, F.struct("split", "label", "n"), "classes"),
+        shared("id").select(F.col("n").alias("shared_ids")), shared("file_name").select(F.col("n").alias("shared_names")), tree_fingerprint(files).select("fingerprint"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:  # one row each
+        out = out.join(F.broadcast(p))
+    return out.select(F.to_json(F.struct("*")).alias("report"))
+
+
 def report(images: DataFrame, annotations: DataFrame) -> DataFrame:
     """(split, images, annotations, problems): the totals of an audit."""
     n_images = images.groupBy("split").agg(F.count("*").alias("images"))

@@ -74,6 +74,12 @@ def reconciliation(checked: DataFrame) -> DataFrame:
     return checked.agg(n("unchanged"), n("adapted"), n("missing"), n("unexpected"), n("mismatch"), F.max(F.when(F.col("status") == "adapted", F.col("error"))).alias("max_error"))
 
 
+def missing_projections(names: DataFrame, required: tuple[str, ...], name: str = "name") -> DataFrame:
+    """(projection): which of the required projections no adapter parameter in `names` has."""
+    found = names.select(F.regexp_extract(name, r"\.([a-z_]+)\.lora_", 1).alias("projection")).distinct()
+    return names.sparkSession.createDataFrame([(p,) for p in required], "projection string").join(found, "projection", "left_anti")
+
+
 def shape_differences(model: DataFrame, checkpoint: DataFrame) -> DataFrame:
     """(name, problem) of tensors (name, shape) that a checkpoint lacks or has in another shape."""
     joined = model.join(checkpoint.select("name", F.col("shape").alias("found")), "name", "left")

@@ -12,6 +12,7 @@ from scriptoria.functions import text as t
 from scriptoria.operators import annotate, audit
 from scriptoria.plans.rows import sql_strip, table
 from scriptoria.registry import query
+from scriptoria.sources import sinks
 
 
 def quads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,7 +208,8 @@ def q_training_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training records as JSON, read back and checked."""
     c = table(spark, sf_dir, "conversations")
     prompt = t.prompt_of(F.when(F.col("role") == "user", "ocr").otherwise("formula"))
-    record = F.to_json(F.struct(F.array(F.struct(F.lit("x.png").alias("image_url"), F.when(F.col("role") == "system", 1).otherwise(0).alias("matched_text_index"))).alias("image_info"), F.array(F.struct(prompt.alias("text"), F.lit("mask").alias("tag")), F.struct(F.col("text"), F.lit("no_mask").alias("tag"))).alias("text_info")))
+    record = sinks.training_record(F.lit("x.png"), prompt, F.col("text"))
+    record = F.when(F.col("role") == "system", F.replace(record, F.lit('"matched_text_index":0'), F.lit('"matched_text_index":1'))).otherwise(record)
     r = c.select("conv_id", "turn", F.from_json(record, "image_info array<struct<image_url:string,matched_text_index:int>>, text_info array<struct<text:string,tag:string>>").alias("r"))
     texts = F.col("r.text_info")
     return r.select("conv_id", "turn", texts[0]["text"].alias("prompt"), texts[1]["text"].alias("target"), texts[0]["tag"].alias("tag"), grammar.record_error(F.col("r.image_info"), texts, tuple(PROMPTS.values())).alias("problem"))

@@ -155,9 +155,8 @@ def q_parameter_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_missing_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Projections that no adapter parameter has."""
     k = F.col("p_partkey") % 3
-    names = table(spark, sf_dir, "part").select(F.when(k == 0, "q_proj").when(k == 1, "up_proj").otherwise("k_proj").alias("projection")).distinct()
-    required = spark.createDataFrame([(p,) for p in t.PROJECTIONS], "projection string")
-    return required.join(names, "projection", "left_anti")
+    name = F.concat(F.lit("model.layers.1.x."), F.when(k == 0, "q_proj").when(k == 1, "up_proj").otherwise("k_proj"), F.lit(".lora_A"))
+    return tensors.missing_projections(table(spark, sf_dir, "part").select(name.alias("name")), t.PROJECTIONS)
 
 
 @query(

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import struct
+import zlib
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,6 +76,115 @@ def probe(content: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["width", "height", "error"])
 
 
+try:
+    from PIL import Image as _pillow
+except ImportError:  # bodies are then checked by their formats' own rules
+    _pillow = None
+
+
+def check_body(content: bytes) -> None:
+    """Raises ValueError where the picture behind a good header is cut off or broken.
+
+    With an imaging library at hand the picture is decoded. Without one, PNG is decompressed and its check
+    sums and size are compared, and of the other formats the lengths and ends that they state are looked at.
+    """
+    if _pillow is not None:
+        try:
+            with _pillow.open(io.BytesIO(content)) as image:
+                image.load()
+        except Exception as e:
+            raise ValueError(f"cannot decode: {e}") from e
+        return
+    if content[:4] == b"\x89PNG":
+        at, data, ended = 8, bytearray(), False
+        while at + 12 <= len(content) and not ended:
+            size, kind = struct.unpack(">I4s", content[at : at + 8])
+            body = content[at + 8 : at + 8 + size]
+            if len(body) < size or len(content) < at + 12 + size or zlib.crc32(kind + body) != struct.unpack(">I", content[at + 8 + size : at + 12 + size])[0]:
+                raise ValueError("broken PNG chunk")
+            data += body if kind == b"IDAT" else b""
+            ended = kind == b"IEND"
+            at += 12 + size
+        width, height, depth, colour, _, _, interlaced = struct.unpack(">IIBBBBB", content[16:29])
+        channels = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}.get(colour, 0)
+        try:
+            pixels = zlib.decompress(bytes(data))
+        except zlib.error as e:
+            raise ValueError("broken PNG data") from e
+        if not ended or not channels or (not interlaced and len(pixels) < height * (1 + -(-width * depth * channels // 8))):
+            raise ValueError("PNG is cut off")
+    elif content[:2] == b"BM":
+        (offset,) = struct.unpack("<I", content[10:14])
+        width, height, _, depth, packed = struct.unpack("<iiHHI", content[18:34])
+        if packed == 0 and len(content) < offset + abs(height) * (-(-abs(width) * depth // 32) * 4):
+            raise ValueError("BMP is cut off")
+    elif content[:2] == b"\xff\xd8":
+        if b"\xff\xda" not in content or not content.rstrip(b"\0").endswith(b"\xff\xd9"):
+            raise ValueError("JPEG is cut off")
+    elif content[:4] == b"GIF8":
+        if not content.rstrip(b"\0").endswith(b";"):
+            raise ValueError("GIF is cut off")
+    elif content[:4] == b"RIFF" and len(content) < 8 + struct.unpack("<I", content[4:8])[0]:
+        raise ValueError("WebP is cut off")
+
+
+ADMITTED = "width int, height int, problem string, detail string"
+
+
+def admitted(max_pixels: int = 100_000_000, min_side: int = 1):
+    """A function of image bytes: struct(width, height, problem, detail).
+
+    Sides up to min_side are invalid_image, too many pixels pixel_limit_exceeded; only what passes these cheap
+    checks is decoded, and what cannot be is invalid_image. Null and empty bytes are invalid.
+    """
+
+    def judged(content: bytes | None) -> tuple[int | None, int | None, str | None, str | None]:
+        w = h = None
+        try:
+            if not content:
+                raise ValueError("empty file")
+            w, h = sides(content)
+            if w <= min_side or h <= min_side:
+                raise ValueError(f"invalid dimensions {w}x{h}")
+            if w * h > max_pixels:
+                return w, h, "pixel_limit_exceeded", f"image has {w * h} pixels; limit is {max_pixels}"
+            check_body(content)
+        except (ValueError, struct.error, IndexError) as e:
+            return w, h, "invalid_image", str(e)
+        return w, h, None, None
+
+    @F.pandas_udf(ADMITTED)
+    def run(content: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([judged(None if c is None else bytes(c)) for c in content], columns=["width", "height", "problem", "detail"]).astype({"width": "Int32", "height": "Int32"})
+
+    return run
+
+
+def png(width: int, height: int, pixels: bytes) -> bytes:
+    """A PNG of rows of red, green and blue bytes."""
+    if len(pixels) != 3 * width * height:
+        raise ValueError("pixels do not fit the sides")
+    rows = b"".join(b"\0" + pixels[3 * width * y : 3 * width * (y + 1)] for y in range(height))
+    chunk = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
+
+
+def with_content(rows: DataFrame, root: str, image: str = "image") -> DataFrame:
+    """`rows` with content: the bytes of an image column struct<bytes, path>. Bytes win; else the file at path, which is taken from `root` unless it is absolute.
+
+    Files are read once each, however many rows name them; a file that is not there gives null.
+    """
+    spark = rows.sparkSession
+    own, path = image_bytes(F.col(image))
+    full = F.when(path.startswith("/"), path).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), path))
+    marked = rows.withColumn("__path", full)
+    here = lambda p: p if "://" in p else Path(p).as_uri() if p.startswith("/") else p
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(here(root))
+    files = files.select(F.regexp_replace("path", "^file:/*", "/").alias("__path"), F.col("content").alias("__content"))
+    joined = marked.join(files, "__path", "left")
+    return joined.withColumn("content", F.coalesce(own, F.col("__content"))).drop("__path", "__content")
+
+
 def image_bytes(image: Column) -> tuple[Column, Column]:
     """(bytes, path) of an image column struct<bytes, path>: bytes come first, the path is used where there are none."""
     return image["bytes"], F.when(image["bytes"].isNull(), image["path"])

@@ -116,6 +116,46 @@ def numbered_rows(rows: DataFrame, order: str, name: str) -> DataFrame:
     return ranged.join(before, "__part").withColumn(name, F.col("__before") + F.col("__at") + 1).drop("__part", "__at", "__before")
 
 
+def stage_images(rows: DataFrame, path: str, content: str = "content") -> None:
+    """Each distinct picture once, as (sha256, content): a copy is told by its digest."""
+    rows.where(F.col(content).isNotNull()).select(F.sha2(content, 256).alias("sha256"), F.col(content).alias("content")).dropDuplicates(["sha256"]).write.parquet(path)
+
+
+def write_coco(images: DataFrame, annotations: DataFrame, path: str) -> None:
+    """One split's COCO document: images, annotations and the taxonomy. Rows come to the driver a partition at a time and go straight to the file."""
+    target = Path(path)
+    handle, temporary = tempfile.mkstemp(dir=target.parent, prefix=f".{target.name}.")
+    try:
+        with os.fdopen(handle, "w", encoding="utf-8") as out:
+            out.write("{")
+            for name, rows in (("images", images.orderBy("id")), ("annotations", annotations.orderBy("id"))):
+                out.write(f'"{name}":[')
+                for i, r in enumerate(rows.select(F.to_json(F.struct("*"))).toLocalIterator()):
+                    out.write(("," if i else "") + r[0])
+                out.write("],")
+            out.write('"categories":' + json.dumps([{"id": i, "name": x} for i, x in enumerate(LABELS, 1)]) + "}\n")
+            out.flush()
+            os.fsync(out.fileno())
+        os.replace(temporary, target)
+    except BaseException:
+        Path(temporary).unlink(missing_ok=True)
+        raise
+
+
+def yaml_text(value: object, indent: int = 0) -> str:
+    """A configuration as YAML: mappings and lists in block form, everything else as JSON scalars, which YAML reads as they are."""
+    pad = "  " * indent
+    if isinstance(value, dict) and value:
+        return "".join(f"{pad}{k}:" + (f"\n{yaml_text(v, indent + 1)}" if isinstance(v, (dict, list)) and v else f" {json.dumps(v, ensure_ascii=False)}\n") for k, v in value.items())
+    if isinstance(value, list) and value:
+        return "".join(f"{pad}-" + (f"\n{yaml_text(v, indent + 1)}" if isinstance(v, (dict, list)) and v else f" {json.dumps(v, ensure_ascii=False)}\n") for v in value)
+    return f"{pad}{json.dumps(value, ensure_ascii=False)}\n"
+
+
+def write_yaml(path: str, value: dict) -> None:
+    write_file(path, yaml_text(value))
+
+
 def write_file(path: str, content: str) -> None:
     """A small file, written whole or not at all."""
     target = Path(path)

@@ -144,3 +144,55 @@ def fold_sessions(events: DataFrame) -> DataFrame:
             yield pd.DataFrame([told(at, s)], columns=columns)
 
     return rows.mapInPandas(run, "session string, text string, status string, revision long, dirty boolean, undo_steps int, redo_steps int")
+
+
+#: What may be done with a page that is completed; anything else needs it to be reopened first.
+ON_COMPLETED = ("complete", "reopen", "save")
+
+
+def acted(status: Column, action: Column, completable: Column) -> Column:
+    """struct(status, problem, saved) of a page after an action: detect, prelabel, validate, edit, complete or reopen.
+
+    A completed page is read-only until it is reopened as a draft; reopening another page changes nothing.
+    A page that cannot be completed stays as it is. Detection leaves 'detected', an edit 'edited'.
+    """
+    locked = (status == "completed") & ~action.isin(*ON_COMPLETED)
+    refused = (action == "complete") & ~F.coalesce(completable, F.lit(False))
+    idle = (action == "reopen") & (status != "completed")
+    after = F.when(locked | refused | idle, status).when(action == "complete", "completed").when(action == "reopen", "draft").when(action == "detect", "detected").when(action.isin("edit", "prelabel"), "edited").otherwise(status)
+    problem = F.when(locked, "read-only").when(refused, "not complete")
+    return F.struct(after.alias("status"), problem.alias("problem"), (~locked & ~refused & ~idle).alias("saved"))
+
+
+def saved_status(stored: Column, status: Column, changed: Column) -> Column:
+    """The status that a save leaves: a completed page that changes while it claims to be completed is edited."""
+    return F.when((stored == "completed") & (status == "completed") & changed, "edited").otherwise(status)
+
+
+def detect_outcome(has_error: Column, status: Column, n_blocks: Column) -> Column:
+    """What a detection batch does with a page: pages with an error fail, completed ones and those with blocks are skipped."""
+    return F.when(has_error, "failed").when((status == "completed") | (n_blocks > 0), "skipped").otherwise("processed")
+
+
+def prelabel_outcome(has_error: Column, status: Column, needed: Column) -> Column:
+    """What a prelabel batch does with a page; `needed` is annotate.needs_prelabel()."""
+    return F.when(has_error, "failed").when((status == "completed") | ~F.coalesce(needed, F.lit(False)), "skipped").otherwise("processed")
+
+
+def validation_error(outcome: Column, wanted: Column, configured: Column, eligible: Column, failure: Column) -> Column:
+    """The error of the validation behind a prelabel, null for none. It fails open: the page stays processed.
+
+    `failure` is what the validator says, null if it succeeds. A page without eligible blocks is no error.
+    """
+    asked = F.coalesce((outcome == "processed") & wanted, F.lit(False))
+    return F.when(~asked, F.lit(None)).when(~configured, "LLM validation failed").when(~eligible, F.lit(None)).otherwise(failure)
+
+
+def retried(first: Column, second: Column) -> Column:
+    """How a validation ends, from the outcomes of two attempts: only an answer that breaks the contract ('semantic') is asked for once more."""
+    return F.when(first == "semantic", second).otherwise(first)
+
+
+def resume_problems(earlier: dict[str, Column], now: dict[str, Column]) -> Column:
+    """Names of the settings in which a resumed run differs from the earlier one, in the order given."""
+    return F.filter(F.array(*(F.when(~earlier[k].eqNullSafe(now[k]), F.lit(k)) for k in earlier)), lambda k: k.isNotNull())
