@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -322,6 +322,40 @@ def cells_html_of(cells: pd.Series) -> pd.Series:
     return pd.Series([None if x is None else cells_html([dict(c) for c in x]) for x in cells], dtype=object)
 
 
+@F.pandas_udf(CELLS)
+def merged_cells_of(cells: pd.Series, row: pd.Series, column: pd.Series, direction: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None else merge_cells([dict(c) for c in x], r, k, d) for x, r, k, d in zip(cells, row, column, direction, strict=True)], dtype=object)
+
+
+@F.pandas_udf(CELLS)
+def split_cells_of(cells: pd.Series, row: pd.Series, column: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None else split_cell([dict(c) for c in x], r, k) for x, r, k in zip(cells, row, column, strict=True)], dtype=object)
+
+
+@F.pandas_udf(CELLS)
+def resized_cells_of(cells: pd.Series, edge: pd.Series, grow: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None else resize_table([dict(c) for c in x], e, g) for x, e, g in zip(cells, edge, grow, strict=True)], dtype=object)
+
+
+def _charts(models: pd.DataFrame, step: Callable[[dict, int], dict]) -> pd.DataFrame:
+    """A step on each chart; rows without one stay without."""
+    out = []
+    for i, (headers, alignments, rows) in enumerate(zip(models["headers"], models["alignments"], models["rows"], strict=True)):
+        known = headers is not None
+        out.append(step({"headers": list(headers), "alignments": list(alignments), "rows": [list(r) for r in rows]}, i) if known else {})
+    return pd.DataFrame({k: [m.get(k) for m in out] for k in ("headers", "alignments", "rows")})
+
+
+@F.pandas_udf(MARKDOWN)
+def resized_chart_of(models: pd.DataFrame, edge: pd.Series, grow: pd.Series) -> pd.DataFrame:
+    return _charts(models, lambda m, i: resize_chart(m, edge[i], grow[i]))
+
+
+@F.pandas_udf(MARKDOWN)
+def aligned_chart_of(models: pd.DataFrame, column: pd.Series, alignment: pd.Series) -> pd.DataFrame:
+    return _charts(models, lambda m, i: align_chart(m, column[i], alignment[i]))
+
+
 @F.pandas_udf(MARKDOWN)
 def markdown_of(text: pd.Series) -> pd.DataFrame:
     def model(t: str | None) -> dict:

@@ -161,6 +161,11 @@ def log_counts(log: Column, key: str) -> Column:
     return F.when(raw != "", F.replace(raw, F.lit(","), F.lit("")).cast("double").cast("long"))
 
 
+def canonical_json(json: Column) -> Column:
+    """A JSON text with the keys of its objects in order and no spaces, so that equal values are equal texts; null if it is none."""
+    return F.to_json(F.try_parse_json(json))
+
+
 def csv(values: Column) -> Column:
     return F.array_join(values, ",")
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scriptoria.dims import PROMPTS
+from scriptoria.dims import PROMPTS, lookup
 
 
 def sqrt_probabilities(counts: DataFrame, n: str = "n") -> DataFrame:
@@ -47,6 +47,12 @@ def merged_rejections(maps: DataFrame, rejected: str = "rejected") -> DataFrame:
     return maps.select(F.explode(rejected).alias("reason", "n")).groupBy("reason").agg(F.sum("n").alias("n")).orderBy("reason")
 
 
+def distinct_tasks(rows: DataFrame, task: str = "task") -> DataFrame:
+    """One row (tasks, prompts): the tasks that occur, in their order, and their prompts. Tasks are few."""
+    found = rows.where(F.col(task).isNotNull()).agg(F.sort_array(F.collect_set(task)).alias("tasks"))
+    return found.select("tasks", F.transform("tasks", lambda x: lookup(PROMPTS, x)).alias("prompts"))
+
+
 def max_steps(samples: Column, epochs: float, accumulation: int, devices: int = 1, batch: int = 1) -> Column:
     """Optimiser steps, rounded up."""
     return F.ceil(samples * F.lit(float(epochs)) / (batch * accumulation * devices)).cast("long")

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scriptoria.functions import geometry as g
+from scriptoria.functions import grammar
 from scriptoria.functions import text as t
-from scriptoria.operators import admission, annotate
-from scriptoria.plans.pages import _BLOCKS, pages, turn_blocks
+from scriptoria.operators import admission, annotate, evaluate, mix
+from scriptoria.plans.pages import _BLOCKS, pages, region_tables, turn_blocks
 from scriptoria.plans.rows import ALPHABET, sql_strip, table
 from scriptoria.registry import query
 from scriptoria.sources import images
@@ -327,3 +328,79 @@ def q_multitask_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("p_partkey", "reason")
 
 
+
+
+@query("WITH n AS (SELECT n_regionkey, count(*) AS k FROM nation GROUP BY n_regionkey) SELECT r_regionkey, CAST(3 + 2 * k AS INTEGER) AS grown, CAST(1 + k AS INTEGER) AS shrunk, CAST(2 + 2 * k AS INTEGER) AS split, 2 AS merged, r_name AS text FROM region JOIN n ON r_regionkey = n_regionkey WHERE r_regionkey NOT IN (1, 2)")
+def q_table_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables with a row more, a column less, a cell split, and put together again."""
+    c = region_tables(spark, sf_dir).withColumn("cells", grammar.otsl_cells_of("target")).where("cells is not null")
+    c = c.withColumn("split", grammar.split_cells_of("cells", F.lit(0), F.lit(0))).withColumn("merged", grammar.merged_cells_of("split", F.lit(0), F.lit(0), F.lit("right")))
+    head = F.get(F.filter("merged", lambda x: (x["row"] == 0) & (x["column"] == 0)), F.lit(0))
+    grown, shrunk = grammar.resized_cells_of("cells", F.lit("row"), F.lit(True)), grammar.resized_cells_of("cells", F.lit("column"), F.lit(False))
+    return c.select("r_regionkey", F.size(grown).alias("grown"), F.size(shrunk).alias("shrunk"), F.size("split").alias("split"), head["colspan"].alias("merged"), head["text"].alias("text"))
+
+
+@query("SELECT p_partkey, [p_name, 'size', ''] AS headers, ['left', 'center', 'none'] AS alignments, 2 AS n_rows, 1 AS narrow FROM part")
+def q_chart_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Charts with a row and a column more, another alignment, and down to the last column."""
+    text = F.concat(F.lit("| "), "p_name", F.lit(" | size |\n|:---|---:|\n| a | "), F.col("p_size").cast("string"), F.lit(" |"))
+    p = table(spark, sf_dir, "part").select("p_partkey", grammar.markdown_of(text).alias("m"))
+    p = p.withColumn("wide", grammar.resized_chart_of(F.col("m"), F.lit("column"), F.lit(True))).withColumn("long", grammar.resized_chart_of(F.col("wide"), F.lit("row"), F.lit(True)))
+    p = p.withColumn("set", grammar.aligned_chart_of(F.col("long"), F.lit(1), F.lit("center"))).withColumn("less", grammar.resized_chart_of(F.col("m"), F.lit("column"), F.lit(False)))
+    p = p.withColumn("last", grammar.resized_chart_of(F.col("less"), F.lit("column"), F.lit(False)))
+    return p.select("p_partkey", "set.headers", "set.alignments", F.size("set.rows").alias("n_rows"), F.size("last.headers").alias("narrow"))
+
+
+@query("SELECT p_partkey, p_partkey % 4 <> 2 AS parses, p_partkey % 4 IN (0, 3) AS valid, CASE WHEN p_partkey % 4 = 2 THEN 'html_table' END AS error FROM part WHERE p_partkey % 4 <> 1 UNION ALL SELECT p_partkey, TRUE, FALSE, NULL FROM part WHERE p_partkey % 4 = 1")
+def q_inspect_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets that parse, are valid, or neither; the error of blank ones is left out."""
+    k = F.col("p_partkey") % 4
+    text = F.when(k == 1, "  ").when(k == 2, "<table>x</table>").when(k == 3, "<fcel>a<nl>").otherwise(F.col("p_name"))
+    task = F.when(k == 2, "formula").when(k == 3, "table").otherwise("ocr")
+    p = table(spark, sf_dir, "part").select("p_partkey", grammar.inspect_of(text, task).alias("i"))
+    return p.select("p_partkey", "i.parses", "i.valid", F.when(k != 1, F.col("i.error")).alias("error"))
+
+
+@query("SELECT p_partkey, left(sha256('img/' || p_partkey), 24) AS image_id, sha256(p_name) AS sha FROM part")
+def q_opaque_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of pictures by their paths, and digests of their bytes."""
+    p = table(spark, sf_dir, "part")
+    return p.select("p_partkey", images.opaque_id(F.format_string("img/%d", "p_partkey")).alias("image_id"), F.sha2(F.col("p_name").cast("binary"), 256).alias("sha"))
+
+
+@query("SELECT event_id, '{\"a\":[1,{\"c\":null,\"d\":' || event_id || '}],\"b\":\"x\"}' AS frozen FROM events WHERE event_id % 3 <> 0 UNION ALL SELECT event_id, NULL FROM events WHERE event_id % 3 = 0")
+def q_canonical_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested values as texts that are equal where the values are."""
+    json = F.when(F.col("event_id") % 3 == 0, "{no").when(F.col("event_id") % 3 == 1, F.format_string('{"b": "x", "a": [1, {"d": %d, "c": null}]}', "event_id")).otherwise(F.format_string('{"a":[1,{"c":null, "d":%d}],"b":"x"}', "event_id"))
+    return table(spark, sf_dir, "events").select("event_id", t.canonical_json(json).alias("frozen"))
+
+
+@query("SELECT list(DISTINCT x.task ORDER BY x.task) AS tasks, ['Chart Recognition:', 'OCR:', 'Table Recognition:'] AS prompts FROM (SELECT CASE event_id % 4 WHEN 0 THEN 'table' WHEN 1 THEN 'ocr' WHEN 2 THEN 'chart' END AS task FROM events) x WHERE task IS NOT NULL")
+def q_distinct_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tasks that rows have, and their prompts."""
+    k = F.col("event_id") % 4
+    return mix.distinct_tasks(table(spark, sf_dir, "events").select(F.when(k == 0, "table").when(k == 1, "ocr").when(k == 2, "chart").alias("task")))
+
+
+@query(
+    """WITH p AS (SELECT o_orderstatus AS dataset, o_orderkey % 2 AS k, o_orderkey % 5 <> 0 AS same FROM orders)
+    SELECT count(*) AS samples, round(avg(CAST(same AS INTEGER)), 6) AS exact_match, count(DISTINCT dataset) AS datasets, count(DISTINCT k) AS tasks, 'failed' AS status FROM p"""
+)
+def q_evaluation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of an evaluation as one document, read again."""
+    p = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("dataset"), F.when(F.col("o_orderkey") % 2 == 0, "ocr").otherwise("table").alias("task"), F.col("o_orderpriority").alias("target"), F.when(F.col("o_orderkey") % 5 == 0, "?").otherwise(F.col("o_orderpriority")).alias("prediction"))
+    r = evaluate.report(evaluate.metrics(evaluate.with_distance(p)))
+    kind = "struct<samples:long,cer:double,exact_match:double>"
+    d = r.select(F.from_json("report", f"overall {kind}, datasets map<string,{kind}>, tasks map<string,{kind}>").alias("d"))
+    return d.select("d.overall.samples", F.round("d.overall.exact_match", 6).alias("exact_match"), F.size("d.datasets").cast("long").alias("datasets"), F.size("d.tasks").cast("long").alias("tasks"), evaluate.verification(F.lit(1), F.lit(True)).alias("status"))
+
+
+@query(
+    """SELECT event_id, event_id % 7 IN (0, 1, 2) AS polls, CASE WHEN event_id % 3 = 0 THEN 0 WHEN event_id % 4 <> 0 AND event_id % 2 = 0 THEN 750 END AS delay, event_id % 3 = 0 AND event_id % 5 <> 0 AS leaves, event_id % 4 <> 0 AS asks, event_id % 3 = 1 OR event_id % 3 = 0 AND event_id % 2 = 0 AS pans FROM events"""
+)
+def q_editor_helpers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When an editor looks again, leaves a page, asks before it deletes, and moves the view."""
+    i = F.col("event_id")
+    state = F.element_at(F.array(*map(F.lit, ("queued", "running", "cancelling", "completed", "cancelled", "failed", "other"))), (i % 7 + 1).cast("int"))
+    text = F.when(i % 4 == 0, " ").otherwise("a")
+    return table(spark, sf_dir, "events").select("event_id", revisions.keeps_polling(state).alias("polls"), revisions.poll_delay(i % 2 == 0, i % 3 == 0, i % 4 == 0).alias("delay"), revisions.navigates(i % 3 == 0, i % 5 == 0).alias("leaves"), revisions.asks_before_delete(text).alias("asks"), revisions.pans(i % 3, i % 2 == 0).alias("pans"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scriptoria.functions import text as t
-from scriptoria.plans.pages import _BLOCKS, pages
+from scriptoria.plans.pages import _BLOCKS, _FIELDS, pages, turn_blocks
 from scriptoria.plans.rows import table
 from scriptoria.registry import query
 from scriptoria.scratch import new_folder
@@ -100,3 +100,83 @@ def q_numbered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers numbered in the order of their balances, by ranges."""
     c = table(spark, sf_dir, "customer").select("c_custkey", F.struct("c_acctbal", "c_custkey").alias("place"))
     return sinks.numbered_rows(c, "place", "id").select("c_custkey", "id")
+
+
+def finished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as completed pages whose blocks all have a text and the task ocr or none."""
+    rows = turn_blocks(spark, sf_dir).withColumn("text", F.when(t.is_blank(F.col("text")), "x").otherwise(F.col("text"))).withColumn("task", F.when(F.col("task").isNotNull(), "ocr"))
+    p = rows.groupBy("conv_id").agg(F.collect_list(F.struct(*_FIELDS)).alias("blocks"))
+    return p.select(F.col("conv_id").alias("page"), F.when(F.col("conv_id") % 5 == 0, "edited").otherwise("completed").alias("status"), F.lit(200).alias("width"), F.lit(200).alias("height"), F.concat(F.col("conv_id").cast("string"), F.lit(".png")).alias("file_name"), "blocks")
+
+
+@query(_BLOCKS + "SELECT conv_id AS page, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY o) - 1 AS INTEGER) AS place, CASE WHEN turn % 4 = 3 THEN 'text' ELSE text END AS transcription, [[CAST(turn * 10 AS INTEGER), CAST(turn * 10 AS INTEGER)], [CAST(turn * 10 + 5 AS INTEGER), CAST(turn * 10 AS INTEGER)], [CAST(turn * 10 + 5 AS INTEGER), CAST(turn * 10 + 5 AS INTEGER)], [CAST(turn * 10 AS INTEGER), CAST(turn * 10 + 5 AS INTEGER)]] AS points FROM b")
+def q_page_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as detection labels, read again."""
+    label = F.from_json(sinks.page_label(F.col("blocks")), "array<struct<transcription:string,points:array<array<int>>>>")
+    p = pages(spark, sf_dir).select(F.col("conv_id").alias("page"), F.posexplode(label).alias("place", "b"))
+    return p.select("page", "place", "b.transcription", "b.points")
+
+
+@query(_BLOCKS + "SELECT conv_id AS page, CAST(o AS INTEGER) AS place, 'OCR:' AS prompt, [turn * 10, turn * 10, turn * 10 + 5, turn * 10 + 5] AS box, CASE WHEN turn % 4 = 3 THEN 'x' ELSE text END AS target FROM b WHERE conv_id % 5 <> 0 AND NOT skipped AND task IS NOT NULL")
+def q_crop_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crops of completed pages, all or none."""
+    return sinks.crops(finished(spark, sf_dir)).select("page", F.col("order").alias("place"), "prompt", "box", "target")
+
+
+@query(
+    _BLOCKS
+    + """, k AS (SELECT conv_id, turn, o, label FROM b WHERE conv_id % 5 <> 0 AND NOT skipped), i AS (SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS image_id FROM (SELECT DISTINCT conv_id FROM k))
+    SELECT image_id, CAST(row_number() OVER (PARTITION BY k.conv_id ORDER BY o) - 1 AS INTEGER) AS read_order, CAST(d.i + 1 AS BIGINT) AS category_id, [turn * 10.0, turn * 10.0, 5.0, 5.0] AS bbox, k.conv_id || '.png' AS file_name FROM k JOIN i ON i.conv_id = k.conv_id JOIN d ON d.label = k.label"""
+)
+def q_coco_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images and annotations of completed pages, joined by their ids."""
+    found, notes = sinks.coco(finished(spark, sf_dir))
+    return notes.join(found.select(F.col("id").alias("image_id"), "file_name"), "image_id").select("image_id", "read_order", "category_id", "bbox", "file_name")
+
+
+@query("SELECT 'regions' AS name, count(*) AS n FROM region UNION ALL SELECT 'nations', count(*) FROM nation")
+def q_whole_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables that are exported together."""
+    path = new_folder(spark)
+    table(spark, sf_dir, "region").limit(0).write.parquet(f"{path}/before")  # the folder above must be there
+    sinks.write_all_or_nothing({"regions": table(spark, sf_dir, "region"), "nations": table(spark, sf_dir, "nation")}, f"{path}/export")
+    parts = [spark.read.parquet(f"{path}/export/{name}").agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name in ("regions", "nations")]
+    return parts[0].union(parts[1])
+
+
+@query("WITH r AS (SELECT p_partkey, p_name, row_number() OVER (ORDER BY p_partkey) AS k FROM part WHERE p_partkey % 3 <> 0) SELECT 'i' || p_partkey AS image, p_name AS target, 'ocr' AS task FROM r WHERE k <= 4")
+def q_validation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first valid records of a validation file, in which every third line is none."""
+    path = new_folder(spark)
+    record = sinks.training_record(F.concat(F.lit("i"), F.col("p_partkey").cast("string")), t.prompt_of(F.lit("ocr")), F.col("p_name"))
+    value = F.when(F.col("p_partkey") % 6 == 0, "").when(F.col("p_partkey") % 6 == 3, "{no record").otherwise(record)
+    table(spark, sf_dir, "part").repartition(1).sortWithinPartitions("p_partkey").select(value.alias("value")).write.text(path)
+    return datasets.read_validation(spark, path, 4).select("image", "target", "task")
+
+
+@query("SELECT string_agg(c, '' ORDER BY c) AS alphabet FROM (SELECT ' ' AS c UNION SELECT unnest(string_split(r_name, '')) FROM region)")
+def q_alphabet_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alphabet of a file with a character a line."""
+    path = new_folder(spark)
+    table(spark, sf_dir, "region").select(F.explode(F.split("r_name", "")).alias("value")).where("value <> ''").write.text(path)
+    return spark.createDataFrame([(datasets.read_alphabet(spark, path),)], "alphabet string")
+
+
+@query("SELECT 't' || n_nationkey AS name, 'shard-' || n_regionkey AS shard FROM nation")
+def q_shard_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which shard each tensor of an index is in."""
+    path = new_folder(spark)
+    pair = F.struct(F.concat(F.lit("t"), F.col("n_nationkey").cast("string")), F.concat(F.lit("shard-"), F.col("n_regionkey").cast("string")))
+    table(spark, sf_dir, "nation").agg(F.to_json(F.struct(F.map_from_entries(F.collect_list(pair)).alias("weight_map"))).alias("value")).write.text(path)
+    return datasets.read_shard_index(spark, path)
+
+
+@query("SELECT 'images' AS part, n_nationkey AS id, n_name AS name FROM nation UNION ALL SELECT 'categories', r_regionkey, r_name FROM region")
+def q_coco_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A COCO document's lists."""
+    path = new_folder(spark)
+    pictures = table(spark, sf_dir, "nation").agg(F.collect_list(F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("file_name"))).alias("images"))
+    names = table(spark, sf_dir, "region").agg(F.collect_list(F.struct(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))).alias("categories"))
+    pictures.join(names).select(F.to_json(F.struct("images", F.array().alias("annotations"), "categories")).alias("value")).write.text(path)  # two lists of a few rows
+    found, _, categories = datasets.read_coco(spark, path)
+    return found.select(F.lit("images").alias("part"), "id", F.col("file_name").alias("name")).union(categories.select(F.lit("categories"), "id", "name"))

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scriptoria.functions import text as t
+
 STATUSES = ("draft", "detected", "ocr", "edited", "completed")
 
 
@@ -67,6 +69,15 @@ def follow(events: DataFrame) -> DataFrame:
     return events.groupBy("key").applyInPandasWithState(step, RESULT, "revision long, status string, content string", "append", GroupStateTimeout.NoTimeout)
 
 
+# Fixed value: how often what goes on is looked at.
+POLL_INTERVAL = "750 milliseconds"
+
+
+def polled(rows: DataFrame, name: str, mode: str = "append"):
+    """A running query that puts what a stream brings into the table `name` of the session, every POLL_INTERVAL."""
+    return rows.writeStream.format("memory").queryName(name).outputMode(mode).trigger(processingTime=POLL_INTERVAL).start()
+
+
 #: A batch job's states and what may follow each.
 FOLLOWING = {"queued": {"running", "cancelled", "failed"}, "running": {"completed", "cancelling", "failed"}, "cancelling": {"cancelled", "failed"}, "completed": set(), "cancelled": set(), "failed": set()}
 
@@ -196,3 +207,27 @@ def retried(first: Column, second: Column) -> Column:
 def resume_problems(earlier: dict[str, Column], now: dict[str, Column]) -> Column:
     """Names of the settings in which a resumed run differs from the earlier one, in the order given."""
     return F.filter(F.array(*(F.when(~earlier[k].eqNullSafe(now[k]), F.lit(k)) for k in earlier)), lambda k: k.isNotNull())
+
+
+def keeps_polling(state: Column) -> Column:
+    """Whether a batch in this state is looked at again."""
+    return F.coalesce(state.isin(*(k for k, after in FOLLOWING.items() if after)), F.lit(False))
+
+
+def poll_delay(active: Column, pending: Column, terminal: Column) -> Column:
+    """Milliseconds until a batch is looked at again: none while an answer is waited for, null when it has ended or there is none."""
+    return F.when(pending, 0).when(~terminal & active, int(POLL_INTERVAL.split()[0]))
+
+
+def navigates(succeeded: Column, dirty: Column) -> Column:
+    """Whether an editor may leave a page after a save: it succeeded, and nothing has changed since."""
+    return F.coalesce(succeeded & ~dirty, F.lit(False))
+
+
+def asks_before_delete(text: Column) -> Column:
+    return ~t.is_blank(text)
+
+
+def pans(button: Column, space: Column) -> Column:
+    """Whether a pointer moves the view: the middle button, or the first while space is held."""
+    return (button == 1) | ((button == 0) & F.coalesce(space, F.lit(False)))

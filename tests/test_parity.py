@@ -20,12 +20,22 @@ def test_entry_and_names(spark):
 
 
 def test_editor_fold_is_a_plain_loop(spark, small):
-    from scriptoria.streaming.revisions import edit, new_session
-
     got = {r["session"]: r.asDict() for r in QUERIES["q_editor_fold"](spark, small).collect()}
     sessions = {}
     for r in sorted(spark.read.parquet(f"{small}/events.parquet").collect(), key=lambda r: r["event_id"]):
         kind = ("edit", "edit", "edit", "undo", "redo", "complete")[r["event_id"] % 6]
         key = str(r["user_id"])
-        sessions[key] = edit(sessions.get(key, new_session()), kind, str(r["value"]), 0)
-    assert {k: (s["status"], len(s["undo"]), len(s["redo"])) for k, s in sessions.items()} == {k: (g["status"], g["undo_steps"], g["redo_steps"]) for k, g in got.items()}
+        status, text, undo, redo = sessions.get(key, ("draft", "", [], []))
+        if kind == "edit" and str(r["value"]) != text:
+            undo, redo, text = (undo + [text])[-50:], [], str(r["value"])
+            status = "edited" if status == "completed" else status
+        elif kind == "undo" and undo:
+            undo, redo, text = undo[:-1], redo + [text], undo[-1]
+            status = "edited" if status == "completed" else status
+        elif kind == "redo" and redo:
+            undo, redo, text = undo + [text], redo[:-1], redo[-1]
+            status = "edited" if status == "completed" else status
+        elif kind == "complete" and text.strip():
+            status = "completed"
+        sessions[key] = status, text, undo, redo
+    assert {k: (s[0], len(s[2]), len(s[3])) for k, s in sessions.items()} == {k: (g["status"], g["undo_steps"], g["redo_steps"]) for k, g in got.items()}
