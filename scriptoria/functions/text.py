@@ -21,6 +21,11 @@ def nfc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFC", t))
 
 
+def composed(text: Column) -> Column:
+    """nfc() of what is not ASCII; ASCII, which it leaves as it is, is not sent to Python."""
+    return F.coalesce(nfc(F.when(~text.rlike(r"\A\p{ASCII}*\z"), text)), text)
+
+
 def strip(text: Column) -> Column:
     """Without white space at both ends, of any script."""
     return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+\z", "")
@@ -37,7 +42,7 @@ def first_filled(label: Column, text: Column) -> Column:
 
 def recognition_text(label: Column, text: Column) -> Column:
     """A line of text: composed, with breaks and tabs as spaces, stripped; '' if there is none."""
-    return strip(F.regexp_replace(nfc(F.coalesce(first_filled(label, text), F.lit(""))), r"\r\n|[\r\n\t]", " "))
+    return strip(F.regexp_replace(composed(F.coalesce(first_filled(label, text), F.lit(""))), r"\r\n|[\r\n\t]", " "))
 
 
 def unix_breaks(text: Column) -> Column:
@@ -46,7 +51,7 @@ def unix_breaks(text: Column) -> Column:
 
 def target_text(label: Column, text: Column) -> Column:
     """A structured target: composed, with line feeds only; outer spaces stay; '' if there is nothing else."""
-    return unix_breaks(nfc(F.coalesce(first_filled(label, text), F.lit(""))))
+    return unix_breaks(composed(F.coalesce(first_filled(label, text), F.lit(""))))
 
 
 def unsupported(text: Column, alphabet: str) -> Column:

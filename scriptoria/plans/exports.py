@@ -180,3 +180,15 @@ def q_coco_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     pictures.join(names).select(F.to_json(F.struct("images", F.array().alias("annotations"), "categories")).alias("value")).write.text(path)  # two lists of a few rows
     found, _, categories = datasets.read_coco(spark, path)
     return found.select(F.lit("images").alias("part"), "id", F.col("file_name").alias("name")).union(categories.select(F.lit("categories"), "id", "name"))
+
+
+@query("SELECT 'f' || p_partkey AS name, CASE WHEN p_partkey % 4 IN (0, 3) THEN length(p_name) END AS n, CASE p_partkey % 4 WHEN 1 THEN 'missing' WHEN 2 THEN 'changed' END AS problem FROM part")
+def q_checked_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that are given out only while they are what the catalogue has."""
+    k = F.col("p_partkey") % 4
+    name, content = F.concat(F.lit("f"), F.col("p_partkey").cast("string")).alias("name"), F.col("p_name").cast("binary")
+    p = table(spark, sf_dir, "part")
+    at = F.lit("2026-01-01").cast("timestamp").alias("modified")
+    catalog = p.select(name, F.octet_length(content).alias("size_bytes"), at, F.sha2(content, 256).alias("sha256"))
+    files = p.where(k != 1).select(name, F.when(k == 2, F.reverse("p_name").cast("binary")).otherwise(content).alias("content"), at)
+    return images.checked_content(catalog, files).select("name", F.octet_length("content").alias("n"), "problem")

@@ -190,6 +190,19 @@ def image_bytes(image: Column) -> tuple[Column, Column]:
     return image["bytes"], F.when(image["bytes"].isNull(), image["path"])
 
 
+def checked_content(catalog: DataFrame, files: DataFrame) -> DataFrame:
+    """(name, content, problem) of the pictures of a catalogue (name, size_bytes, modified, sha256) out of files (name, content, modified).
+
+    The bytes are given only where size, time and digest are what the catalogue has; else the problem is
+    'missing' or 'changed'.
+    """
+    now = files.select("name", F.col("content").alias("__content"), F.col("modified").alias("__modified"))
+    both = catalog.join(now, "name", "left")
+    same = (F.octet_length("__content") == F.col("size_bytes")) & F.col("__modified").eqNullSafe(F.col("modified")) & (F.sha2("__content", 256) == F.col("sha256"))
+    problem = F.when(F.col("__content").isNull(), "missing").when(~F.coalesce(same, F.lit(False)), "changed")
+    return both.select("name", F.when(problem.isNull(), F.col("__content")).alias("content"), problem.alias("problem"))
+
+
 def opaque_id(path: Column) -> Column:
     return F.left(F.sha2(path.cast("binary"), 256), F.lit(24))
 
