@@ -131,7 +131,8 @@ def train(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col:
     """The model of the `sample_rows` ratings (id_col, grade) whose ids have the least hashes, and of their documents.
 
     What comes to the driver is bounded by the sample: the distinct features of its documents. Only ids and
-    texts of `docs` are read; ratings without a document, and null texts, are left out.
+    texts of `docs` are read; ratings without a document, and null texts, are left out. Of several documents of
+    one id the least text counts, so an id that very many rows have brings one row.
     """
     sample = ratings.orderBy(F.xxhash64(F.col(id_col)), F.col(id_col)).limit(sample_rows).select(F.col(id_col).alias("id"), "grade")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
@@ -148,7 +149,8 @@ def train(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["grade", "found"])
 
     # sample is bounded by sample_rows, so it may go to every task
-    picked = rows.join(F.broadcast(sample), "id").select("grade", "text").mapInArrow(run, "grade int, found binary")
+    one = rows.join(F.broadcast(sample), "id").groupBy("id", "grade").agg(F.min("text").alias("text"))
+    picked = one.select("grade", "text").mapInArrow(run, "grade int, found binary")
     got = sorted((int(r[0]), bytes(r[1])) for r in picked.collect())
     grades = np.array([g for g, _ in got], np.int64)
     arrays = [np.frombuffer(f, "<i4").astype(np.int64) for _, f in got]
