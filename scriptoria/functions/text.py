@@ -60,6 +60,22 @@ def unsupported(text: Column, alphabet: str) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.split(rest, ""), lambda c: c != "")))
 
 
+def _ranges(alphabet: str) -> str:
+    """The code points of an alphabet as ranges of a character class."""
+    out: list[list[int]] = []
+    for c in sorted(set(map(ord, alphabet))):
+        if out and out[-1][1] == c - 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in out)
+
+
+def has_unsupported(text: Column, alphabet: str) -> Column:
+    """Whether unsupported() finds any: one look at each character, so that most rows need no list of them."""
+    return text.rlike(f"[^{_ranges(alphabet)}]") if alphabet else text != ""
+
+
 def has_control(text: Column, keep_line_feed: bool = False) -> Column:
     return text.rlike(r"[\p{Cc}&&[^\n]]" if keep_line_feed else r"\p{Cc}")
 

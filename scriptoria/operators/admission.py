@@ -49,7 +49,7 @@ def recognition(rows: DataFrame, limits: RecognitionLimits, label: str = "label"
         ("empty_text", target == "", None),
         ("control_character", t.has_control(target), None),
         ("text_too_long", F.length(target) > limits.max_text_length, t.too_long_detail(target, limits.max_text_length)),
-        ("unsupported_characters", F.size(unknown) > 0, F.array_join(unknown, "")),
+        ("unsupported_characters", t.has_unsupported(target, limits.alphabet + " "), F.array_join(unknown, "")),
     ]
     if load_error:
         checks.insert(0, ("row_load_error", F.col(load_error).isNotNull(), F.col(load_error)))
