@@ -12,8 +12,14 @@ SLACK = 1e-4
 
 
 def _listed(*checks: tuple[str, Column]) -> Column:
-    """The names of the checks that hold, in order."""
-    return F.filter(F.array(*(F.when(F.coalesce(holds, F.lit(False)), F.lit(name)) for name, holds in checks)), lambda x: x.isNotNull())
+    """The names of the checks that hold, in order, a line each; '' if none does. Plain expressions, which lambdas over an array are not."""
+    return F.concat_ws("\n", *(F.when(F.coalesce(holds, F.lit(False)), F.lit(name)) for name, holds in checks))
+
+
+def _found(rows: DataFrame, problems: Column) -> DataFrame:
+    """(split, id, problems) of the rows that have any, from what _listed() gives."""
+    told = rows.select("split", "id", problems.alias("__told")).where("__told <> ''")
+    return told.select("split", "id", F.split("__told", "\n").alias("problems"))
 
 
 def taxonomy_problems(categories: DataFrame) -> DataFrame:
@@ -35,7 +41,7 @@ def image_problems(images: DataFrame) -> DataFrame:
         ("file is missing", ~F.col("exists")),
         ("bad size", F.coalesce((F.col("width") <= 0) | (F.col("height") <= 0), F.lit(True))),
     )
-    return images.join(times, ["split", "id"], "left").select("split", "id", problems.alias("problems")).where(F.size("problems") > 0)
+    return _found(images.join(times, ["split", "id"], "left"), problems)
 
 
 def annotation_problems(annotations: DataFrame, images: DataFrame) -> DataFrame:
@@ -68,7 +74,7 @@ def annotation_problems(annotations: DataFrame, images: DataFrame) -> DataFrame:
         ("bad read order", F.coalesce(F.col("read_order") < 0, F.lit(True))),
     )
     joined = annotations.join(times, ["split", "id"], "left").join(sizes, ["split", "image_id"], "left")
-    return joined.select("split", "id", problems.alias("problems")).where(F.size("problems") > 0)
+    return _found(joined, problems)
 
 
 def order_gaps(annotations: DataFrame, group: list[str], order: str = "read_order") -> DataFrame:

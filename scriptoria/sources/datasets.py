@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from scriptoria.operators.split import chosen_splits
 
@@ -21,7 +24,12 @@ def split_of_file(name: Column) -> Column:
 
 
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
-    """All shards of a dataset with split and file, from its data folder or from itself. Images stay undecoded columns, which Spark leaves unread where they are not used."""
+    """All shards of a dataset with split and file, from its data folder or from itself. Images stay undecoded columns, which Spark leaves unread where they are not used.
+
+    A folder with the marker files of a saved dataset is read by read_saved().
+    """
+    if is_saved(spark, path):
+        return read_saved(spark, path)
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     fs_path = jvm.org.apache.hadoop.fs.Path(path)
     fs = fs_path.getFileSystem(conf)
@@ -33,6 +41,51 @@ def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("file", F.col("_metadata.file_name")).withColumn("split", split_of_file(F.col("file")))
 
 
+def _matches(spark: SparkSession, glob: str) -> list[str]:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(glob)
+    return [str(s.getPath()) for s in path.getFileSystem(conf).globStatus(path) or ()]
+
+
+def is_saved(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds a dataset as Arrow files, told by its marker files, and not parquet shards."""
+    return any(_matches(spark, f"{path}/{name}") for name in ("dataset_dict.json", "state.json"))
+
+
+def read_saved(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a dataset saved as Arrow streams, with split and file: one folder, or one for each split.
+
+    A file is read by one task, record batch by record batch. The columns are those of the first file, whose
+    schema one task tells.
+    """
+    dictionary = bool(_matches(spark, f"{path}/dataset_dict.json"))
+    glob = f"{path}/*/*.arrow" if dictionary else f"{path}/*.arrow"
+    if not _matches(spark, glob):
+        raise FileNotFoundError(f"no Arrow files in {path}")
+    files = spark.read.format("binaryFile").load(glob).select("path", "content")
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for content in b.column(1):
+                schema = pa.ipc.open_stream(content.as_buffer()).schema.remove_metadata()
+                yield pa.RecordBatch.from_arrays([pa.array([schema.serialize().to_pybytes()], pa.binary())], ["schema"])
+
+    first = spark.read.format("binaryFile").load(min(_matches(spark, glob))).select("path", "content").mapInArrow(told, "schema binary").first()
+    schema = pa.ipc.read_schema(pa.py_buffer(bytes(first["schema"])))
+    fields = from_arrow_schema(schema).add("split", "string").add("file", "string")
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for name, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                folder, file = name.split("/")[-2:]
+                for part in pa.ipc.open_stream(content.as_buffer()):
+                    n = part.num_rows
+                    columns = [*(part.column(f.name) for f in schema), pa.array([folder if dictionary else "train"] * n, pa.string()), pa.array([file] * n, pa.string())]
+                    yield pa.RecordBatch.from_arrays(columns, [*schema.names, "split", "file"])
+
+    return files.mapInArrow(rows, fields)
+
+
 def train_and_validation(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """The rows of the splits to use. The names of splits are few: they are all that comes to the driver."""
     train, validation = chosen_splits([r[0] for r in rows.select("split").distinct().collect()])

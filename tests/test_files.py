@@ -19,6 +19,23 @@ def test_names_of_shards(spark):
     assert {r["n"]: r["s"] for r in df.select("n", datasets.split_of_file(F.col("n")).alias("s")).collect()} == names
 
 
+def test_saved_datasets(spark, tmp_path):
+    import pyarrow as pa
+
+    table = pa.table({"text": ["a", "b", "c"], "image": pa.array([{"bytes": b"x", "path": None}] * 3, pa.struct([("bytes", pa.binary()), ("path", pa.string())]))})
+    for split, n in (("train", 3), ("validation", 1)):
+        (tmp_path / "d" / split).mkdir(parents=True)
+        (tmp_path / "d" / split / "state.json").write_text("{}")
+        with pa.OSFile(str(tmp_path / "d" / split / "data-00000-of-00001.arrow"), "wb") as out, pa.ipc.new_stream(out, table.schema) as writer:
+            writer.write_table(table.slice(0, n), max_chunksize=2)
+    (tmp_path / "d" / "dataset_dict.json").write_text('{"splits": ["train", "validation"]}')
+    rows = datasets.read_dataset(spark, str(tmp_path / "d"))
+    train, validation = datasets.train_and_validation(rows)
+    assert sorted((r["text"], bytes(r["image"]["bytes"])) for r in train.collect()) == [("a", b"x"), ("b", b"x"), ("c", b"x")] and validation.count() == 1
+    alone = datasets.read_dataset(spark, str(tmp_path / "d" / "train"))
+    assert alone.columns == ["text", "image", "split", "file"] and {(r["split"], r["file"]) for r in alone.collect()} == {("train", "data-00000-of-00001.arrow")}
+
+
 def test_natural_order_of_long_numbers(spark):
     names = ["a2", "a10", "a" + "9" * 20, "a1" + "0" * 20, "a1" + "0" * 20 + "1", "a2" + "0" * 24, "ab", "B"]
     df = spark.createDataFrame([(n,) for n in reversed(names)], "n string")
