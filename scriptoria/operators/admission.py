@@ -191,5 +191,14 @@ def detection(lines: DataFrame, min_area: float = 1.0, max_image_pixels: int = 1
 
 
 def reason_counts(rows: DataFrame) -> DataFrame:
-    """Rejections by reason, in its order."""
-    return rows.where(F.col("reason").isNotNull()).groupBy("reason").agg(F.count("*").alias("n")).orderBy("reason")
+    """Rejections by reason, in its order.
+
+    Counted, not filtered first: Spark would move a filter on the reason below what computes it, and compute it twice.
+    """
+    return rows.groupBy("reason").agg(F.count("reason").alias("n")).where("n > 0").orderBy("reason")
+
+
+def ledger(rows: DataFrame, *keys: str) -> DataFrame:
+    """(keys, reason, detail) of the rejected rows: taken out of an array that admitted rows do not have, for the same cause."""
+    told = F.when(F.col("reason").isNotNull(), F.array(F.struct("reason", "detail")))
+    return rows.select(*keys, F.explode(told).alias("__r")).select(*keys, "__r.reason", "__r.detail")

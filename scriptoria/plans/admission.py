@@ -53,7 +53,7 @@ def q_admit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_admit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger of rejected recognition lines."""
-    return admission.recognition(lines(spark, sf_dir), LIMITS).where("reason is not null").select("doc_id", "line", "reason", "detail")
+    return admission.ledger(admission.recognition(lines(spark, sf_dir), LIMITS), "doc_id", "line")
 
 
 @query(_LINES + "SELECT source, CAST(count(*) FILTER (reason IS NULL) AS BIGINT) AS admitted, CAST(count(*) FILTER (reason IS NOT NULL) AS BIGINT) AS rejected FROM r GROUP BY source")
