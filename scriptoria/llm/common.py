@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import re
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from scriptoria.scratch import shared_folder, staged
+
 #: Bytes of text that one pass of the numpy kernels takes at a time (a longer text is one pass of its own).
 CHUNK_BYTES = 2 << 20
 
@@ -20,22 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: the one that the session names in spark.checkpoint.dir.
-
-    Only where that is unset and driver and executors are one process (as in tests) is a temporary folder
-    made; on a cluster, executors would not see it.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder is None:
-        if not re.fullmatch(r"local(\[.*\])?", context.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
-        folder = context.getCheckpointDir()
-    return folder
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Writes `df` to a table in the shared folder and reads it back, so that a lost executor costs no earlier stage.
 
@@ -43,10 +26,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     keeps what the optimiser has inferred and loops pile that up. As with checkpoints, the files stay until
     the folder of the application (its id) is removed.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return staged(df)
 
 
 _ASCII_BREAKS = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
@@ -141,5 +121,4 @@ def text_chunks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         yield begin, len(texts)
 
 
-def batch(schema: pa.Schema, **columns: object) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if not isinstance(columns[f.name], pa.Array) else columns[f.name].cast(f.type) for f in schema], schema=schema)
+__all__ = ["CHUNK_BYTES", "WordHasher", "cut_lineage", "mix64", "normal_bytes", "normal_words", "shared_folder", "shingle_hashes", "table", "text_chunks"]
