@@ -172,28 +172,36 @@ def score(raw: Column) -> Column:
     return F.when(~F.isnan(v) & v.between(0.0, 1.0), v)
 
 
-def smart_resize(height: Column, width: Column, min_pixels: int, max_pixels: int, factor: int = 28) -> Column:
-    """struct(height, width) in multiples of `factor` whose product is within the limits; null where there is none.
-
-    Sides below the factor are scaled up first; a side over 200 times the other has no such size.
-    """
+def _resized(height: Column, width: Column, min_pixels: int, max_pixels: int, factor: int) -> tuple[Column, Column, Column]:
+    """Sides of smart_resize(), which may still be 0, and whether the picture's sides allow any."""
     h0, w0 = height.cast("double"), width.cast("double")
     w1 = F.when(h0 < factor, F.bround(w0 * factor / h0)).otherwise(w0)
-    h1 = F.when(h0 < factor, F.lit(float(factor))).otherwise(h0)
+    h1 = F.greatest(h0, F.lit(float(factor)))
     h2 = F.when(w1 < factor, F.bround(h1 * factor / w1)).otherwise(h1)
-    w2 = F.when(w1 < factor, F.lit(float(factor))).otherwise(w1)
+    w2 = F.greatest(w1, F.lit(float(factor)))
     rh, rw = F.bround(h2 / factor) * factor, F.bround(w2 / factor) * factor
     down, up = F.sqrt(h2 * w2 / max_pixels), F.sqrt(F.lit(float(min_pixels)) / (h2 * w2))
     pick = lambda side, rounded: F.when(rh * rw > max_pixels, F.floor(side / down / factor) * factor).when(rh * rw < min_pixels, F.ceil(side * up / factor) * factor).otherwise(rounded).cast("int")
-    out = F.struct(pick(h2, rh).alias("height"), pick(w2, rw).alias("width"))
-    fits = (h0 > 0) & (w0 > 0) & (F.greatest(h2, w2) / F.least(h2, w2) <= 200) & (out["height"] > 0) & (out["width"] > 0)
-    return F.when(fits, out)
+    return pick(h2, rh), pick(w2, rw), (h0 > 0) & (w0 > 0) & (F.greatest(h2, w2) / F.least(h2, w2) <= 200)
+
+
+def smart_resize(height: Column, width: Column, min_pixels: int, max_pixels: int, factor: int = 28) -> Column:
+    """struct(height, width) in multiples of `factor` whose product is within the limits; null where there is none.
+
+    Sides below the factor are scaled up first; a side over 200 times the other has no such size.
+    """
+    h, w, fits = _resized(height, width, min_pixels, max_pixels, factor)
+    return F.when(fits & (h > 0) & (w > 0), F.struct(h.alias("height"), w.alias("width")))
 
 
 def visual_tokens(height: Column, width: Column, min_pixels: int = 50176, max_pixels: int = 451584, patch: int = 14, merge: int = 2) -> Column:
-    """Tokens that a picture takes after smart_resize(); null where it has no size."""
-    size = smart_resize(height, width, min_pixels, max_pixels, patch * merge)
-    return (F.floor(size["height"] / patch) * F.floor(size["width"] / patch) / merge**2).cast("int")
+    """Tokens that a picture takes after smart_resize(); null where it has no size.
+
+    The expression is long: give it a column of its own before others use it more than once.
+    """
+    h, w, fits = _resized(height, width, min_pixels, max_pixels, patch * merge)
+    tokens = (F.floor(h / patch) * F.floor(w / patch) / merge**2).cast("int")
+    return F.when(fits, F.nullif(tokens, F.lit(0)))  # no token: a side is 0
 
 
 def text_tokens(prompt: Column, text: Column, tokenizer: object = None) -> Column:

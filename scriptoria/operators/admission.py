@@ -83,8 +83,14 @@ def multitask(rows: DataFrame, limits: BudgetLimits, task: str = "task", label:
     out = rows.withColumn("__raw_task", source(task)).withColumn("task", t.resolved_task(F.col("__raw_task"), limits.default_task)).withColumn("prompt", t.prompt_of(F.col("task"))).withColumn("target", t.target_text(source(label), source(text)))
     hard = F.coalesce(F.col("task").isin("table", "chart", "formula") & (F.col("target") != ""), F.lit(False))
     out = out.where(hard).withColumn("__schema", target_error_of("target", "task")).unionByName(out.where(~hard).withColumn("__schema", F.lit(None).cast("string")))
+    # Long expressions are columns of their own, so that they stand in the plan once, whatever uses them.
     target = F.col("target")
     n = g.text_tokens(F.col("prompt"), target, tokenizer)
+    if width and height:
+        w, h = F.col(width), F.col(height)
+        out = out.withColumn("__visual", g.visual_tokens(h, w, limits.min_pixels, limits.max_pixels)).withColumn("__problem", image_problem(w, h, limits.max_image_pixels))
+        n = n + F.col("__visual")
+    out = out.withColumn("n_tokens", n.cast("long"))
     checks = [
         ("invalid_task", F.col("task").isNull(), F.col("__raw_task")),
         ("empty_text", target == "", None),
@@ -92,14 +98,12 @@ def multitask(rows: DataFrame, limits: BudgetLimits, task: str = "task", label:
         ("control_character", t.has_control(target, keep_line_feed=True), None),
     ]
     if width and height:
-        w, h = F.col(width), F.col(height)
-        problem = image_problem(w, h, limits.max_image_pixels)
-        visual = g.visual_tokens(h, w, limits.min_pixels, limits.max_pixels)
-        checks += [("pixel_limit_exceeded", problem == "pixel_limit_exceeded", None), ("invalid_image", (problem == "invalid_image") | visual.isNull(), None)]
-        n = n + visual
+        problem = F.col("__problem")
+        checks += [("pixel_limit_exceeded", problem == "pixel_limit_exceeded", None), ("invalid_image", (problem == "invalid_image") | F.col("__visual").isNull(), None)]
+    n = F.col("n_tokens")
     checks.append(("token_budget_exceeded", n > limits.max_seq_len, F.concat(n.cast("string"), F.lit(f" > {limits.max_seq_len}"))))
     reason, why = first_reason(checks)
-    return out.withColumn("n_tokens", n.cast("long")).withColumn("reason", reason).withColumn("detail", why).drop("__schema", "__raw_task")
+    return out.withColumn("reason", reason).withColumn("detail", why).drop("__schema", "__raw_task", "__visual", "__problem")
 
 
 def unsafe_path(path: Column) -> Column:
