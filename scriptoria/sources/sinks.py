@@ -84,23 +84,26 @@ def coco(pages: DataFrame, ratio: float = 0.1, seed: int = 42) -> tuple[DataFram
     """(images, annotations) of completed pages that have a block to export, by split.
 
     Image ids count all pages in their order from 1; annotation ids count each split's blocks from 1. Both are
-    numbered by counts of the ranges before them, so no task sorts all rows.
+    numbered by counts of the ranges before them, so no task sorts all rows: blocks of both splits in one go,
+    from which each split's first number is then taken.
     """
     from scriptoria.operators.annotate import read_order
     from scriptoria.operators.split import by_group
 
-    kept = pages.where("status = 'completed'").withColumn("kept", read_order(F.col("blocks"))).where(F.size("kept") > 0)
+    done = pages.where("status = 'completed'").select("page", "width", "height", "file_name", read_order(F.col("blocks")).alias("kept"))
+    kept = staged(done.where(F.size("kept") > 0))
     if kept.limit(2).count() < 2:
         raise ValueError("a layout export needs two pages at least")
     split = by_group(kept.select("page"), "page", ratio, seed)
-    numbered = numbered_rows(kept.select("page", "width", "height", "file_name", "kept"), "page", "image_id")
-    images = numbered.join(split, "page")
+    images = staged(numbered_rows(kept, "page", "image_id").join(split, "page"))
     notes = images.select("split", "image_id", F.posexplode("kept").alias("read_order", "b"))
     polygon = F.col("b.polygon")
     category = F.array_position(F.array(*map(F.lit, LABELS)), F.col("b.layout_label")).cast("long")
     notes = notes.select("split", "image_id", "read_order", category.alias("category_id"), F.array(F.flatten(polygon)).alias("segmentation"), g.bounds_xywh(polygon).alias("bbox"), g.area(polygon).alias("area"), F.lit(0).alias("iscrowd"))
-    parts = [numbered_rows(notes.where(F.col("split") == s).withColumn("place", F.struct("image_id", "read_order")), "place", "id").drop("place") for s in ("train", "validation")]
-    return images.select("split", F.col("image_id").alias("id"), "file_name", "width", "height"), parts[0].unionByName(parts[1])
+    notes = numbered_rows(notes.withColumn("place", F.struct("split", "image_id", "read_order")), "place", "__id")
+    first = notes.groupBy("split").agg(F.min("__id").alias("__first"))  # a row a split
+    notes = notes.join(first, "split").withColumn("id", F.col("__id") - F.col("__first") + 1).drop("place", "__id", "__first")
+    return images.select("split", F.col("image_id").alias("id"), "file_name", "width", "height"), notes
 
 
 def numbered_rows(rows: DataFrame, order: str, name: str) -> DataFrame:
