@@ -113,14 +113,18 @@ def unsafe_path(path: Column) -> Column:
 BOX = "struct<transcription:string,points:array<array<double>>>"
 
 
-def parsed_label_line(lines: DataFrame, value: str = "value") -> DataFrame:
+def parsed_label_line(lines: DataFrame, value: str = "value", unless: Column | None = None) -> DataFrame:
     """A line 'path TAB json' in parts: path, payload, and the boxes that the payload has, if it is an array of objects.
 
+    Where `unless` holds, the payload is left as it is, and json and boxes are null.
+
     Elements are read one by one from a VARIANT, so that one bad box (a truth value or text for a number)
     spoils no other.
     """
     parts = F.split(F.col(value), "\t", 2)
-    out = lines.withColumn("path", parts[0]).withColumn("payload", F.get(parts, F.lit(1))).withColumn("json", F.try_parse_json("payload"))
+    out = lines.withColumn("path", parts[0]).withColumn("payload", F.get(parts, F.lit(1)))
+    json = F.try_parse_json("payload")
+    out = out.withColumn("json", json if unless is None else F.when(~unless, json))
     return out.withColumn("boxes", F.try_variant_get("json", "$", "array<variant>"))
 
 
@@ -148,29 +152,31 @@ def detection(lines: DataFrame, min_area: float = 1.0, max_image_pixels: int = 1
     a bad one before it takes nothing from it, and all behind it are duplicates. A line may be admitted while
     some of its boxes are rejected: these are rejections of their own.
     """
-    out = parsed_label_line(lines)
     w, h = F.col("width"), F.col("height")
+    path = F.split("value", "\t", 2)[0]
+    before = [
+        ("empty_line", t.is_blank(F.col("value")), None),
+        ("invalid_line", F.size(F.split("value", "\t", 2)) < 2, F.lit("missing tab separator")),
+        ("unsafe_image_path", unsafe_path(path), path),
+        ("missing_image", F.col("sha256").isNull(), path),
+        ("invalid_image", image_problem(w, h, max_image_pixels, 0).isNotNull(), image_problem(w, h, max_image_pixels, 0)),
+    ]
+    early, early_detail = first_reason(before)
+    # What fails so far is not parsed: no one asks for its boxes.
+    out = parsed_label_line(lines.withColumn("early", early).withColumn("early_detail", early_detail), unless=F.col("early").isNotNull())
     # Each step is a transform of its own, so that what it has computed is bound and not computed again.
     raw = F.transform("boxes", lambda b: F.struct(t.transcription(F.try_variant_get(b, "$.transcription", "string")).alias("transcription"), F.when(F.schema_of_variant(b).startswith("OBJECT"), box_points(b)).alias("raw")))
     snapped = F.transform(raw, lambda b: b.withField("points", g.snapped(b["raw"], w, h)))
     judged = F.transform(snapped, lambda b: b.withField("problem", g.polygon_problem(b["raw"], b["points"], min_area)))
     out = out.withColumn("judged", judged)
     out = out.withColumn("labels", F.transform(F.filter("judged", lambda b: b["problem"].isNull()), lambda b: F.struct(b["transcription"], b["points"])))
-    before = [
-        ("empty_line", t.is_blank(F.col("value")), None),
-        ("invalid_line", F.size(F.split("value", "\t", 2)) < 2, F.lit("missing tab separator")),
-        ("unsafe_image_path", unsafe_path(F.col("path")), F.col("path")),
-        ("missing_image", F.col("sha256").isNull(), F.col("path")),
-        ("invalid_image", image_problem(F.col("width"), F.col("height"), max_image_pixels, 0).isNotNull(), image_problem(F.col("width"), F.col("height"), max_image_pixels, 0)),
-    ]
     behind = [
         ("invalid_json", F.col("json").isNull(), None),
         ("empty_boxes", F.coalesce(F.size("boxes"), F.lit(0)) < 1, F.lit("at least one box is required")),
         ("no_valid_boxes", F.size("labels") == 0, None),
     ]
-    early, early_detail = first_reason(before)
     late, late_detail = first_reason(behind)
-    out = out.withColumn("early", early).withColumn("early_detail", early_detail).withColumn("late", F.when(F.col("early").isNull(), late)).withColumn("late_detail", late_detail)
+    out = out.withColumn("late", F.when(F.col("early").isNull(), late)).withColumn("late_detail", late_detail)
     # Two read this: the winners, and the lines that they are joined to. Parsing and geometry are done once.
     out = staged(out.select("source", "line_number", "path", "sha256", "width", "height", "judged", "labels", "early", "early_detail", "late", "late_detail"))
     place = F.struct("source", "line_number")
