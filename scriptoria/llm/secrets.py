@@ -26,15 +26,20 @@ CLASSES = (
     ("base32", re.compile(r"[A-Z2-7]{20,}"), 3.2),
     ("base64", re.compile(r"[A-Za-z0-9+/_=-]{20,}"), 3.6),
 )
-#: Candidate strings that are no secrets, as whole strings.
+#: Candidate strings that are no secrets, as whole strings. Each is read in one way only, so that no string is tried twice.
 ALLOW = (
     re.compile(r"[A-Za-z]+"),  # words, however long
     re.compile(r"[0-9]+"),  # numbers
     re.compile(r"[^A-Za-z0-9]+"),  # rules and rows of signs
     re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),  # UUIDs
-    re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4})(?:[-_/=+](?:[A-Z]?[a-z]*|[A-Z]*|[0-9]{1,4}))+"),  # names, slugs, paths, dates
-    re.compile(r"(?i)(?:x+|0+|your|my|the|an?|insert|change|me|here|this|example|sample|dummy|placeholder|fake|test|demo|redacted|secret|access|private|public|api|auth|key|token|password|id|[-_=+/])+"),  # placeholders, made of such words only
+    re.compile(r"(?:[A-Z]?[a-z]++|[A-Z]++|[0-9]{1,4}+)(?:[-_/=+](?:[A-Z]?[a-z]++|[A-Z]++|[0-9]{1,4}+)?+)++"),  # names, slugs, paths, dates
 )
+#: Placeholders are made of such words and signs only, whatever their case.
+PLACEHOLDER_WORDS = (
+    "x", "0", "your", "my", "the", "a", "an", "insert", "change", "me", "here", "this", "example", "sample", "dummy", "placeholder", "fake", "test", "demo", "redacted",
+    "secret", "access", "private", "public", "api", "auth", "key", "token", "password", "id", "-", "_", "=", "+", "/",
+)
+_BY_FIRST = {c: tuple(w for w in PLACEHOLDER_WORDS if w[0] == c) for c in {w[0] for w in PLACEHOLDER_WORDS}}
 _LONG = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 _TERM = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 2)]
 
@@ -66,8 +71,22 @@ def entropy_runs(text: str, least: float, window: int = WINDOW) -> Iterator[tupl
         yield begin, end
 
 
+def placeholder(candidate: str) -> bool:
+    """Whether `candidate` is some placeholder words, one after the other: each place is looked at once, whatever the ways to it."""
+    low, places, last = candidate.lower(), {0}, 0
+    for i in range(len(low)):
+        if i in places:
+            places.discard(i)
+            ends = [i + len(w) for w in _BY_FIRST.get(low[i], ()) if low.startswith(w, i)]
+            places.update(ends)
+            last = max([last, *ends])
+        elif i >= last:
+            return False
+    return len(low) in places and bool(low)
+
+
 def allowed(candidate: str) -> bool:
-    return any(p.fullmatch(candidate) for p in ALLOW)
+    return any(p.fullmatch(candidate) for p in ALLOW) or placeholder(candidate)
 
 
 def find_spans(text: str | None) -> list[tuple[int, int, str]]:

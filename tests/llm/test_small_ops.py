@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -102,6 +103,37 @@ def test_whole_texts_against_a_plain_scan(text):
     assert [(k, b, e) for b, e, k in secrets.find_spans(text)] == want
 
 
+OLD_SLUG = r"(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4})(?:[-_/=+](?:[A-Z]?[a-z]*|[A-Z]*|[0-9]{1,4}))+"
+OLD_WORDS = "(?i)(?:" + "|".join(map(re.escape, secrets.PLACEHOLDER_WORDS)) + ")+"
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from([*secrets.PLACEHOLDER_WORDS, "A", "Ab", "B7", "123", "12345", "zz", "-", "/"]), max_size=7).map("".join))
+def test_allow_list_against_ambiguous_patterns(text):
+    """The same strings as patterns that say it plainly (and may take exponential time on long ones)."""
+    assert bool(secrets.ALLOW[4].fullmatch(text)) == bool(re.fullmatch(OLD_SLUG, text))
+    assert secrets.placeholder(text) == bool(re.fullmatch(OLD_WORDS, text))
+
+
+def test_hostile_strings_take_no_time():
+    """Strings of 10,000 signs that nearly are placeholders, slugs, numbers or rules, and all pairs of placeholder words."""
+    words = secrets.PLACEHOLDER_WORDS
+    singles = [*words, "A", "a-", "A-", "1-", "--", "ab=", "9", "token ", 'secret" ', "AKIA"]
+
+    def seconds(run, text):
+        took = []
+        while not took or min(took) > 0.05 and len(took) < 3:
+            began = time.thread_time()
+            run(text)
+            took.append(time.thread_time() - began)
+        return min(took)
+
+    for run, pieces in ((secrets.find_spans, singles), (secrets.allowed, [a + b for a in words for b in words])):
+        for piece in pieces:
+            for end in ("", "9", "z!", "12345"):
+                assert seconds(run, (piece * 10_000)[:10_000] + end) < 0.05, (run, piece, end)
+
+
 def test_placeholders_do_not_hide_keys(spark):
     key = "Zx8Qp2Lm9Rt4Vb7Ny1Kd6Ws3"
     for before in ("xxxx", "sample", "example-", "dummy_"):
