@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptoria.llm import chat, decontaminate, html_extract, neardup, packing, passages, ppm, quality, secrets, topk
+from scriptoria.llm import chat, decontaminate, html_extract, merkle, neardup, packing, passages, ppm, quality, secrets, sql, topk
 from scriptoria.llm.common import table
 
 
@@ -84,7 +84,20 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_decontaminate": op1_decontaminate, "op2_neardup": op2_neardup, "op3_secrets": op3_secrets, "op4_quality": op4_quality, "op5_passages": op5_passages, "op6_topk": op6_topk, "op7_chat": op7_chat, "op8_packing": op8_packing, "op9_ppm": op9_ppm, "op10_html": op10_html}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaf, roots and proof of every document, and what each proof says of a table in which a fifth was tampered with."""
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    tampered = {"text": F.when(touched, F.translate("text", _UPPER, _UPPER.lower())).otherwise(F.col("text"))}
+    found = merkle.manifest(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], tampered=tampered)
+    root = merkle.folded(F.col("held"), F.col("path"))
+    told = found.select("doc_id", "leaf", "subroot", "root", merkle.digest(merkle.proof(F.col("path"))).alias("proof_sha256"), root.alias("folded_root"))
+    return told.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_decontaminate": op1_decontaminate, "op2_neardup": op2_neardup, "op3_secrets": op3_secrets, "op4_quality": op4_quality, "op5_passages": op5_passages, "op6_topk": op6_topk, "op7_chat": op7_chat, "op8_packing": op8_packing, "op9_ppm": op9_ppm, "op10_html": op10_html, "op13_merkle": op13_merkle}
 
 ORACLE_SQL: dict[str, str] = {
     "op6_topk": """
@@ -117,4 +130,5 @@ ORACLE_SQL: dict[str, str] = {
             CAST(sum(n) AS BIGINT) AS formatted_chars
         FROM e GROUP BY conv_id
     """,
+    "op13_merkle": sql.merkle(),
 }
