@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptoria.llm import chat, decontaminate, html_extract, merkle, neardup, packing, passages, ppm, quality, secrets, sql, topk
+from scriptoria.llm import chat, codes, decontaminate, html_extract, merkle, neardup, packing, passages, ppm, quality, secrets, sql, topk
 from scriptoria.llm.common import table
 
 
@@ -84,6 +84,11 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The codes of all vectors, their errors, and the digest of the codebooks."""
+    return codes.encode(table(spark, sf_dir, "embeddings"))
+
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -97,7 +102,7 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_decontaminate": op1_decontaminate, "op2_neardup": op2_neardup, "op3_secrets": op3_secrets, "op4_quality": op4_quality, "op5_passages": op5_passages, "op6_topk": op6_topk, "op7_chat": op7_chat, "op8_packing": op8_packing, "op9_ppm": op9_ppm, "op10_html": op10_html, "op13_merkle": op13_merkle}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_decontaminate": op1_decontaminate, "op2_neardup": op2_neardup, "op3_secrets": op3_secrets, "op4_quality": op4_quality, "op5_passages": op5_passages, "op6_topk": op6_topk, "op7_chat": op7_chat, "op8_packing": op8_packing, "op9_ppm": op9_ppm, "op10_html": op10_html, "op11_codes": op11_codes, "op13_merkle": op13_merkle}
 
 ORACLE_SQL: dict[str, str] = {
     "op6_topk": """
@@ -130,5 +135,6 @@ ORACLE_SQL: dict[str, str] = {
             CAST(sum(n) AS BIGINT) AS formatted_chars
         FROM e GROUP BY conv_id
     """,
+    "op11_codes": sql.codes(),
     "op13_merkle": sql.merkle(),
 }

@@ -52,3 +52,28 @@ def merkle(levels: int = 5, upper: int = 3, fanout: int = 16) -> str:
         {", ".join(folds)}
         SELECT doc_id, leaf, subroot, root, proof_sha256, held AS folded_root, held = root AS verified FROM {last}
     """
+
+
+def codes(rounds: int = 4, parts: int = 4, entries: int = 256) -> str:
+    """Codes of embeddings: every part against every entry, in each round."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(
+            f"a{k} AS (SELECT row, p, arg_min(i, d * {entries} + i) AS i, min(d) AS d FROM (SELECT x.row, x.p, c.i, x.n + c.n - 2 * list_inner_product(x.e, c.e) AS d FROM x JOIN c{k} c ON c.p = x.p) GROUP BY row, p)"
+        )
+        if k < rounds:
+            steps.append(
+                f"s{k} AS (SELECT p, i, list(e ORDER BY j) AS e FROM (SELECT a.p, a.i, j, floor(sum(x.e[j]) / count(*)) AS e FROM a{k} a JOIN x ON x.row = a.row AND x.p = a.p, unnest(range(1, len(x.e) + 1)) AS t(j) GROUP BY a.p, a.i, j) GROUP BY p, i)"
+            )
+            steps.append(f"c{k + 1} AS (SELECT p, i, e, list_inner_product(e, e) AS n FROM (SELECT c.p, c.i, coalesce(s.e, c.e) AS e FROM c{k} c LEFT JOIN s{k} s ON s.p = c.p AND s.i = c.i))")
+    return f"""
+        WITH v AS (
+            SELECT vec_id, label, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q, row_number() OVER (ORDER BY vec_id) AS row
+            FROM embeddings WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ), x AS (
+            SELECT row, p, e, list_inner_product(e, e) AS n FROM (SELECT row, p, q[p * len(q) // {parts} + 1 : (p + 1) * len(q) // {parts}] AS e FROM v, unnest(range({parts})) AS t(p))
+        ), c0 AS (SELECT p, row - 1 AS i, e, n FROM x WHERE row <= {entries}), {", ".join(steps)},
+        b AS (SELECT sha256(string_agg(CAST(e[j] AS BIGINT), ',' ORDER BY p, i, j)) AS codebooks_sha256 FROM c{rounds}, unnest(range(1, len(e) + 1)) AS t(j)),
+        f AS (SELECT row, string_agg(printf('%02x', i), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY row)
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM f JOIN v USING (row) CROSS JOIN b
+    """

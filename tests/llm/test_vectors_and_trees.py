@@ -1,13 +1,17 @@
 """The Merkle manifest, vector codes and nearest neighbours against plain versions."""
 
 import hashlib
+import math
 import zlib
 
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from parity import duck, rows
 from pyspark.sql import functions as F
 
-from scriptoria.llm import merkle, queries
+from scriptoria.llm import codes, merkle, queries
 
 # --- Merkle manifest
 
@@ -82,10 +86,72 @@ def test_tampering_shows(spark, small):
         assert r["verified"] != bent
 
 
+# --- codes
+
+
+def plain_codes(table, rounds=4):
+    """{(id, vector): (code, error)} and the codebooks, of rows (id, whole numbers), by looking at every entry."""
+    width = len(table[0][1]) // 4
+    cut = lambda q: [tuple(q[p * width : (p + 1) * width]) for p in range(4)]
+    books = [[cut(q)[p] for _, q in sorted(table)[:256]] for p in range(4)]
+    apart = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b, strict=True))
+    near = lambda part, book: min((apart(part, e), i) for i, e in enumerate(book))
+    for _ in range(rounds):
+        for p in range(4):
+            members = {}
+            for _, q in table:
+                members.setdefault(near(cut(q)[p], books[p])[1], []).append(cut(q)[p])
+            books[p] = [tuple(sum(c) // len(members[i]) for c in zip(*members[i], strict=True)) if i in members else e for i, e in enumerate(books[p])]
+    found = {}
+    for i, q in table:
+        each = [near(part, book) for part, book in zip(cut(q), books, strict=True)]
+        found[i, tuple(q)] = "".join(f"{k:02x}" for _, k in each), sum(d for d, _ in each)
+    return found, hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("large", [1.0, 2.0**50])
+def test_codes_against_every_entry(spark, large):
+    """Copies, ties, negative numbers, entries that are never used, numbers beyond 2**53, and rows that take no part."""
+    rng = np.random.default_rng(3)
+    vectors = np.concatenate([rng.integers(-3, 3, (300, 8)) / 8, rng.normal(size=(200, 8)), np.zeros((40, 8))]) * large
+    table = [(int(i), v.tolist(), None if i % 3 == 0 else f"l{i % 2}") for i, v in enumerate(vectors)]
+    bad = [(900, None, "l0"), (901, [1.0, None] * 4, "l0"), (902, [float("nan")] * 8, None), (903, [float("inf")] * 8, "l1"), (904, [], "l1"), (905, [1.0] * 4, "l1")]
+    df = spark.createDataFrame([(*r, "clash") for r in table + bad], "vec_id long, embedding array<double>, label string, code string").repartition(5)
+    found, digest = plain_codes([(i, [math.floor(1024 * x) for x in v]) for i, v, _ in table])
+    got = codes.encode(df).collect()
+    by_label = {}
+    for i, v, label in table:
+        by_label[label] = by_label.get(label, 0) + found[i, tuple(math.floor(1024 * x) for x in v)][1]
+    longest = 2**63 - 1
+    want = sorted((i, *found[i, tuple(math.floor(1024 * x) for x in v)], by_label[label]) for i, v, label in table)
+    want = [(i, code, min(error, longest)) for i, code, error, _ in want]
+    assert sorted((r["vec_id"], r["code"], r["error"]) for r in got) == want
+    assert {r["codebooks_sha256"] for r in got} == {digest}
+    if large == 1.0:
+        assert {r["vec_id"]: r["label_error"] for r in got} == {i: by_label[label] for i, _, label in table}
+    assert codes.encode(df.limit(0)).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(-40, 40), min_size=3, max_size=3), min_size=1, max_size=40), st.lists(st.lists(st.integers(-60, 60), min_size=3, max_size=3), min_size=1, max_size=30))
+def test_annuli_against_every_entry(entries, vectors):
+    index, d = codes.Annuli(np.array(entries)).nearest(np.array(vectors))
+    for v, i, x in zip(vectors, index, d, strict=True):
+        assert (x, i) == min((sum((a - b) ** 2 for a, b in zip(v, e, strict=True)), k) for k, e in enumerate(entries))
+
+
+def test_annuli_leave_out_what_is_outside():
+    """Where norms differ much, few entries are looked at."""
+    entries = np.stack([np.arange(256) * 1000, np.zeros(256, int)], 1)
+    book = codes.Annuli(entries)
+    index, _ = book.nearest(np.stack([np.arange(1000) * 255 + 3, np.ones(1000, int)], 1))
+    assert book.evaluated < 14 * 1000 and index.max() == 255
+
+
 # --- all of them
 
 
-@pytest.mark.parametrize("name", ["op13_merkle"])
+@pytest.mark.parametrize("name", ["op11_codes", "op13_merkle"])
 def test_rows_match_sql(spark, small, name):
     got, expected = queries.QUERIES[name](spark, small).toPandas(), duck(small).sql(queries.ORACLE_SQL[name]).df()
     assert sorted(got.columns) == sorted(expected.columns)
