@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptoria.llm import chat, codes, decontaminate, html_extract, merkle, neardup, packing, passages, ppm, quality, secrets, sql, topk
+from scriptoria.llm import chat, codes, decontaminate, html_extract, merkle, neardup, neighbours, packing, passages, ppm, quality, secrets, sql, topk
 from scriptoria.llm.common import table
 
 
@@ -89,6 +89,11 @@ def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.encode(table(spark, sf_dir, "embeddings"))
 
 
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest found of every twentieth vector."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -102,7 +107,7 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_decontaminate": op1_decontaminate, "op2_neardup": op2_neardup, "op3_secrets": op3_secrets, "op4_quality": op4_quality, "op5_passages": op5_passages, "op6_topk": op6_topk, "op7_chat": op7_chat, "op8_packing": op8_packing, "op9_ppm": op9_ppm, "op10_html": op10_html, "op11_codes": op11_codes, "op13_merkle": op13_merkle}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_decontaminate": op1_decontaminate, "op2_neardup": op2_neardup, "op3_secrets": op3_secrets, "op4_quality": op4_quality, "op5_passages": op5_passages, "op6_topk": op6_topk, "op7_chat": op7_chat, "op8_packing": op8_packing, "op9_ppm": op9_ppm, "op10_html": op10_html, "op11_codes": op11_codes, "op12_neighbours": op12_neighbours, "op13_merkle": op13_merkle}
 
 ORACLE_SQL: dict[str, str] = {
     "op6_topk": """

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from hypothesis import strategies as st
 from parity import duck, rows
 from pyspark.sql import functions as F
 
-from scriptoria.llm import codes, merkle, queries
+from scriptoria.llm import codes, merkle, neighbours, queries
 
 # --- Merkle manifest
 
@@ -148,6 +149,106 @@ def test_annuli_leave_out_what_is_outside():
     assert book.evaluated < 14 * 1000 and index.max() == 255
 
 
+# --- neighbours
+
+
+def plain_nearest(table, k, every):
+    """{query's place: [(score, id, place)]} by looking at every pair, of rows (id, vector)."""
+    out = {}
+    for a, (i, q) in enumerate(table):
+        if i % every == 0:
+            near = sorted((-sum(x * y for x, y in zip(q, v, strict=True)), j, b) for b, (j, v) in enumerate(table) if b != a and len(v) == len(q))
+            out[a] = [(-s, j) for s, j, _ in near[:k]]
+    return out
+
+
+def recall_of(got, want):
+    """The share of the plain neighbours that were found, queries told by id."""
+    hits = total = 0
+    for i, near in want:
+        total += len(near)
+        hits += len({j for _, j in near} & {r["vec_id"] for r in got if r["query_id"] == i})
+    return hits / total
+
+
+def test_hadamard_and_cells():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(6, 16))
+    h = np.array([[1.0]])
+    for _ in range(4):
+        h = np.block([[h, h], [h, -h]])
+    assert np.allclose(neighbours.hadamard(x), x @ h / 4)
+    unit = neighbours.directions(rng.normal(size=(50, 13)))
+    assert unit.shape == (50, 16) and np.allclose(np.linalg.norm(neighbours.rotated(unit, 1, 2, 3), axis=1), 1)
+    for wanted in (1, 2, 20, 32, 100, 3000):
+        along = neighbours.coordinates(unit, 0, 0, wanted)
+        code = neighbours.cells(along, 50)
+        every = np.arange(np.prod([y.shape[1] for y in along], dtype=int)) if along else np.zeros(1, int)
+        if wanted > 1:
+            assert wanted / 2 <= len(every) <= 2 * wanted
+        for row in range(10):
+            own = [neighbours.score([y[row : row + 1] for y in along], np.array([c]))[0] for c in every]
+            assert own[code[row]] == max(own)
+            for least in (-2.0, 0.1, 0.3, 5.0):
+                want = {int(c) for c, s in zip(every, own, strict=True) if s >= min(least, max(own)) - 1e-9}
+                assert set(neighbours.probes(along, row, least).tolist()) == want
+
+
+@pytest.mark.parametrize("shape", [{}, {"cell_rows": 40, "hot_rows": 150, "block_queries": 30, "tables": 6}])
+def test_neighbours_against_every_pair(spark, shape):
+    """Clusters, a hot group of near copies, exact copies, other lengths and norms, rows that take no part; small cells, nodes and blocks."""
+    rng = np.random.default_rng(11)
+    spread = rng.normal(size=(900, 16))
+    near = spread[0] + 0.05 * rng.normal(size=(500, 16))
+    copies = np.repeat(spread[1:2], 60, axis=0)
+    table = [(int(i), v.tolist()) for i, v in enumerate(np.concatenate([spread, near, copies, 30 * spread[5:8]]))]
+    table += [(5000 + i, rng.normal(size=3).tolist()) for i in range(12)] + [(20, table[20][1]), (40, table[3][1])]
+    bad = [(None, [1.0] * 16), (7000, None), (7020, [0.0] * 16), (7040, []), (7060, [1.0, None] * 8), (7080, [float("nan")] * 16), (7100, [float("inf")] * 16)]
+    df = spark.createDataFrame([(*r, "clash") for r in table + bad], "vec_id long, embedding array<double>, v string").repartition(7)
+    got = neighbours.nearest(df, k=20, every=20, **shape).collect()
+    want = plain_nearest(table, 20, 20)
+    assert len(got) == sum(len(x) for x in want.values())
+    assert recall_of(got, [(table[a][0], x) for a, x in want.items()]) >= 0.9
+    by_id = {}
+    for i, v in table:
+        by_id.setdefault(i, []).append(v)
+    for r in got:
+        scores = [sum(x * y for x, y in zip(q, v, strict=True)) for q in by_id[r["query_id"]] for v in by_id[r["vec_id"]] if len(q) == len(v)]
+        assert min(abs(r["score"] - s) for s in scores) < 1e-9
+    once = [r for r in got if r["query_id"] not in (20, 40)]
+    for i in {r["query_id"] for r in once}:
+        mine = sorted((r for r in once if r["query_id"] == i), key=lambda r: r["rank"])
+        assert [r["rank"] for r in mine] == list(range(1, len(mine) + 1))
+        assert [(-r["score"], r["vec_id"]) for r in mine] == sorted((-r["score"], r["vec_id"]) for r in mine)
+        assert i not in {r["vec_id"] for r in mine}
+    # Copies: their least ids, without the query itself; only the longer vectors come before them.
+    of_copy = [r["vec_id"] for r in sorted((r for r in got if r["query_id"] == 1400), key=lambda r: r["rank"])]
+    short = [i for i in of_copy if i < 1460]
+    assert short == [1, *range(1401, 1400 + len(short))] and of_copy[len(of_copy) - len(short) :] == short
+
+
+def test_neighbours_of_few_rows(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.0]), (2, [0.5, 3.0])], "vec_id long, embedding array<float>")
+    assert [tuple(r) for r in neighbours.nearest(df).orderBy("rank").collect()] == [(0, 1, 1, 0.5), (0, 2, 2, 0.5)]
+    assert neighbours.nearest(df.limit(0)).count() == 0 and neighbours.nearest(df.where("vec_id = 0")).count() == 0
+
+
+def test_recall_on_the_given_vectors(spark):
+    """Directions without any structure, the hardest case: a tenth of the neighbours may be missed."""
+    folder = "/root/testdata/sf0.1"
+    if not Path(folder).is_dir():
+        pytest.skip("no test data here")
+    got = queries.QUERIES["op12_neighbours"](spark, folder).collect()
+    table = spark.read.parquet(f"{folder}/embeddings.parquet").orderBy("vec_id").toPandas()
+    x, ids = np.stack(table["embedding"]).astype(np.float64), table["vec_id"].to_numpy()
+    want = []
+    for a in np.flatnonzero(ids % 20 == 0):
+        s = x @ x[a]
+        s[a] = -np.inf
+        want.append((int(ids[a]), [(float(s[b]), int(ids[b])) for b in np.argsort(-s, kind="stable")[:20]]))
+    assert recall_of(got, want) >= 0.9
+
+
 # --- all of them
 
 
