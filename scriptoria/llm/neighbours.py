@@ -345,7 +345,7 @@ class Index:
         hits = parts[0]
         for p in parts[1:]:
             hits = hits.unionByName(p)
-        best = lambda c: F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))), 1, n).alias("hits")
+        best = lambda c: F.slice(F.sort_array(F.array_distinct(F.flatten(F.collect_list(c)))), 1, n).alias("hits")
         return hits.groupBy("q1", "q2", "table").agg(best("hits")).groupBy(F.col("q1").alias("h1"), F.col("q2").alias("h2")).agg(best("hits"))
 
 
@@ -367,10 +367,11 @@ def nearest(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     fine = vector.isNotNull() & (F.size(vector) > 0) & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     rows = table.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector_col}`").alias("v")).where(F.col("vec_id").isNotNull() & fine).where(most > 0)
     rows = rows.withColumns({"h1": F.xxhash64("v"), "h2": F.xxhash64(F.lit(7), "v")})
-    length = F.log(most) + 0.5 * F.log(F.aggregate(vector, F.lit(0.0), lambda s, x: s + (x.cast("double") / most) * (x.cast("double") / most)))
+    # Half the logarithm of the squares' sum; vectors whose squares leave the range of doubles have a band of their own.
+    squares = F.aggregate(vector, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     first = Window.partitionBy("h1", "h2").orderBy("vec_id")
     base = rows.withColumn("place", F.row_number().over(first)).where(F.col("place") <= n).groupBy("h1", "h2").agg(F.first("v").alias("v"), F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    base = cut_lineage(base.withColumns({"size": F.size("v"), "band": F.round(length / float(np.log(BAND))).cast("int")}))
+    base = cut_lineage(base.withColumns({"size": F.size("v"), "band": F.when((squares > 0) & (squares < F.lit(float("inf"))), F.round(F.log(squares) / (2 * float(np.log(BAND)))).cast("int"))}).fillna(1 << 30, ["band"]))
     asks = cut_lineage(rows.where(F.col("vec_id") % every == 0).select("vec_id", "h1", "h2"))
     asked = cut_lineage(base.join(asks.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").select("h1", "h2", "v", "size"))
     index = Index(base, **shape)
