@@ -68,6 +68,66 @@ def reconcile(base: DataFrame, merged: DataFrame, adapter: DataFrame, scaling: f
     return joined.mapInPandas(judge, "name string, status string, error double")
 
 
+def _products(adapter: DataFrame, scaling: float) -> DataFrame:
+    """(name, r, c, delta): tiles of the turned product of each adapter's halves, times `scaling`.
+
+    A tile of a's rows c and b's columns r meet for each block of the rank; products of several blocks are added up.
+    """
+    half = lambda s: adapter.where(F.col("name").endswith(s)).withColumn("name", F.concat(F.regexp_replace("name", r"\.lora_[AB]$", ""), F.lit(".weight")))
+    a = half(".lora_A").select("name", F.col("r").alias("c"), F.col("c").alias("k"), F.col("rows").alias("n"), F.col("columns").alias("depth"), F.col("values").alias("a"))
+    b = half(".lora_B").select("name", F.col("r").alias("k"), F.col("c").alias("r"), F.col("columns").alias("m"), F.col("rows").alias("depth_b"), F.col("values").alias("b"))
+
+    def multiply(batches):
+        for pdf in batches:
+            out = [np.ascontiguousarray((np.asarray(x.a, np.float32).reshape(x.n, x.depth) @ np.asarray(x.b, np.float32).reshape(x.depth, x.m)).T).ravel() for x in pdf.itertuples(index=False)]
+            yield pd.DataFrame({"name": pdf["name"], "r": pdf["r"], "c": pdf["c"], "k": pdf["k"], "part": out})
+
+    parts = a.join(b, ["name", "k"]).where("depth = depth_b").select("name", "r", "c", "k", "n", "m", "depth", "a", "b").mapInPandas(multiply, "name string, r int, c int, k int, part array<float>")
+    # As many parts as blocks of the rank, which is small.
+    blocks = parts.groupBy("name", "r", "c").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "part"))), lambda s: s["part"]).alias("parts"))
+    summed = F.aggregate(F.slice("parts", F.lit(2), F.size("parts")), F.element_at("parts", 1), lambda s, p: F.zip_with(s, p, lambda x, y: x + y))
+    return blocks.select("name", "r", "c", F.transform(summed, lambda x: x * F.lit(scaling).cast("float")).alias("delta"))
+
+
+def reconcile_tiles(base: DataFrame, merged: DataFrame, adapter: DataFrame, scaling: float, low_precision: bool = False) -> DataFrame:
+    """What reconcile() tells, of tensors in tiles (name, shape, r, c, rows, columns, values), cut alike: no tensor need fit a task.
+
+    The adapter's product is made tile by tile, each tile of the merged tensor is held against its own, and a tensor is good where all its
+    tiles are; its error is the greatest of theirs.
+    """
+    shapes = lambda df, p: df.where("r = 0 and c = 0").select("name", F.col("shape").alias(f"{p}_shape"))
+    matrix = lambda s: F.struct(F.aggregate(F.slice(s, F.lit(1), F.greatest(F.size(s) - 1, F.lit(0))), F.lit(1).cast("long"), lambda x, y: x * y).alias("rows"), F.coalesce(F.try_element_at(s, F.lit(-1)), F.lit(1).cast("long")).alias("columns"))
+    half = lambda s, p: shapes(adapter.where(F.col("name").endswith(s)).withColumn("name", F.concat(F.regexp_replace("name", r"\.lora_[AB]$", ""), F.lit(".weight"))), p)
+    told = shapes(base, "base").join(shapes(merged, "merged"), "name", "full").join(half(".lora_A", "a"), "name", "left").join(half(".lora_B", "b"), "name", "left")
+    adapted = F.col("a_shape").isNotNull() & F.col("b_shape").isNotNull()
+    own, a, b = matrix(F.col("base_shape")), matrix(F.col("a_shape")), matrix(F.col("b_shape"))
+    fits = (F.col("base_shape") == F.col("merged_shape")) & (~adapted | (own["rows"] == b["columns"]) & (own["columns"] == a["rows"]) & (a["columns"] == b["rows"]))
+    told = told.select("name", adapted.alias("adapted"), F.when(F.col("merged_shape").isNull(), "missing").when(F.col("base_shape").isNull(), "unexpected").when(~fits, "mismatch").alias("early"))
+    alike = told.where("early is null").select("name")
+    tiles = base.join(alike, "name", "left_semi").select("name", "r", "c", F.col("values").alias("base")).join(merged.select("name", "r", "c", F.col("values").alias("merged")), ["name", "r", "c"])
+    tiles = tiles.join(_products(adapter, scaling), ["name", "r", "c"], "left")
+
+    def judge(batches):
+        for pdf in batches:
+            out = []
+            for x in pdf.itertuples(index=False):
+                actual, expected = np.asarray(x.merged, np.float64), np.asarray(x.base, np.float64)
+                if x.delta is not None:
+                    delta = np.asarray(x.delta, np.float32)
+                    expected = bfloat16(expected.astype(np.float32) + bfloat16(delta)) if low_precision else expected.astype(np.float32) + delta
+                    good = np.allclose(actual.astype(np.float32), expected, rtol=5e-4, atol=5e-4)
+                else:
+                    good = np.array_equal(actual, expected)
+                apart = np.abs(actual.astype(np.float32) - expected.astype(np.float32))
+                out.append((x.name, bool(good), float(apart.max()) if apart.size else 0.0))
+            yield pd.DataFrame(out, columns=["name", "good", "apart"])
+
+    judged = tiles.select("name", "base", "merged", "delta").mapInPandas(judge, "name string, good boolean, apart double")
+    worst = judged.groupBy("name").agg(F.bool_and("good").alias("good"), F.max("apart").alias("apart"))
+    status = F.coalesce("early", F.when(~F.coalesce("good", F.lit(False)), "mismatch"), F.when(F.col("adapted"), "adapted").otherwise("unchanged"))
+    return told.join(worst, "name", "left").select("name", status.alias("status"), F.when(F.col("early") == "mismatch", 0.0).when(F.col("early").isNull(), F.col("apart")).alias("error"))
+
+
 def reconciliation(checked: DataFrame) -> DataFrame:
     """Counts by status and the greatest error of adapted tensors."""
     n = lambda s: F.count_if(F.col("status") == s).alias(s)

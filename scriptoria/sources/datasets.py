@@ -199,13 +199,10 @@ def read_alphabet(spark: SparkSession, path: str) -> str:
 
 
 def read_tensor_header(spark: SparkSession, path: str) -> DataFrame:
-    """(name, shard, dtype, shape) of the tensors of a single file: eight bytes that tell a header's length, then the header as JSON."""
-    files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("shard"), "content")
-    size = F.conv(F.hex(F.reverse(F.substring("content", 1, 8))), 16, 10).cast("int")
-    header = F.decode(F.substring(F.col("content"), F.lit(9), size), "utf-8")
-    entries = files.select("shard", F.explode(F.from_json(header, "map<string,string>")).alias("name", "entry")).where("name <> '__metadata__'")
-    parsed = F.from_json("entry", "dtype string, shape array<long>")
-    return entries.select("name", "shard", parsed["dtype"].alias("dtype"), parsed["shape"].alias("shape"))
+    """(name, shard, dtype, shape) of the tensors of the files of a path, of which nothing but the headers is read."""
+    from scriptoria.sources.tensorfiles import read_headers
+
+    return read_headers(spark, path).select("name", F.element_at(F.split("path", "/"), -1).alias("shard"), "dtype", "shape")
 
 
 def read_shard_index(spark: SparkSession, path: str) -> DataFrame:
