@@ -47,6 +47,25 @@ def q_metrics_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("candidate", "scope", "name", "samples", *(F.round(c, 9).alias(c) for c in ("cer", "exact_match", "normalized_edit_distance")))
 
 
+@query(
+    """WITH p AS (SELECT lang AS dataset, source AS task, text AS target, CASE doc_id % 3 WHEN 0 THEN replace(text, 'th', '') WHEN 1 THEN translate(text, 'e', '\U0001d522') ELSE '\u00df' || replace(text, ' ', '  ') END AS prediction,
+        CASE doc_id % 3 WHEN 0 THEN length(text) - length(replace(text, 'th', '')) WHEN 1 THEN length(text) - length(replace(text, 'e', '')) ELSE 1 + length(text) - length(replace(text, ' ', '')) END AS edits
+        FROM documents WHERE text IS NOT NULL),
+    g AS (SELECT CASE WHEN grouping(dataset) = 0 THEN 'dataset' WHEN grouping(task) = 0 THEN 'task' ELSE 'overall' END AS scope, CASE WHEN grouping(dataset) = 0 THEN dataset WHEN grouping(task) = 0 THEN task ELSE 'overall' END AS name, count(*) AS samples,
+        CASE WHEN sum(length(target)) > 0 THEN sum(edits) / sum(length(target)) ELSE 0.0 END AS cer, avg(CAST(target = prediction AS INTEGER)) AS exact_match, avg(1 - edits / greatest(length(target), length(prediction), 1)) AS ned
+        FROM p GROUP BY GROUPING SETS ((), (dataset), (task)))
+    SELECT scope, name, samples, round(cer, 9) AS cer, round(exact_match, 9) AS exact_match, round(ned, 9) AS normalized_edit_distance FROM g WHERE NOT (scope = 'task' AND name IS NULL)"""
+)
+def q_metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of whole documents against edited copies, whose distances are known: pieces left out, letters replaced by ones beyond the BMP, or characters added."""
+    d = table(spark, sf_dir, "documents").where("text is not null")
+    k, text = F.col("doc_id") % 3, F.col("text")
+    copy = F.when(k == 0, F.replace(text, F.lit("th"), F.lit(""))).when(k == 1, F.translate(text, "e", "\U0001d522")).otherwise(F.concat(F.lit("\u00df"), F.replace(text, F.lit(" "), F.lit("  "))))
+    p = d.select(F.col("lang").alias("dataset"), F.col("source").alias("task"), text.alias("target"), copy.alias("prediction"))
+    m = evaluate.metrics(evaluate.with_distance(p))
+    return m.select("scope", "name", "samples", *(F.round(c, 9).alias(c) for c in ("cer", "exact_match", "normalized_edit_distance")))
+
+
 @query(
     _PREDICTIONS
     + """, j AS (SELECT m.name AS scope, m.cer, m.exact_match, m.ned, b.cer AS b_cer, b.exact_match AS b_exact, b.ned AS b_ned FROM g m LEFT JOIN g b ON b.candidate = 'base' AND b.scope = m.scope AND b.name = m.name

@@ -1,8 +1,11 @@
+import time
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from scriptoria.functions import distance
 from scriptoria.functions import geometry as g
 from scriptoria.functions import grammar as gr
 from scriptoria.functions import text as t
@@ -130,3 +133,39 @@ def test_token_limits_and_log(spark):
         with pytest.raises(ValueError):
             t.token_limits(bad)
     assert one(spark, t.log_counts(F.lit("total: 1.00e+09 x"), "total")) == 1_000_000_000
+
+
+def plain_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        now = [i]
+        for j, y in enumerate(b, 1):
+            now.append(min(now[-1] + 1, row[j] + 1, row[j - 1] + (x != y)))
+        row = now
+    return row[-1]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text("ab\U0001d522\u00e9", max_size=40), st.text("ab\U0001d522\u00e9", max_size=40), st.sampled_from([1, 2, 7, 64]), st.sampled_from([1, 5, 2048]))
+def test_long_distance_against_the_table(a, b, band, columns):
+    """Bands that must grow and masks made for few columns give what the whole table gives, on far texts and on close ones."""
+    old = distance.BAND, distance.COLUMNS
+    distance.BAND, distance.COLUMNS = band, columns
+    try:
+        for x, y in ((a, b), (a + b, b + a), (a + b + a, a + a)):
+            assert distance.edit_distance(x, y) == plain_distance(x, y)
+    finally:
+        distance.BAND, distance.COLUMNS = old
+
+
+def test_distances_of_long_and_short_texts(spark):
+    """Both ways, on either side of the bound, are Spark's levenshtein; a long text is told in far less than the product of the lengths."""
+    base = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(1500))
+    pairs = [("kitten", "sitting"), (None, "x"), ("x", None), ("", ""), ("", base), (base, base), (base, base[::-1]), (base, base[100:] + "\U0001d522"), ("\U0001d522" * 900, "e" * 900)]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = df.select(distance.edits(F.col("a"), F.col("b")).alias("x"), F.levenshtein("a", "b").cast("long").alias("y")).collect()
+    assert [r["x"] for r in got] == [r["y"] for r in got] and got[0]["x"] == 3
+    began = time.thread_time()
+    long = base * 100
+    assert distance.edit_distance(long, long[:70_000] + "\u00e9" + long[70_010:]) == 10
+    assert time.thread_time() - began < 3
