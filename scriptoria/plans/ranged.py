@@ -9,7 +9,7 @@ from scriptoria.operators import tensors
 from scriptoria.plans.rows import table
 from scriptoria.registry import query
 from scriptoria.scratch import new_folder
-from scriptoria.sources import ranges, tensorfiles
+from scriptoria.sources import datasets, ranges, sinks, tensorfiles
 
 
 @query("SELECT source, CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS length, sha256(string_agg(coalesce(text, '') || chr(10), '' ORDER BY doc_id)) AS sha256 FROM documents GROUP BY source")
@@ -74,3 +74,20 @@ def q_tensor_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         tiles[name] = tensorfiles.read_tiles(tensorfiles.read_headers(spark, f"{path}/{name}"), 3, 3)
     checked = tensors.reconcile_tiles(tiles["base"], tiles["merged"], tiles["adapter"], 0.5)
     return tensors.reconciliation(checked).withColumn("max_error", F.round("max_error", 5))
+
+
+@query(
+    """SELECT 'images' AS part, c_custkey AS id, row_number() OVER (ORDER BY c_custkey) - 1 AS place, c_name || ' "{[\\ ' || c_mktsegment AS text FROM customer
+    UNION ALL SELECT 'annotations', o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1, CAST(o_custkey AS VARCHAR) FROM orders"""
+)
+def q_coco_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document of customers and orders, written by many tasks and read by many, in parts of 16 KB that begin anywhere."""
+    path = new_folder(spark)
+    table(spark, sf_dir, "region").limit(0).write.parquet(path)  # the folder must be there
+    name = F.concat("c_name", F.lit(' "{[\\ '), "c_mktsegment")
+    pictures = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), name.alias("file_name"), F.lit(1).alias("width"), F.lit(1).alias("height"))
+    notes = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("image_id"), F.array(F.array(F.lit(0.5))).alias("segmentation"))
+    sinks.write_coco(pictures, notes, f"{path}/coco.json")
+    images, annotations, _ = datasets.read_coco(spark, f"{path}/coco.json", 1 << 14)
+    place = F.col("place").cast("long").alias("place")
+    return images.select(F.lit("images").alias("part"), "id", place, F.col("file_name").alias("text")).union(annotations.select(F.lit("annotations"), "id", place, F.col("image_id").cast("string")))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from scriptoria.operators.split import chosen_splits
+from scriptoria.scratch import staged
 
 # Fixed value: the name of a shard; what follows the count is a run without a dot.
 _SHARD = r"^(.+)-\d{5}-of-\d{5}(?:-[^.]+)?\.parquet$"
@@ -177,12 +178,15 @@ def label_source(path: str) -> tuple[str, str]:
     raise FileNotFoundError(f"no label file in {path}")
 
 
-def read_coco(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(images, annotations, categories) of a COCO file with the place of each in its list."""
+def read_coco(spark: SparkSession, path: str, chunk_bytes: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(images, annotations, categories) of a COCO file with the place of each in its list. The document is read by as many tasks as it has parts."""
     from scriptoria.schema import COCO
+    from scriptoria.sources.jsonparts import read_elements
 
-    doc = spark.read.schema(COCO).json(path, multiLine=True)
-    return tuple(doc.select(F.posexplode(name).alias("place", "x")).select("place", "x.*") for name in ("images", "annotations", "categories"))
+    found = staged(read_elements(spark, path, **({"chunk_bytes": chunk_bytes, "partition_bytes": chunk_bytes} if chunk_bytes else {})))
+    kinds = {f.name: f.dataType.elementType for f in spark.createDataFrame([], COCO).schema}
+    of = lambda name: found.where(F.col("name") == name).select(F.col("place").cast("int").alias("place"), F.from_json("element", kinds[name]).alias("x")).select("place", "x.*")
+    return of("images"), of("annotations"), of("categories")
 
 
 #: Distinct lines that an alphabet file may have; a file of more is refused.

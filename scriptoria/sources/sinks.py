@@ -14,6 +14,7 @@ from scriptoria.dims import LABELS
 from scriptoria.functions import geometry as g
 from scriptoria.functions import text as t
 from scriptoria.scratch import staged
+from scriptoria.sources.fragments import write_document
 
 
 def write_rejections(rows: DataFrame, path: str) -> None:
@@ -125,24 +126,19 @@ def stage_images(rows: DataFrame, path: str, content: str = "content") -> None:
 
 
 def write_coco(images: DataFrame, annotations: DataFrame, path: str) -> None:
-    """One split's COCO document: images, annotations and the taxonomy. Rows come to the driver a partition at a time and go straight to the file."""
-    target = Path(path)
-    handle, temporary = tempfile.mkstemp(dir=target.parent, prefix=f".{target.name}.")
-    try:
-        with os.fdopen(handle, "w", encoding="utf-8") as out:
-            out.write("{")
-            for name, rows in (("images", images.orderBy("id")), ("annotations", annotations.orderBy("id"))):
-                out.write(f'"{name}":[')
-                for i, r in enumerate(rows.select(F.to_json(F.struct("*"))).toLocalIterator()):
-                    out.write(("," if i else "") + r[0])
-                out.write("],")
-            out.write('"categories":' + json.dumps([{"id": i, "name": x} for i, x in enumerate(LABELS, 1)]) + "}\n")
-            out.flush()
-            os.fsync(out.fileno())
-        os.replace(temporary, target)
-    except BaseException:
-        Path(temporary).unlink(missing_ok=True)
-        raise
+    """One split's COCO document: images and annotations by id, each id once, and the taxonomy.
+
+    Ranges of rows are written by many tasks and joined when all are there; a failure leaves what was there before.
+    """
+    spark = images.sparkSession
+    part = lambda n, text: spark.range(1).select(F.lit(n).alias("part"), F.lit(0).cast("long").alias("id"), F.lit(text).alias("content"))
+    categories = json.dumps([{"id": i, "name": x} for i, x in enumerate(LABELS, 1)])
+    rows = part(0, '{"images":[').unionByName(part(2, '],"annotations":[')).unionByName(part(4, f'],"categories":{categories}}}\n'))
+    for n, table in ((1, staged(images)), (3, staged(annotations))):
+        first = table.agg(F.min("id")).first()[0]
+        comma = F.when(F.col("id") == first, "").otherwise(",")
+        rows = rows.unionByName(table.select(F.lit(n).alias("part"), F.col("id").cast("long").alias("id"), F.concat(comma, F.to_json(F.struct("*"))).alias("content")))
+    write_document(rows, ["part", "id"], path)
 
 
 def yaml_text(value: object, indent: int = 0) -> str:

@@ -7,10 +7,12 @@ import struct
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from scriptoria.operators import tensors
-from scriptoria.sources import datasets, fragments, ranges, tensorfiles
+from scriptoria.sources import datasets, fragments, jsonparts, ranges, sinks, tensorfiles
 
 # --- ranges and digests
 
@@ -153,3 +155,120 @@ def test_tiles_tell_what_whole_tensors_tell(spark, tile_rows, tile_columns, low)
     assert {n: s for n, (s, _) in got.items()} == {n: s for n, (s, _) in want.items()}
     for n, (_, error) in want.items():
         assert (got[n][1] is None) == (error is None) and (error is None or abs(got[n][1] - error) < 1e-5)
+
+
+# --- documents in parts
+
+
+HARD = ['"', "\\", '\\"', "{[", "}]", "é😀", "\n", "a", '"}', "\\\\", ",", ":"]
+VALUES = st.recursive(st.none() | st.booleans() | st.integers(-9, 9) | st.lists(st.sampled_from(HARD), max_size=4).map("".join), lambda x: st.lists(x, max_size=3) | st.dictionaries(st.lists(st.sampled_from(HARD), max_size=3).map("".join), x, max_size=3), max_leaves=8)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.dictionaries(st.lists(st.sampled_from(HARD), min_size=1, max_size=3).map("".join), st.lists(st.dictionaries(st.sampled_from(HARD), VALUES, max_size=3), max_size=4) | VALUES, max_size=4), st.integers(1, 17), st.sampled_from([None, 1, "\t"]), st.booleans())
+def test_elements_of_any_chunks(document, size, indent, ascii_only):
+    """Chunks that begin anywhere, in strings and behind backslashes, give the elements of the lists as a parser does."""
+    raw = json.dumps(document, indent=indent, ensure_ascii=ascii_only).encode()
+
+    class Bytes:
+        read = staticmethod(lambda start, n: raw[start : start + n])
+
+    state, depth, found, lists = 0, 0, [], []
+    for start in range(0, len(raw), size):
+        piece = raw[start : start + size]
+        elements, names = jsonparts.elements_from(Bytes, start, len(piece), state, depth, ahead=5)
+        found, lists = found + elements, lists + names
+        _, up, state = jsonparts.scan(piece, state)
+        depth += int(up.sum())
+    assert (state, depth) == (0, 0)
+    got = {name: [] for _, name, is_list in lists if is_list}
+    for at, element in found:
+        _, name, is_list = max(x for x in lists if x[0] < at)
+        if is_list:
+            got[name].append(json.loads(element))
+    assert got == {k: [x for x in v if isinstance(x, dict)] for k, v in document.items() if isinstance(v, list)}
+
+
+def test_coco_in_parts_is_the_whole_document(spark, tmp_path):
+    """Documents in parts of any size, by many tasks, against Spark's reader of whole documents; strings with all that could mislead."""
+    from scriptoria.schema import COCO
+
+    document = {"info": {"a": [{"id": 5}], "b": {"c": 1}}, "images": [{"id": i, "file_name": HARD[i % 12] * (i % 5), "width": i, "height": 2, "more": [[{"x": '"'}]]} for i in range(300)], "licenses": [1, "{", None, []]}
+    document |= {"annotations": [{"id": i, "image_id": i % 7, "segmentation": [[0.5, 1.0], []], "bbox": [1.0] * (i % 4)} for i in range(500)], "categories": [{"id": 1, "name": "\\\""}]}
+    for k, text in enumerate((json.dumps(document), json.dumps(document, indent=1, ensure_ascii=False))):
+        path = tmp_path / f"{k}.json"
+        path.write_text(text, encoding="utf-8")
+        whole = spark.read.schema(COCO).json(str(path), multiLine=True)
+        for size in (97, 1000, 1 << 20):
+            for name, got in zip(("images", "annotations", "categories"), datasets.read_coco(spark, str(path), size), strict=True):
+                want = whole.select(F.posexplode(name).alias("place", "x")).select("place", "x.*")
+                assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert ranges.read_ranges(spark, str(tmp_path / "0.json"), 1000, 1000).rdd.getNumPartitions() > 10
+
+
+@pytest.mark.parametrize("text", ['{"images":[{"id":1}', '{"images":["a}]', '{"images":[]}}'])
+def test_documents_that_are_not_whole(spark, tmp_path, text):
+    (tmp_path / "x.json").write_text(text)
+    with pytest.raises(Exception, match="not a whole JSON document|does not end"):
+        datasets.read_coco(spark, str(tmp_path / "x.json"))[0].collect()
+
+
+def batch(*contents):
+    return pa.RecordBatch.from_arrays([pa.array(list(contents), pa.binary())], ["content"])
+
+
+def test_two_phases_by_hand(tmp_path, monkeypatch):
+    """A task that fails and runs again counts once; until the commit the old file stays; an abort leaves nothing."""
+    target = tmp_path / "out.json"
+    target.write_text("old")
+    writer = fragments.DocumentSink({"path": str(target)}).writer(None, False)
+    tasks = iter([(1, 10), (0, 11), (1, 12)])
+    monkeypatch.setattr(writer, "_task", lambda: next(tasks))
+
+    def failing():
+        yield batch(b"half of ")
+        raise OSError("lost")
+
+    with pytest.raises(OSError, match="lost"):
+        writer.write(failing())
+    first = writer.write([batch(b"a", b"b"), batch(b"c")])
+    second = writer.write([batch(b"d")])
+    assert target.read_text() == "old"
+    writer.commit([second, None, first])
+    assert target.read_text() == "abcd" and [p.name for p in tmp_path.iterdir()] == ["out.json"]
+
+    other = fragments.DocumentSink({"path": str(target)}).writer(None, False)
+    message = other.write([batch(b"x")])
+    assert len(list(tmp_path.iterdir())) == 2
+    other.abort([message, None])
+    assert target.read_text() == "abcd" and [p.name for p in tmp_path.iterdir()] == ["out.json"]
+    other.abort([])  # once more is no error
+
+
+def test_files_that_cannot_all_be_moved(tmp_path):
+    """A file of the export is there already: those moved before it go again."""
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out" / "b").write_text("old")
+    writer = fragments.PiecesSink({"path": str(tmp_path / "out")}).writer(None, False)
+    rows = pa.RecordBatch.from_arrays([pa.array(["a", "a", "b"]), pa.array([b"1", b"2", b"3"])], ["file", "content"])
+    with pytest.raises(FileExistsError):
+        writer.commit([writer.write([rows])])
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["b"] and [p.name for p in tmp_path.iterdir()] == ["out"]
+    (tmp_path / "out" / "b").unlink()
+    again = fragments.PiecesSink({"path": str(tmp_path / "out")}).writer(None, False)
+    again.commit([again.write([rows])])
+    assert {p.name: p.read_bytes() for p in (tmp_path / "out").iterdir()} == {"a": b"12", "b": b"3"}
+
+
+def test_a_failing_row_leaves_the_old_document(spark, tmp_path):
+    """The whole way: a row that cannot be written ends the job, and the document of before stays as the only file."""
+    path = tmp_path / "coco.json"
+    images = spark.range(1, 4).select("id", F.concat(F.lit("i"), "id").alias("file_name"))
+    notes = spark.range(1, 2000).select("id", (F.col("id") % 3 + 1).alias("image_id"))
+    sinks.write_coco(images, notes, str(path))
+    before = path.read_bytes()
+    assert [a["id"] for a in json.loads(before)["annotations"]] == list(range(1, 2000))
+    rows = spark.range(0, 1000, 1, 8).select("id", F.when(F.col("id") < 990, "x").otherwise(F.raise_error(F.lit("bad row"))).alias("content"))
+    with pytest.raises(Exception, match="bad row"):
+        fragments.write_document(rows, ["id"], str(path))
+    assert path.read_bytes() == before and [p.name for p in tmp_path.iterdir()] == ["coco.json"]
