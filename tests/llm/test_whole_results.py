@@ -160,6 +160,61 @@ def test_attributes_and_parts_of_an_article(part, kept):
     assert ("Part" in text) == kept and text.count("goes on") == 30
 
 
+CHROME_ALONE = ["<body><nav>Home About</nav><footer>Copyright X</footer></body>", "<div class='cookie-notice'>We use cookies</div>", "<body><div class='sidebar'><p>Side</p></div></body>"]
+
+
+@pytest.mark.parametrize("page", CHROME_ALONE)
+def test_pages_of_chrome_alone_have_no_text(page):
+    assert html_extract.extract(page, {}) == ""
+
+
+def test_words_and_parts_of_an_article_stay():
+    """Words of a line whatever their class, parts and paragraphs whose names only sound like chrome; lists of links under such names go."""
+    page = f"""<body><nav>Home</nav><article><p>we <span class="social">love</span> <em class="share">networks</em> a <b class="alert">lot</b><i hidden>not</i></p>
+    <div class="foot-care"><p>Care for feet</p></div><section class="notice-period"><p>A month</p></section><p class="banner">Banners of old</p><p class="tags">Tags on sheep</p>
+    <div class="related-work">Work</div><div class="related-posts"><a href=x>One</a> <a href=y>Two</a></div><div class="share-buttons">Tell</div>{LONG}<div class="feedback"><p>I do not like it</p></div></article></body>"""
+    text = html_extract.extract(page, {})
+    lines = text.split("\n")
+    assert lines[:6] == ["we love networks a lot", "Care for feet", "A month", "Banners of old", "Tags on sheep", "Work"]
+    assert lines[6].startswith("Sentence 0") and len(lines) == 36
+    assert html_extract.extract(f"<body><div class=content>we <span class=social>love</span> it<p>and <b class=alert>that</b></p>{LONG}</div><span class=tags>x</span></body>", {}).startswith("we love it\nand that\nSentence 0")
+
+
+def test_a_paragraph_of_links_and_words_outside_the_winner():
+    half = "<p>See <a href=x>the long list of all that was said about it</a> for more of this.</p>"
+    menu = "<div><a href=a>One</a> <a href=b>Two</a></div>"
+    text = html_extract.extract(f"<body>{menu}<div class=lead>{half}</div><div class=content>{LONG}</div></body>", {})
+    assert text.startswith("See the long list") and text.count("\n") == 30
+    assert "See the long" not in html_extract.extract(f"<body><div class=lead>{half}</div><div class=content>{LONG}</div></body>", {}, {html_extract.text_key("See the long list of all that was said about it for more of this.")})
+
+
+HOSTILE = {"nested": "<div>", "nested text": "<div>x", "stray ends": "</i></b></p></div>", "open and stray": "<b></i>", "items": "<li>a</li>", "chrome": "<div class=ad>x", "paragraphs": "<p>a", "cells": "<tr><td>", "quotes": "<a '\">", "comment": "<!-- ", "amp": "&amp", "articles": "<article>x"}
+
+
+@pytest.mark.parametrize("name", sorted(HOSTILE))
+def test_hostile_markup_takes_time_in_proportion(name):
+    """A megabyte of nested or unclosed tags, alone and inside many others: four times the page takes about four times as long, and little memory."""
+    import time
+    import tracemalloc
+
+    def seconds(size):
+        page = "<b>" * (size // 40) + "<div>" * (size // 40) + HOSTILE[name] * (size // len(HOSTILE[name])) + "</b>"
+        took = []
+        for _ in range(2):
+            began = time.thread_time()
+            html_extract.extract(page, {})
+            took.append(time.thread_time() - began)
+        return min(took)
+
+    few, many = seconds(250_000), seconds(1_000_000)
+    assert many < 6 and many < 8 * few + 0.3
+    if name == "nested":
+        tracemalloc.start()
+        html_extract.extract(HOSTILE[name] * 200_000, {})
+        assert tracemalloc.get_traced_memory()[1] < 200 << 20
+        tracemalloc.stop()
+
+
 def test_paths_with_many_classes_and_templates(spark):
     """Twelve templates of six classes each on one hot host: each page is read by its own template's path, sent or joined."""
     pages = []
