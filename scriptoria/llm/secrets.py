@@ -49,6 +49,8 @@ def entropy_runs(text: str, least: float, window: int = WINDOW) -> Iterator[tupl
 
     The entropy is log2(w) - sum(c * log2(c)) / w; the sum is kept as one character enters and one leaves.
     """
+    if math.log2(max(1, len(set(text)))) < least - 1e-6:
+        return  # no window of so few characters has that much
     counts: dict[str, int] = {}
     total, begin, end = 0.0, -1, -1
     full, most = math.log2(window), window * (math.log2(window) - least) + 1e-9
