@@ -40,6 +40,7 @@ PLACEHOLDER_WORDS = (
     "secret", "access", "private", "public", "api", "auth", "key", "token", "password", "id", "-", "_", "=", "+", "/",
 )
 _BY_FIRST = {c: tuple(w for w in PLACEHOLDER_WORDS if w[0] == c) for c in {w[0] for w in PLACEHOLDER_WORDS}}
+_LETTERS = frozenset("".join(PLACEHOLDER_WORDS))
 _LONG = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 _TERM = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 2)]
 
@@ -76,6 +77,8 @@ def entropy_runs(text: str, least: float, window: int = WINDOW) -> Iterator[tupl
 def placeholder(candidate: str) -> bool:
     """Whether `candidate` is some placeholder words, one after the other: each place is looked at once, whatever the ways to it."""
     low, places, last = candidate.lower(), {0}, 0
+    if not _LETTERS.issuperset(low):
+        return False
     for i in range(len(low)):
         if i in places:
             places.discard(i)
@@ -110,7 +113,7 @@ def find_spans(text: str | None) -> list[tuple[int, int, str]]:
         spans: set[tuple[int, int]] = set()
         for _, of_class, least in CLASSES:
             for m in of_class.finditer(run[0]):
-                if not allowed(m[0]):
+                if m[0] == run[0] or not allowed(m[0]):
                     spans.update((m.start() + b, m.start() + e) for b, e in entropy_runs(m[0], least))
         last = -1
         merged: list[list[int]] = []
