@@ -70,3 +70,35 @@ def q_editor_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("event_id") % 6
     kind = F.when(k < 3, "edit").when(k == 3, "undo").when(k == 4, "redo").otherwise("complete")
     return revisions.fold_sessions(table(spark, sf_dir, "events").select(F.col("user_id").alias("session"), F.col("event_id").alias("seq"), kind.alias("kind"), F.col("value").cast("string").alias("text"), F.lit(0).alias("revision")))
+
+
+@query(
+    """WITH RECURSIVE e AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k, CASE WHEN event_id % 8 = 0 THEN 'wrong' WHEN event_id % 8 < 6 THEN 'save' ELSE 'complete' END AS kind,
+        CASE WHEN event_id % 3 = 0 THEN 'completed' ELSE 'edited' END AS claim, event_type || '/' || (event_id % 2) || '/' || (event_id % 3) AS blocks, CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END AS validated FROM events),
+    f AS (SELECT user_id, event_id, k, CASE kind WHEN 'wrong' THEN 'conflict' WHEN 'save' THEN 'saved' ELSE 'missing' END AS outcome, CASE WHEN kind = 'save' THEN 1 ELSE 0 END AS revision, CASE WHEN kind = 'save' THEN claim END AS status,
+            CASE WHEN kind = 'save' THEN blocks END AS blocks, CASE WHEN kind = 'save' THEN validated ELSE 0 END AS validated FROM e WHERE k = 1
+        UNION ALL SELECT e.user_id, e.event_id, e.k, CASE WHEN e.kind = 'wrong' THEN 'conflict' WHEN e.kind = 'save' THEN 'saved' WHEN f.revision = 0 THEN 'missing' ELSE 'completed' END,
+            CASE WHEN e.kind = 'save' OR e.kind = 'complete' AND f.revision > 0 THEN f.revision + 1 ELSE f.revision END,
+            CASE WHEN e.kind = 'save' THEN CASE WHEN f.status = 'completed' AND e.claim = 'completed' AND e.blocks <> f.blocks THEN 'edited' ELSE e.claim END WHEN e.kind = 'complete' AND f.revision > 0 THEN 'completed' ELSE f.status END,
+            CASE WHEN e.kind = 'save' THEN e.blocks ELSE f.blocks END, CASE WHEN e.kind = 'save' THEN e.validated ELSE f.validated END
+        FROM f JOIN e ON e.user_id = f.user_id AND e.k = f.k + 1)
+    SELECT CAST(user_id AS VARCHAR) AS page, event_id AS seq, outcome, CAST(revision AS BIGINT) AS revision, status, CASE WHEN revision > 0 THEN 2 ELSE 0 END AS n_blocks, validated AS n_validated FROM f"""
+)
+def q_page_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Saves of pages with two blocks and completions, by user: what each event leaves of revision, status, blocks and validations."""
+    from pyspark.sql import Window
+
+    from scriptoria.streaming import pages
+
+    k = F.col("event_id") % 8
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", F.when(k < 6, "save").otherwise("complete").alias("kind"), (k == 0).alias("wrong"))
+    earlier = Window.partitionBy("user_id").orderBy("event_id").rowsBetween(Window.unboundedPreceding, -1)
+    good = (F.col("kind") == "save") & ~F.col("wrong")
+    e = e.withColumn("there", F.coalesce(F.max(good).over(earlier), F.lit(False)))
+    stored = F.coalesce(F.count_if(good | (F.col("kind") == "complete") & F.col("there")).over(earlier), F.lit(0))
+    block = lambda i, text, validated: F.struct(F.lit(i).alias("id"), text.alias("text"), F.lit(False).alias("skipped"), validated.alias("validated"))
+    text = F.col("event_type")
+    blocks = F.array(block("a", text, F.when(F.col("event_id") % 2 == 0, F.sha2(text.cast("binary"), 256)).otherwise("stale")), block("b", (F.col("event_id") % 3).cast("string"), F.lit(None).cast("string")))
+    status = F.when(F.col("event_id") % 3 == 0, "completed").otherwise("edited")
+    events = e.select(F.col("user_id").cast("string").alias("page"), F.col("event_id").alias("seq"), "kind", (stored + F.col("wrong").cast("int")).alias("revision"), status.alias("status"), blocks.alias("blocks"))
+    return pages.replay(events)
