@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from scriptoria.scratch import shared_folder, staged
@@ -109,6 +110,13 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     return mix64(out + np.uint64(k))
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of a few rows, so that a task makes Python's strings of a few texts at a time."""
+    for b in batches:
+        for begin in range(0, b.num_rows, rows):
+            yield b.slice(begin, rows)
+
+
 def text_chunks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose texts hold about CHUNK_BYTES together."""
     begin = total = 0
@@ -121,4 +129,4 @@ def text_chunks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         yield begin, len(texts)
 
 
-__all__ = ["CHUNK_BYTES", "WordHasher", "cut_lineage", "mix64", "normal_bytes", "normal_words", "shared_folder", "shingle_hashes", "table", "text_chunks"]
+__all__ = ["CHUNK_BYTES", "WordHasher", "cut_lineage", "mix64", "normal_bytes", "normal_words", "shared_folder", "shingle_hashes", "slices", "table", "text_chunks"]

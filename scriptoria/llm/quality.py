@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptoria.llm.common import WordHasher, text_chunks
+from scriptoria.llm.common import WordHasher, slices, text_chunks
 
 #: Buckets that words are hashed to; the shape of a text has SHAPES more, its bias none (the thresholds are it).
 WORD_BUCKETS, SHAPES = 1 << 18, 512
@@ -139,7 +139,7 @@ def train(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(1).to_pylist()
             out: list[bytes] = []
             for begin, end in text_chunks(texts):
@@ -174,7 +174,7 @@ def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
-        for b in batches:
+        for b in slices(batches):
             tails = _rated(shared.value, hasher, b.column(1).to_pylist()).round(9)
             columns = [pa.array(x, pa.float64()) for x in (tails.sum(1), tails[:, 0], tails[:, -1])]
             yield pa.RecordBatch.from_arrays([b.column(0), *columns], [id_col, "expected_grade", "p_fair", "p_good"])
@@ -193,7 +193,7 @@ def select(docs: DataFrame, model: OrdinalModel, text_col: str = "text", keep_ta
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
-        for b in batches:
+        for b in slices(batches):
             yield b.filter(pa.array(_rated(shared.value, hasher, b.column(at).to_pylist())[:, -1] >= keep_tail))
 
     return docs.mapInArrow(run, docs.schema)

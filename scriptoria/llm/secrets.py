@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scriptoria.llm.common import slices
+
 KINDS = ("assign", "access", "hex", "entropy")
 _RANK = {kind: i for i, kind in enumerate(KINDS)}
 
@@ -160,7 +162,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             found = [[{"start": s, "end": e, "kind": k} for s, e, k in find_spans(t)] for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, kind)], [id_col, "secrets"])
 
@@ -176,7 +178,7 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> D
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             texts = pa.array([redacted(t, mark) for t in b.column(at).to_pylist()], b.schema.field(at).type)
             yield pa.RecordBatch.from_arrays([texts if i == at else b.column(i) for i in range(b.num_columns)], schema=b.schema)
 
