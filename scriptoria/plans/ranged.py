@@ -9,7 +9,7 @@ from scriptoria.operators import tensors
 from scriptoria.plans.rows import table
 from scriptoria.registry import query
 from scriptoria.scratch import new_folder
-from scriptoria.sources import datasets, ranges, sinks, tensorfiles
+from scriptoria.sources import datasets, pictures, ranges, sinks, tensorfiles
 
 
 @query("SELECT source, CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS length, sha256(string_agg(coalesce(text, '') || chr(10), '' ORDER BY doc_id)) AS sha256 FROM documents GROUP BY source")
@@ -91,3 +91,36 @@ def q_coco_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     images, annotations, _ = datasets.read_coco(spark, f"{path}/coco.json", 1 << 14)
     place = F.col("place").cast("long").alias("place")
     return images.select(F.lit("images").alias("part"), "id", place, F.col("file_name").alias("text")).union(annotations.select(F.lit("annotations"), "id", place, F.col("image_id").cast("string")))
+
+
+@query(
+    """WITH v AS (SELECT vec_id, [CAST(floor(abs(CAST(x AS DOUBLE)) * 1024) AS BIGINT) % 256 FOR x IN embedding] AS g, vec_id % 4 AS l, vec_id % 3 AS t, 5 + vec_id % 4 AS r, 4 + vec_id % 5 AS b FROM embeddings)
+    SELECT vec_id, r - l AS width, b - t AS height, CAST(sum(g[8 * y + x + 1] * (1 + x - l + 8 * (y - t))) AS BIGINT) AS mark FROM v, range(8) AS i(x), range(8) AS j(y) WHERE x >= l AND x < r AND y >= t AND y < b GROUP BY ALL"""
+)
+def q_crop_pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crops out of pictures of vectors, as PNG, read again: their sides and a mark of all of their pixels in place."""
+
+    @F.pandas_udf("binary")
+    def picture(v):  # noqa: ANN001, ANN202
+        import numpy as np
+
+        grey = lambda x: (np.floor(np.abs(np.asarray(x, np.float64)) * 1024).astype(np.int64) % 256).astype(np.uint8).reshape(8, 8)
+        return v.map(lambda x: pictures.encoded(np.repeat(grey(x)[:, :, None], 3, axis=2)))
+
+    @F.pandas_udf("width long, height long, mark long")
+    def read(content):  # noqa: ANN001, ANN202
+        import numpy as np
+        import pandas as pd
+
+        out = []
+        for c in content:
+            x = pictures.raster(bytes(c)).astype(np.int64)
+            height, width, _ = x.shape
+            out.append((width, height, int((x[:, :, 1] * (1 + np.arange(width)[None, :] + 8 * np.arange(height)[:, None])).sum())))
+        return pd.DataFrame(out, columns=["width", "height", "mark"])
+
+    k = F.col("vec_id")
+    e = table(spark, sf_dir, "embeddings").select(k.alias("page"), "vec_id", "embedding")
+    crops = e.select("page", F.lit(0).alias("order"), F.array(k % 4, k % 3, 5 + k % 4, 4 + k % 5).cast("array<int>").alias("box"))
+    made = pictures.crop_pictures(crops, e.select("page", picture("embedding").alias("content")))
+    return made.select(F.col("page").alias("vec_id"), read("picture").alias("p")).select("vec_id", "p.*")
