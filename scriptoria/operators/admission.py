@@ -161,6 +161,9 @@ def detection(lines: DataFrame, min_area: float = 1.0, max_image_pixels: int = 1
         ("missing_image", F.col("sha256").isNull(), path),
         ("invalid_image", image_problem(w, h, max_image_pixels, 0).isNotNull(), image_problem(w, h, max_image_pixels, 0)),
     ]
+    if "file_problem" in lines.columns:  # what reading the file has shown comes before what its sides do
+        told = F.col("file_problem")
+        before[3:4] = [("missing_image", told == "missing", path), ("unsafe_image_path", told == "outside", path), ("invalid_image", told.isNotNull(), F.col("file_detail"))]
     early, early_detail = first_reason(before)
     # What fails so far is not parsed: no one asks for its boxes.
     out = parsed_label_line(lines.withColumn("early", early).withColumn("early_detail", early_detail), unless=F.col("early").isNotNull())
@@ -200,6 +203,23 @@ def detection(lines: DataFrame, min_area: float = 1.0, max_image_pixels: int = 1
     return rows, out.select("source", "line_number", F.explode(events).alias("e")).select("source", "line_number", "e.box_index", "e.reason", "e.detail")
 
 
+def detection_of_files(lines: DataFrame, min_area: float = 1.0, max_image_pixels: int = 100_000_000) -> tuple[DataFrame, DataFrame]:
+    """As detection(), of label lines (source, line_number, value, root) alone: the files that they name under `root` are looked up and read.
+
+    Each distinct file is read once, by one task, and no file that no line names; lines whose path leaves the root are not looked up.
+    What is told of the files is written out before it is joined to the lines, of which many may name one file.
+    """
+    from scriptoria.sources.images import named_files
+
+    path = F.split("value", "\t", 2)[0]
+    wanted = ~t.is_blank(F.col("value")) & (F.size(F.split("value", "\t", 2)) > 1) & ~unsafe_path(path)
+    full = F.when(wanted, F.concat(F.rtrim(F.col("root"), F.lit("/")), F.lit("/"), path))
+    placed = lines.withColumn("file_path", full)
+    told = staged(named_files(placed.select(F.col("file_path").alias("path"), "root"), max_image_pixels))
+    told = told.select(F.col("path").alias("file_path"), "width", "height", "sha256", F.col("problem").alias("file_problem"), F.col("detail").alias("file_detail"))
+    return detection(placed.join(told, "file_path", "left").drop("file_path", "root"), min_area, max_image_pixels)
+
+
 def reason_counts(rows: DataFrame) -> DataFrame:
     """Rejections by reason, in its order.
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptoria.operators import tensors
+from scriptoria.operators import admission, tensors
 from scriptoria.plans.rows import table
 from scriptoria.registry import query
 from scriptoria.scratch import new_folder
-from scriptoria.sources import datasets, pictures, ranges, sinks, tensorfiles
+from scriptoria.sources import datasets, fragments, pictures, ranges, sinks, tensorfiles
 
 
 @query("SELECT source, CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS length, sha256(string_agg(coalesce(text, '') || chr(10), '' ORDER BY doc_id)) AS sha256 FROM documents GROUP BY source")
@@ -124,3 +124,29 @@ def q_crop_pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
     crops = e.select("page", F.lit(0).alias("order"), F.array(k % 4, k % 3, 5 + k % 4, 4 + k % 5).cast("array<int>").alias("box"))
     made = pictures.crop_pictures(crops, e.select("page", picture("embedding").alias("content")))
     return made.select(F.col("page").alias("vec_id"), read("picture").alias("p")).select("vec_id", "p.*")
+
+
+@query(
+    """SELECT p_partkey AS line_number, CASE p_partkey % 6 WHEN 0 THEN 'missing_image' WHEN 1 THEN 'invalid_image' WHEN 4 THEN 'duplicate_image' WHEN 5 THEN 'unsafe_image_path' END AS reason,
+    CASE WHEN p_partkey % 6 IN (2, 3) THEN 2 + p_size WHEN p_partkey % 6 = 4 THEN 2 + (SELECT b.p_size FROM part b WHERE b.p_partkey = a.p_partkey - 1) END AS width FROM part a"""
+)
+def q_named_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label lines and a folder of pictures: some are missing, cut off, copies of the one before or outside the folder."""
+    path = new_folder(spark)
+    p = table(spark, sf_dir, "part").withColumn("k", F.col("p_partkey") % 6)
+
+    @F.pandas_udf("binary")
+    def picture(width, key):  # noqa: ANN001, ANN202
+        import numpy as np
+
+        return width.combine(key, lambda w, n: pictures.encoded(np.resize(np.frombuffer(int(n).to_bytes(8, "big"), np.uint8), (4, 2 + int(w), 3))))
+
+    made = p.where("k in (1, 2, 3)").select("p_partkey", "k", picture("p_size", "p_partkey").alias("content"))
+    copies = made.where("k = 3").select((F.col("p_partkey") + 1).alias("p_partkey"), F.lit(4).alias("k"), "content")
+    name = F.concat(F.lit("p"), F.col("p_partkey").cast("string"), F.lit(".png"))
+    cut = F.when(F.col("k") == 1, F.substring("content", 1, 50)).otherwise(F.col("content"))
+    fragments.write_pieces(made.unionByName(copies).select(name.alias("file"), F.lit(0).alias("place"), cut.alias("content")), f"{path}/pictures")
+    boxes = F.lit('\t[{"transcription":"a","points":[[0,0],[2,0],[2,2],[0,2]]}]')
+    lines = p.select(F.lit("d").alias("source"), F.col("p_partkey").alias("line_number"), F.concat(F.when(F.col("k") == 5, "../").otherwise(""), name, boxes).alias("value"), F.lit(f"{path}/pictures").alias("root"))
+    rows, _ = admission.detection_of_files(lines)
+    return rows.select("line_number", "reason", F.when(F.col("reason").isNull() | (F.col("reason") == "duplicate_image"), F.col("width")).alias("width"))

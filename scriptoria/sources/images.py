@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
 import struct
 import zlib
-from pathlib import Path
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scriptoria.functions.text import natural_key
-from scriptoria.sources.pictures import check_jpeg, png_rows
+from scriptoria.sources.pictures import check_jpeg, encoded, png_rows
+from scriptoria.sources.ranges import Counted, store
 
 PROBED = T.StructType([T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType()), T.StructField("error", T.StringType())])
 SUFFIXES = ("bmp", "jpeg", "jpg", "png", "tif", "tiff", "webp")
@@ -139,20 +145,104 @@ def png(width: int, height: int, pixels: bytes) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
 
 
+#: First bytes of a file in which its sides are looked for; some formats have them far behind, and are then read whole.
+HEAD_BYTES = 1 << 16
+
+INSPECTED = "path string, width int, height int, sha256 string, problem string, detail string"
+
+
+def inspected(path: str, root: str | None = None, max_pixels: int = 100_000_000, min_side: int = 0) -> tuple[int | None, int | None, str | None, str | None, str | None]:
+    """(width, height, sha256, problem, detail) of one file: missing, outside (of `root`, where links lead out of it), invalid_image, pixel_limit_exceeded or none.
+
+    The sides are read first; of a picture that is too large nothing more is.
+    """
+    where, at = store(path)
+    if where.get_file_info(at).type != fs.FileType.File:
+        return None, None, None, "missing", path
+    if root is not None and isinstance(where, fs.LocalFileSystem) and not os.path.realpath(at).startswith(os.path.realpath(store(root)[1]).rstrip("/") + "/"):
+        return None, None, None, "outside", path
+    w = h = None
+    with Counted(path) as file:
+        size = file.size()
+        try:
+            if not size:
+                raise ValueError("empty file")
+            head = file.read(0, min(size, HEAD_BYTES))
+            try:
+                w, h = sides(head)
+            except (ValueError, struct.error, IndexError):
+                if size <= HEAD_BYTES:
+                    raise
+                head = file.read(0, size)
+                w, h = sides(head)
+            if w <= min_side or h <= min_side:
+                raise ValueError(f"invalid dimensions {w}x{h}")
+            if w * h > max_pixels:
+                return w, h, None, "pixel_limit_exceeded", f"image has {w * h} pixels; limit is {max_pixels}"
+            content = head if len(head) == size else head + file.read(len(head), size - len(head))
+            check_body(content)
+        except (ValueError, struct.error, IndexError) as e:
+            return w, h, None, "invalid_image", str(e)
+    return w, h, hashlib.sha256(content).hexdigest(), None, None
+
+
+def named_files(named: DataFrame, max_pixels: int = 100_000_000, min_side: int = 0) -> DataFrame:
+    """(path, width, height, sha256, problem, detail) of each file that `named` (path, root) names, read once however often it is named.
+
+    No folder is listed: what no row names is not touched. Null paths are left out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [inspected(path, root, max_pixels, min_side) for path, root in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            columns = [pa.array(x, t) for x, t in zip(zip(*found, strict=True), (pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string()), strict=True)] if found else [pa.array([], t) for t in (pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string())]
+            yield pa.RecordBatch.from_arrays([b.column(0), *columns], ["path", "width", "height", "sha256", "problem", "detail"])
+
+    distinct = named.where("path is not null").groupBy("path").agg(F.first("root").alias("root"))
+    return distinct.repartition(max(1, named.sparkSession.sparkContext.defaultParallelism * 4), "path").mapInArrow(run, INSPECTED)
+
+
+def contents(named: DataFrame) -> DataFrame:
+    """(path, content) of each file that `named` (path) names and that is there, read once; one file a batch, so that a task holds one at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path in b.column(0).to_pylist():
+                where, at = store(path)
+                if where.get_file_info(at).type == fs.FileType.File:
+                    with Counted(path) as file:
+                        yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([file.read(0, file.size())], pa.binary())], ["path", "content"])
+
+    distinct = named.where("path is not null").select("path").distinct()
+    return distinct.repartition(max(1, named.sparkSession.sparkContext.defaultParallelism * 4), "path").mapInArrow(run, "path string, content binary")
+
+
 def with_content(rows: DataFrame, root: str, image: str = "image") -> DataFrame:
     """`rows` with content: the bytes of an image column struct<bytes, path>. Bytes win; else the file at path, which is taken from `root` unless it is absolute.
 
-    Files are read once each, however many rows name them; a file that is not there gives null.
+    Files are read once each, however many rows name them, and no others; a file that is not there gives null.
     """
-    spark = rows.sparkSession
     own, path = image_bytes(F.col(image))
-    full = F.when(path.startswith("/"), path).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), path))
+    full = F.when(path.startswith("/") | path.contains("://"), path).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), path))
     marked = rows.withColumn("__path", full)
-    here = lambda p: p if "://" in p else Path(p).as_uri() if p.startswith("/") else p
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(here(root))
-    files = files.select(F.regexp_replace("path", "^file:/*", "/").alias("__path"), F.col("content").alias("__content"))
-    joined = marked.join(files, "__path", "left")
-    return joined.withColumn("content", F.coalesce(own, F.col("__content"))).drop("__path", "__content")
+    files = contents(marked.select(F.col("__path").alias("path"))).withColumnsRenamed({"path": "__path", "content": "__content"})
+    return marked.join(files, "__path", "left").withColumn("content", F.coalesce(own, F.col("__content"))).drop("__path", "__content")
+
+
+@F.pandas_udf(T.BinaryType())
+def of_arrays(rasters: pd.Series) -> pd.Series:
+    """PNG of rasters: rows of pixels, which are numbers (grey) or lists of one, three or four numbers from 0 to 255. Null where it is none."""
+
+    def made(x: object) -> bytes | None:
+        try:
+            a = np.array([[np.asarray(p, np.int64).reshape(-1) for p in row] for row in x], np.int64)
+        except (TypeError, ValueError):
+            return None
+        if a.ndim != 3 or not a.size or a.shape[2] not in (1, 3, 4) or a.min() < 0 or a.max() > 255:
+            return None
+        return encoded(np.repeat(a, 3, axis=2).astype(np.uint8) if a.shape[2] == 1 else a[:, :, :3].astype(np.uint8))
+
+    return rasters.map(made)
 
 
 def image_bytes(image: Column) -> tuple[Column, Column]:

@@ -209,3 +209,52 @@ def test_admission_of_jpegs(spark):
     df = spark.createDataFrame([(0, content), (1, content[:-9]), (2, b"\xff\xd8"), (3, None)], "id int, content binary")
     got = {r["id"]: r["a"]["problem"] for r in df.select("id", images.admitted()(F.col("content")).alias("a")).collect()}
     assert got == {0: None, 1: "invalid_image", 2: "invalid_image", 3: "invalid_image"}
+
+
+# --- named files
+
+
+def test_files_that_rows_name(spark, tmp_path):
+    """Each file is read once, those that no row names are not touched (a pipe would never end), links out of the folder are refused, a header far behind the first bytes is found."""
+    import os
+
+    from scriptoria.operators import admission
+    from scriptoria.sources import datasets
+
+    rng = np.random.default_rng(12)
+    root = tmp_path / "pictures"
+    root.mkdir()
+    good = png_of(rng.integers(0, 256, (9, 7, 3)), 8, 2, rng)
+    jpeg, _ = jpeg_of(rng, 24, 16, {1: (1, 1)})
+    far = jpeg[:2] + b"".join(b"\xff\xe1" + struct.pack(">H", 65_000) + bytes(64_998) for _ in range(3)) + jpeg[2:]
+    for name, content in {"a.png": good, "copy.png": good, "far.jpg": far, "cut.png": good[:-30], "none.png": b"", "tall.bmp": bmp_of(np.zeros((300, 1, 3), np.uint8), 24)}.items():
+        (root / name).write_bytes(content)
+    (tmp_path / "outside.png").write_bytes(good)
+    (root / "link.png").symlink_to(tmp_path / "outside.png")
+    (root / "folder.png").mkdir()
+    os.mkfifo(root / "pipe.png")
+    box = '[{"transcription":"x","points":[[0,0],[5,0],[5,5],[0,5]]}]'
+    names = ["a.png", "far.jpg", "copy.png", "cut.png", "none.png", "gone.png", "link.png", "folder.png", "../outside.png", "a.png", "tall.bmp"]
+    (tmp_path / "Label.txt").write_text("".join(f"{n}\t{box}\n" for n in names) + "\nno tab\n")
+    lines = datasets.read_label_lines(spark, str(tmp_path / "Label.txt")).select(F.lit("s").alias("source"), "line_number", "value", F.lit(str(root)).alias("root"))
+    rows, lost = admission.detection_of_files(lines, max_image_pixels=299)
+    reasons = [r["reason"] for r in rows.orderBy("line_number").collect()]
+    assert reasons[:2] == [None, "invalid_image"]  # 24 x 16 pixels are too many here
+    assert reasons[2:] == ["duplicate_image", "invalid_image", "invalid_image", "missing_image", "unsafe_image_path", "missing_image", "unsafe_image_path", "duplicate_image", "invalid_image", "empty_line", "invalid_line"]
+    rows, _ = admission.detection_of_files(lines)
+    found = {r["line_number"]: (r["reason"], r["width"], r["height"]) for r in rows.collect()}
+    assert found[1] == (None, 7, 9) and found[2] == (None, 24, 16) and found[11] == ("no_valid_boxes", 1, 300)
+    assert lost.where("reason = 'missing_image'").count() == 2
+    values = spark.createDataFrame([(1, (None, "a.png")), (2, (b"own", "a.png")), (3, (None, "gone.png")), (4, (None, str(tmp_path / "outside.png"))), (5, None)], "id int, image struct<bytes:binary,path:string>")
+    got = {r["id"]: r["content"] and bytes(r["content"]) for r in images.with_content(values, str(root)).collect()}
+    assert got == {1: good, 2: b"own", 3: None, 4: good, 5: None}
+
+
+def test_rasters_as_values(spark):
+    """Values that are arrays: colour, grey and alpha; what is no raster gives null."""
+    three = [[[1, 2, 3], [4, 5, 6]], [[7, 8, 9], [250, 251, 255]]]
+    cases = [three, [[[1, 2, 3, 9], [4, 5, 6, 9]]], [[[5], [6]]], [[[1, 2], [3, 4]]], [[[256, 0, 0]]], [[[1, 2, 3]], [[1, 2, 3], [4, 5, 6]]], [], None]
+    df = spark.createDataFrame(list(enumerate(cases)), "id int, image array<array<array<int>>>")
+    got = [r["content"] for r in df.select("id", images.of_arrays("image").alias("content")).orderBy("id").collect()]
+    assert np.array_equal(pictures.raster(bytes(got[0])), three) and np.array_equal(pictures.raster(bytes(got[1])), [[[1, 2, 3], [4, 5, 6]]]) and np.array_equal(pictures.raster(bytes(got[2])), [[[5] * 3, [6] * 3]])
+    assert got[3:] == [None] * 5
