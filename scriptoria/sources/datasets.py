@@ -3,13 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
 from pathlib import Path
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import from_arrow_schema
 
 from scriptoria.operators.split import chosen_splits
 from scriptoria.scratch import staged
@@ -53,38 +50,21 @@ def is_saved(spark: SparkSession, path: str) -> bool:
     return any(_matches(spark, f"{path}/{name}") for name in ("dataset_dict.json", "state.json"))
 
 
-def read_saved(spark: SparkSession, path: str) -> DataFrame:
-    """All rows of a dataset saved as Arrow streams, with split and file: one folder, or one for each split.
+def read_saved(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """All rows of a dataset saved as Arrow streams, with split and file: one folder, or one for each split. `columns`: those to unpack, all if null.
 
-    A file is read by one task, record batch by record batch. The columns are those of the first file, whose
-    schema one task tells.
+    A file's record batches are read by many tasks. The columns are those of the first file.
     """
+    from scriptoria.sources.arrowfiles import read_batches
+
     dictionary = bool(_matches(spark, f"{path}/dataset_dict.json"))
     glob = f"{path}/*/*.arrow" if dictionary else f"{path}/*.arrow"
-    if not _matches(spark, glob):
+    found = _matches(spark, glob)
+    if not found:
         raise FileNotFoundError(f"no Arrow files in {path}")
-    files = spark.read.format("binaryFile").load(glob).select("path", "content")
-
-    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for content in b.column(1):
-                schema = pa.ipc.open_stream(content.as_buffer()).schema.remove_metadata()
-                yield pa.RecordBatch.from_arrays([pa.array([schema.serialize().to_pybytes()], pa.binary())], ["schema"])
-
-    first = spark.read.format("binaryFile").load(min(_matches(spark, glob))).select("path", "content").mapInArrow(told, "schema binary").first()
-    schema = pa.ipc.read_schema(pa.py_buffer(bytes(first["schema"])))
-    fields = from_arrow_schema(schema).add("split", "string").add("file", "string")
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for name, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                folder, file = name.split("/")[-2:]
-                for part in pa.ipc.open_stream(content.as_buffer()):
-                    n = part.num_rows
-                    columns = [*(part.column(f.name) for f in schema), pa.array([folder if dictionary else "train"] * n, pa.string()), pa.array([file] * n, pa.string())]
-                    yield pa.RecordBatch.from_arrays(columns, [*schema.names, "split", "file"])
-
-    return files.mapInArrow(rows, fields)
+    rows = read_batches(spark, glob, min(found), columns)
+    split = F.element_at(F.split("path", "/"), -2) if dictionary else F.lit("train")
+    return rows.withColumns({"split": split, "file": F.element_at(F.split("path", "/"), -1)}).drop("path")
 
 
 def train_and_validation(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:

@@ -272,3 +272,47 @@ def test_a_failing_row_leaves_the_old_document(spark, tmp_path):
     with pytest.raises(Exception, match="bad row"):
         fragments.write_document(rows, ["id"], str(path))
     assert path.read_bytes() == before and [p.name for p in tmp_path.iterdir()] == ["coco.json"]
+
+
+# --- Arrow files by record batch
+
+
+def arrow_file(path, table, rows, kind="stream", **options):
+    make = pa.ipc.new_stream if kind == "stream" else pa.ipc.new_file
+    with pa.OSFile(str(path), "wb") as sink, make(sink, table.schema, options=pa.ipc.IpcWriteOptions(**options)) as writer:
+        writer.write_table(table, max_chunksize=rows)
+
+
+@pytest.mark.parametrize("kind", ["stream", "file"])
+@pytest.mark.parametrize("packed", [None, "zstd"])
+def test_record_batches_are_dealt_to_tasks(spark, tmp_path, kind, packed):
+    """A file of many batches is read by many tasks, to the rows of a whole reader; dictionaries, nulls, nested values, packed bodies, one column alone."""
+    from scriptoria.sources import arrowfiles
+
+    n = 500
+    table = pa.table({"id": pa.array(range(n)), "text": pa.array([None if i % 7 == 0 else f"é{i}" for i in range(n)]), "label": pa.array([f"k{i % 3}" for i in range(n)]).dictionary_encode(), "image": pa.array([{"bytes": bytes([i % 256]) * (i % 5), "path": None} for i in range(n)])})
+    arrow_file(tmp_path / "a.arrow", table, 7, kind, compression=packed)
+    arrow_file(tmp_path / "b.arrow", table.slice(0, 3), 7, kind, compression=packed)
+    arrow_file(tmp_path / "c.arrow", table.slice(0, 0), 7, kind, compression=packed)
+    with ranges.Counted(str(tmp_path / "a.arrow")) as file:
+        kinds = [k for k, *_ in arrowfiles.messages(file)]
+        assert kinds.count(3) == 72 and kinds[0] == 1 and (packed or file.read_bytes < file.size())
+    found = arrowfiles.read_batches(spark, f"{tmp_path}/*.arrow", str(tmp_path / "a.arrow"))
+    got = sorted((r["id"], r["text"], r["label"], bytes(r["image"]["bytes"])) for r in found.collect())
+    whole = [(r["id"], r["text"], r["label"], r["image"]["bytes"]) for r in table.to_pylist()]
+    assert got == sorted([*whole, *whole[:3]], key=lambda r: r[0])
+    used = found.select(F.spark_partition_id().alias("p"), "path").where("path like '%a.arrow'").distinct().count()
+    assert used > 3
+    some = arrowfiles.read_batches(spark, f"{tmp_path}/*.arrow", str(tmp_path / "a.arrow"), ["label"])
+    assert some.columns == ["label", "path"] and some.count() == n + 3
+
+
+def test_arrow_files_that_are_cut_off(spark, tmp_path):
+    from scriptoria.sources import arrowfiles
+
+    table = pa.table({"id": pa.array(range(100))})
+    arrow_file(tmp_path / "a.arrow", table, 10)
+    whole = (tmp_path / "a.arrow").read_bytes()
+    (tmp_path / "a.arrow").write_bytes(whole[:-200])
+    with pytest.raises(Exception, match="cut off"):
+        arrowfiles.read_batches(spark, f"{tmp_path}/*.arrow", str(tmp_path / "a.arrow")).collect()
