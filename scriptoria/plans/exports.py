@@ -11,6 +11,7 @@ from scriptoria.plans.rows import table
 from scriptoria.registry import query
 from scriptoria.scratch import new_folder
 from scriptoria.sources import datasets, images, sinks
+from scriptoria.sources.fragments import write_document
 
 
 @query("SELECT doc_id, length(left(text, 500)) AS n, sha256(left(text, 500)) AS detail_sha FROM documents")
@@ -150,7 +151,7 @@ def q_validation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark)
     record = sinks.training_record(F.concat(F.lit("i"), F.col("p_partkey").cast("string")), t.prompt_of(F.lit("ocr")), F.col("p_name"))
     value = F.when(F.col("p_partkey") % 6 == 0, "").when(F.col("p_partkey") % 6 == 3, "{no record").otherwise(record)
-    table(spark, sf_dir, "part").repartition(1).sortWithinPartitions("p_partkey").select(value.alias("value")).write.text(path)
+    write_document(table(spark, sf_dir, "part").select("p_partkey", F.concat(value, F.lit("\n")).alias("content")), ["p_partkey"], f"{path}/validation-part.jsonl")
     return datasets.read_validation(spark, path, 4).select("image", "target", "task")
 
 

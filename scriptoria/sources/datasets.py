@@ -108,12 +108,16 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Prepared training records with their place, and error where a line is no record; blank lines are skipped."""
+    return records_of(read_lines(spark, path))
+
+
+def records_of(lines: DataFrame) -> DataFrame:
+    """As read_records(), of lines (file, line_number, value)."""
     from scriptoria.dims import PROMPTS
     from scriptoria.functions.grammar import record_error, target_error_of
     from scriptoria.functions.text import task_of_prompt
 
-    lines = read_lines(spark, path).where(F.trim("value") != "")
-    rows = lines.withColumn("record", F.from_json("value", RECORD)).withColumn("sound", F.try_parse_json("value").isNotNull())
+    rows = lines.where(F.trim("value") != "").withColumn("record", F.from_json("value", RECORD)).withColumn("sound", F.try_parse_json("value").isNotNull())
     rows = rows.select("file", "line_number", "value", "sound", "record.*")
     shape = F.when(~F.col("sound"), "json").otherwise(record_error(F.col("image_info"), F.col("text_info"), tuple(PROMPTS.values())))
     rows = rows.withColumn("error", shape)
@@ -123,14 +127,50 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return out.select("file", "line_number", "image_info", "text_info", "error")
 
 
+#: Bytes of each validation file that are read first; twice as many next, where these hold too few valid records.
+FIRST_BYTES = 1 << 18
+
+
+def first_valid(spark: SparkSession, path: str, limit: int, first_bytes: int = FIRST_BYTES) -> tuple[DataFrame, DataFrame]:
+    """(the first `limit` valid records of each file of a path, how far each file was read: path, length, at, lines, found).
+
+    Files are read in rounds from their beginnings. A file takes part in the next round while it holds more and has shown fewer valid records
+    than asked for, so what lies far behind the last of them is neither read nor parsed. All files of a round are read at once; only their
+    number comes to the driver.
+    """
+    from scriptoria.sources.ranges import files, stretch_lines
+
+    progress = files(spark, path).select("path", "length", F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("lines"), F.lit(0).cast("long").alias("found"))
+    valid: DataFrame | None = None
+    take, progress = first_bytes, staged(progress)
+    while True:
+        open_ = (F.col("found") < limit) & (F.col("at") < F.col("length"))
+        going = progress.where(open_)
+        if going.isEmpty():
+            break
+        lines = staged(stretch_lines(going.select("path", "length", "at", "lines"), take))
+        name = F.element_at(F.split("path", "/"), -1)
+        good = staged(records_of(lines.select(name.alias("file"), "line_number", "value")).where("error is null"))
+        valid = good if valid is None else valid.unionByName(good)
+        ends = lines.groupBy("path").agg(F.max("end").alias("end"), F.max("line_number").alias("last"))
+        shown = good.groupBy("file").agg(F.count("*").alias("more"))
+        after = going.join(ends, "path", "left").join(shown, F.col("file") == name, "left")
+        after = after.select("path", "length", F.coalesce("end", "length").alias("at"), F.coalesce("last", "lines").alias("lines"), (F.col("found") + F.coalesce("more", F.lit(0))).alias("found"))
+        progress = staged(after.unionByName(progress.where(~open_)))
+        take *= 2
+    if valid is None:
+        valid = records_of(spark.createDataFrame([], "file string, line_number long, value string"))
+    ranked = valid.withColumn("rank", F.row_number().over(Window.partitionBy("file").orderBy("line_number"))).where(F.col("rank") <= limit).drop("rank")
+    return ranked, progress
+
+
 def read_validation(spark: SparkSession, path: str, limit: int) -> DataFrame:
     """The first `limit` valid records of each validation file with dataset, image, target and task."""
     from scriptoria.functions.text import task_of_prompt
 
-    rows = read_records(spark, path).where("error is null")
-    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("file").orderBy("line_number"))).where(F.col("rank") <= limit)
+    rows, _ = first_valid(spark, path, limit)
     dataset = F.regexp_replace(F.regexp_replace("file", r"\.jsonl$", ""), "^validation-", "")
-    return ranked.select(dataset.alias("dataset"), "line_number", F.col("image_info")[0]["image_url"].alias("image"), F.col("text_info")[1]["text"].alias("target"), task_of_prompt(F.col("text_info")[0]["text"]).alias("task"))
+    return rows.select(dataset.alias("dataset"), "line_number", F.col("image_info")[0]["image_url"].alias("image"), F.col("text_info")[1]["text"].alias("target"), task_of_prompt(F.col("text_info")[0]["text"]).alias("task"))
 
 
 def read_predictions(spark: SparkSession, path: str, candidate: str | None = None) -> DataFrame:

@@ -126,6 +126,41 @@ def digests(spark: SparkSession, path: str, chunk_bytes: int = 1 << 20) -> DataF
     return listed.repartition(max(1, spark.sparkContext.defaultParallelism), "path").mapInArrow(run, "path string, length long, sha256 string")
 
 
+def stretch_lines(places: DataFrame, size: int) -> DataFrame:
+    """(path, line_number, value, end) of whole lines of files (path, length, at, lines), from `at` on, behind `lines` lines: about `size` bytes, and on to the end of a line.
+
+    `end` is where the next line begins. A byte-order mark before the first line is taken off; bytes that are no UTF-8 become a sign that says so.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                with Counted(r["path"]) as file:
+                    content = file.read(r["at"], size)
+                    while content and b"\n" not in content[-1:] and r["at"] + len(content) < r["length"]:
+                        cut = content.rfind(b"\n")
+                        if cut >= 0:
+                            content = content[: cut + 1]
+                        else:
+                            content += file.read(r["at"] + len(content), max(size, len(content)))
+                if not content:
+                    continue
+                text = content.decode("utf-8", "replace")
+                if r["at"] == 0:
+                    text = text.removeprefix("\ufeff")
+                values = re.split("\r\n|\n|\r", text)
+                if values[-1] == "":
+                    values.pop()
+                n, end = len(values), r["at"] + len(content)
+                kinds = (pa.string(), pa.int64(), pa.string(), pa.int64())
+                for i in range(0, max(1, n), 4096):
+                    some = values[i : i + 4096] or [""]
+                    columns = ([r["path"]] * len(some), range(r["lines"] + i + 1, r["lines"] + i + 1 + len(some)), some, [end] * len(some))
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], ["path", "line_number", "value", "end"])
+
+    return places.repartition(max(1, places.sparkSession.sparkContext.defaultParallelism), "path").mapInArrow(run, "path string, line_number long, value string, end long")
+
+
 #: Chunks whose digests are hashed together on each level of a tree digest.
 TREE_FANOUT = 4096
 
@@ -142,4 +177,4 @@ def tree_digests(spark: SparkSession, path: str, partition_bytes: int = PARTITIO
     return runs.withColumnRenamed("run", "at").groupBy("path").agg(F.sum("size").alias("length"), joined("digest"))
 
 
-__all__ = ["CHUNK_BYTES", "Counted", "FileRanges", "digests", "files", "read_ranges", "store", "tree_digests"]
+__all__ = ["CHUNK_BYTES", "Counted", "FileRanges", "digests", "files", "read_ranges", "store", "stretch_lines", "tree_digests"]

@@ -316,3 +316,32 @@ def test_arrow_files_that_are_cut_off(spark, tmp_path):
     (tmp_path / "a.arrow").write_bytes(whole[:-200])
     with pytest.raises(Exception, match="cut off"):
         arrowfiles.read_batches(spark, f"{tmp_path}/*.arrow", str(tmp_path / "a.arrow")).collect()
+
+
+# --- the first valid records
+
+
+def test_lines_behind_the_last_record_are_not_read(spark, tmp_path):
+    """Of large files a little is read where valid records come early, all where they come late or are too few; numbers and rows are those of reading everything."""
+    good = json.dumps({"image_info": [{"image_url": "i", "matched_text_index": 0}], "text_info": [{"text": "OCR:", "tag": "mask"}, {"text": "hello", "tag": "no_mask"}]})
+    bad, long_ = "{no record", '{"x": "' + "y" * 5000 + '"}'
+    contents = {
+        "validation-early.jsonl": "\ufeff" + "\n".join([good, "", bad, good] * 3000) + "\n",
+        "validation-late.jsonl": "\n".join([bad] * 900 + [good] * 5),
+        "validation-few.jsonl": "\r\n".join([good, bad, long_, good]),
+        "validation-none.jsonl": "\n".join([bad, long_]),
+    }
+    for name, text in contents.items():
+        (tmp_path / name).write_bytes(text.encode())
+    rows, progress = datasets.first_valid(spark, str(tmp_path), 3, 1 << 10)
+    got = {}
+    for r in rows.orderBy("file", "line_number").collect():
+        got.setdefault(r["file"], []).append(r["line_number"])
+    assert got == {"validation-early.jsonl": [1, 4, 5], "validation-late.jsonl": [901, 902, 903], "validation-few.jsonl": [1, 4]}
+    read = {r["path"].rsplit("/", 1)[1]: (r["at"], r["length"]) for r in progress.collect()}
+    assert read["validation-early.jsonl"][0] <= 1 << 10 < read["validation-early.jsonl"][1] // 100
+    assert all(at == length for name, (at, length) in read.items() if "few" in name or "none" in name)
+    whole = datasets.read_records(spark, str(tmp_path)).where("error is null").select("file", "line_number").collect()
+    for name, numbers in got.items():
+        assert numbers == sorted(r["line_number"] for r in whole if r["file"] == name)[:3]
+    assert datasets.read_validation(spark, str(tmp_path), 2).where("dataset = 'early'").count() == 2
