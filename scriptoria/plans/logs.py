@@ -64,9 +64,18 @@ def q_stale_response(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", revisions.stale(got, now).alias("stale"))
 
 
-@query()
+@query(
+    """WITH RECURSIVE e AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k, count(*) OVER (PARTITION BY user_id) AS n, event_id % 6 AS c, CAST(value AS VARCHAR) AS v FROM events),
+    f AS (SELECT DISTINCT user_id, n, CAST(0 AS BIGINT) AS k, '' AS text, 'draft' AS status, FALSE AS dirty, CAST([] AS VARCHAR[]) AS undo, CAST([] AS VARCHAR[]) AS redo FROM e
+        UNION ALL SELECT user_id, n, k, CASE WHEN typed THEN v WHEN undone THEN undo[-1] WHEN redone THEN redo[-1] ELSE text END,
+            CASE WHEN typed OR undone OR redone THEN CASE WHEN status = 'completed' THEN 'edited' ELSE status END WHEN done THEN 'completed' ELSE status END, dirty OR typed OR undone OR redone OR done,
+            CASE WHEN typed THEN list_append(undo, text)[-50:] WHEN undone THEN list_slice(undo, 1, len(undo) - 1) WHEN redone THEN list_append(undo, text) ELSE undo END,
+            CASE WHEN typed THEN CAST([] AS VARCHAR[]) WHEN undone THEN list_append(redo, text) WHEN redone THEN list_slice(redo, 1, len(redo) - 1) ELSE redo END
+        FROM (SELECT f.* REPLACE (e.k AS k), v, c < 3 AND v <> text AS typed, c = 3 AND len(undo) > 0 AS undone, c = 4 AND len(redo) > 0 AS redone, c = 5 AND trim(text) <> '' AS done FROM f JOIN e ON e.user_id = f.user_id AND e.k = f.k + 1))
+    SELECT CAST(user_id AS VARCHAR) AS session, text, status, CAST(0 AS BIGINT) AS revision, dirty, CAST(len(undo) AS INTEGER) AS undo_steps, CAST(len(redo) AS INTEGER) AS redo_steps FROM f WHERE k = n"""
+)
 def q_editor_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Editing sessions by user after all their events (an order-dependent fold: tested against a plain loop)."""
+    """Editing sessions by user after all their events (an order-dependent fold)."""
     k = F.col("event_id") % 6
     kind = F.when(k < 3, "edit").when(k == 3, "undo").when(k == 4, "redo").otherwise("complete")
     return revisions.fold_sessions(table(spark, sf_dir, "events").select(F.col("user_id").alias("session"), F.col("event_id").alias("seq"), kind.alias("kind"), F.col("value").cast("string").alias("text"), F.lit(0).alias("revision")))

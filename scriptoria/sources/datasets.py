@@ -98,7 +98,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     split, and the lines of the splits before it in its file are added.
     """
     split = ["path", "at"]
-    raw = spark.read.text(path).select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("place"), "value")
+    # Spark gives names as in URIs.
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    raw = spark.read.text(path).select(name.alias("file"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("place"), "value")
     sizes = raw.groupBy(*split).agg(F.count("*").alias("n"))  # a row a split
     before = sizes.select(*split, F.coalesce(F.sum("n").over(Window.partitionBy("path").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     numbered = raw.withColumn("own", F.row_number().over(Window.partitionBy(*split).orderBy("place"))).join(before, split)

@@ -270,9 +270,34 @@ def opaque_id(path: Column) -> Column:
 def catalogue(spark: SparkSession, folder: str) -> DataFrame:
     """The images right in a folder, in natural order: image_id, name, stem, width, height, sha256, size_bytes, modified, error. A bad file is a row with an error."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{" + ",".join([*SUFFIXES, *(s.upper() for s in SUFFIXES)]) + "}").option("recursiveFileLookup", "false").load(folder)
-    name = F.element_at(F.split("path", "/"), -1)
-    rows = files.select(name.alias("name"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("sha256"), probe("content").alias("p"))
-    out = rows.select(opaque_id(F.col("name")).alias("image_id"), "name", F.regexp_replace("name", r"\.[^.]*$", "").alias("stem"), "p.width", "p.height", "sha256", "size_bytes", "modified", "p.error")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sides out of the first bytes, and the digest of the file streamed, however large it is."""
+        for b in batches:
+            found = []
+            for path, length in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                w = h = error = None
+                digest = hashlib.sha256()
+                with Counted(path) as file:
+                    head = file.read(0, min(length, HEAD_BYTES))
+                    try:
+                        w, h = sides(head)
+                    except (ValueError, struct.error, IndexError) as e:
+                        try:  # some formats have their sides far behind
+                            w, h = sides(file.read(0, min(length, 64 << 20))) if length > HEAD_BYTES else (None, None)
+                        except (ValueError, struct.error, IndexError):
+                            pass
+                        error = str(e) if w is None else None
+                    for start in range(0, length, 1 << 20):
+                        digest.update(file.read(start, 1 << 20))
+                found.append((w, h, error, digest.hexdigest()))
+            kinds = (pa.int32(), pa.int32(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array([f[i] for f in found], t) for i, t in enumerate(kinds))], [*b.schema.names, "width", "height", "error", "sha256"])
+
+    listed = files.select("path", "length", "modificationTime").repartition(max(1, spark.sparkContext.defaultParallelism), "path")
+    told = listed.mapInArrow(run, "path string, length long, modificationTime timestamp, width int, height int, error string, sha256 string")
+    rows = told.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"), "sha256", "width", "height", "error")
+    out = rows.select(opaque_id(F.col("name")).alias("image_id"), "name", F.regexp_replace("name", r"\.[^.]*$", "").alias("stem"), "width", "height", "sha256", "size_bytes", "modified", "error")
     return out.orderBy(natural_key(F.col("name")), "name")
 
 
