@@ -22,6 +22,8 @@ END = 255
 SYMBOLS = 256
 #: Text that one group of documents holds, about, and model that is sent to every task, at most.
 BLOCK_BYTES, BROADCAST_BYTES = 12 << 20, 96 << 20
+#: Copies of one row that go to one block at most.
+BLOCK_COPIES = 20_000
 
 
 def lowered(text: str | None) -> bytes:
@@ -205,16 +207,31 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
 
     Counts are summed in the tasks before Spark adds them up. Documents are dealt into blocks of about
     BLOCK_BYTES by a hash of id and text; a block asks for the counts of its own words only, so no task holds
-    the vocabulary. A block's documents stream through its task and are not held, so a row that is repeated
-    very often, whose copies share a block, takes time but no memory. The grams of a block are looked up in
+    the vocabulary. A block's documents stream through its task and are not held; copies of one row that are more than
+    a block, or than BLOCK_COPIES, are counted first and dealt to several. The grams of a block are looked up in
     the whole model where that is within `broadcast_bytes`, else in what the block asks for, as with words.
     """
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
-    size, n_docs = (int(x or 0) for x in rows.agg(F.sum(F.octet_length("text").cast("long")), F.count_if("learn")).first())
+    rows = rows.withColumn("same", F.xxhash64("id", "text"))
+    # Copies of one row are counted before they are dealt; those that are more than a block go to several.
+    sizes = cut_lineage(rows.groupBy("same").agg(F.count("*").alias("n"), F.sum(F.octet_length("text").cast("long")).alias("bytes"), F.count_if("learn").alias("learnt")))
+    size, n_docs = (int(x or 0) for x in sizes.agg(F.sum("bytes"), F.sum("learnt")).first())
     blocks = max(1, -(-size // BLOCK_BYTES))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int"))
+    pieces = F.greatest(F.ceil(F.col("bytes") / BLOCK_BYTES), F.ceil(F.col("n") / BLOCK_COPIES)).cast("int")
+    hot = cut_lineage(sizes.where((F.col("n") > 1) & (pieces > 1)).select("same", pieces.alias("pieces")))
+    many = not hot.isEmpty()
+    n_hot = (hot.agg(F.sum("pieces")).first()[0] or 0) if many else 0
+    blocks = max(blocks, n_hot)  # copies of short rows, too, find blocks to be dealt to
+    place = lambda piece: F.pmod(F.xxhash64("same") + piece, F.lit(blocks)).cast("int")
+    if many:
+        rows = rows.join(hot, "same", "left").withColumn("block", place(F.coalesce(F.pmod(F.monotonically_increasing_id(), "pieces"), F.lit(0))))
+        # Each block that copies may come to asks for their words, by a row that is not counted.
+        asking = rows.where(F.col("pieces").isNotNull()).groupBy("same", "pieces").agg(F.first("text").alias("text"))
+        asking = asking.select(F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), "same", "text").select(place(F.col("piece")).alias("block"), "text", F.lit(False).alias("learn"))
+    else:
+        rows, asking = rows.withColumn("block", place(F.lit(0))), None
     model = cut_lineage(build_trie(cut_lineage(count_grams(rows))))
     n_grams = model.count()
     small = n_grams * 12 <= broadcast_bytes
@@ -252,8 +269,9 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
         if now is not None:
             yield from told_by(now, n, only, codes)
 
-    dealt = rows.repartition("block").sortWithinPartitions("block")
-    asked = cut_lineage(dealt.select("block", "text", "learn").mapInArrow(ask, "block int, key binary, n long, is_gram boolean"))
+    asks_ = rows.select("block", "text", "learn")
+    dealt = (asks_ if asking is None else asks_.unionByName(asking)).repartition("block").sortWithinPartitions("block")
+    asked = cut_lineage(dealt.mapInArrow(ask, "block int, key binary, n long, is_gram boolean"))
     # A word has a row for each block that has it. These are summed in the tasks first, and what is summed is
     # written out, so that the join back is one of two plain inputs, which Spark splits where a word is in very many blocks.
     totals = cut_lineage(asked.where(~F.col("is_gram")).groupBy("key").agg(F.sum("n").alias("c")))

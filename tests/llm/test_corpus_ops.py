@@ -371,6 +371,24 @@ def plain_ppm(train):
     return chance
 
 
+@pytest.mark.parametrize("limit", [96 << 20, 0])
+def test_copies_of_a_row_are_dealt_apart(spark, monkeypatch, limit):
+    """Many copies of one row go to several tasks, whose model is that of one task."""
+    docs = [(7, "same words here again")] * 900 + [(i, f"other words {i} here") for i in range(30)] + [(None, None)] * 120
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    learn = F.coalesce(F.col("doc_id"), F.lit(0)) % 3 != 2
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        told = lambda rows: sorted(repr((*r[:5], round(r[5], 8), round(r[6], 8))) for r in rows)
+        whole = told(ppm.score_documents(df, learn, broadcast_bytes=limit).collect())
+        monkeypatch.setattr(ppm, "BLOCK_COPIES", 50)
+        apart = ppm.score_documents(df, learn, broadcast_bytes=limit).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len({r["task"] for r in apart if r["doc_id"] == 7}) > 1
+    assert told(apart) == whole
+
+
 def test_ppm_against_a_plain_model(spark):
     rng = random.Random(9)
     docs = [(i, " ".join(rng.choice(["Abra", "cad", "ABRA", "é", "x\ty", "zz\x00"]) for _ in range(rng.randint(0, 25)))) for i in range(40)] + [(None, None), (41, ""), (5, "again"), (5, "again"), (42, "ñandú" * 3)]
