@@ -139,3 +139,12 @@ def test_alignment_of_charts():
     assert grammar.align_chart(model, 0, "right")["alignments"] == ["right", "left"] and grammar.align_chart(model, 5, "left") == model
     with pytest.raises(ValueError):
         grammar.align_chart(model, 0, "middle")
+
+
+def test_alphabet_is_whole_or_refused(spark, tmp_path):
+    file = tmp_path / "alphabet.txt"
+    file.write_text("\n".join(map(str, range(200_001))))
+    with pytest.raises(ValueError, match="200000"):
+        datasets.read_alphabet(spark, str(file))
+    file.write_text("b\na\nb")
+    assert datasets.read_alphabet(spark, str(file)) == " ab"
