@@ -8,7 +8,6 @@ import pytest
 from test_corpus_ops import VOCABULARY, plain_aligned, prose
 
 from scriptoria.llm import common, decontaminate, html_extract, neardup
-from scriptoria.sources.datasets import read_alphabet
 
 
 def variants(rng, n, fewest, most):
@@ -129,15 +128,6 @@ def test_junk_that_a_host_repeats(spark):
             assert r["text"].startswith(f"Lead {r['page_id'] // 2}\nSentence 0") and r["text"].count("\n") == 30
 
 
-def test_alphabet_is_whole_or_refused(spark, tmp_path):
-    file = tmp_path / "alphabet.txt"
-    file.write_text("\n".join(map(str, range(200_001))))
-    with pytest.raises(ValueError, match="200000"):
-        read_alphabet(spark, str(file))
-    file.write_text("b\na\nb")
-    assert read_alphabet(spark, str(file)) == " ab"
-
-
 @pytest.mark.parametrize(
     "part, kept",
     [
