@@ -17,8 +17,10 @@ TABLES, CELL_ROWS = 4, 512
 HOT_ROWS, DEPTH = 4096, 3
 #: Queries of which the probes are fitted (least hashes first), and the share of their neighbours that probes have to reach.
 SAMPLE, REACHED = 200, 0.95
-#: Queries that one task compares with one cell at a time.
-BLOCK_QUERIES = 4096
+#: Queries, and vectors, that one task compares at a time: so many, and of so many components in all.
+BLOCK_QUERIES, BLOCK_COMPONENTS = 32_768, 1 << 21
+#: Blocks into which a node of fewer vectors than these is dealt nonetheless, of HOT_ROWS each.
+LEAST_BLOCKS = 32
 #: Vectors of norms within this factor are hashed together.
 BAND = 1.25
 
@@ -147,21 +149,6 @@ def _hashed(df: DataFrame, level: int) -> DataFrame:
     return df.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in df.dtypes) + ", code long")
 
 
-def _probed(df: DataFrame, level: int, least: float) -> DataFrame:
-    """A row with `code` for each cell that a query (table, wanted, centre, v and others) probes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at, kind in _by_kind(b, b.schema.names):
-                along = _along(b, b.schema.names, at, kind, level)
-                for some in np.array_split(np.arange(len(at)), -(-len(at) // 64)):
-                    found = [probes(along, i, least) for i in some]
-                    where = np.repeat(at[some], [len(f) for f in found])
-                    yield pa.RecordBatch.from_arrays([*b.take(pa.array(where)).columns, pa.array(np.concatenate(found))], [*b.schema.names, "code"])
-
-    return df.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in df.dtypes) + ", code long")
-
-
 def _scored(df: DataFrame, level: int) -> DataFrame:
     """(pair, table, score): how well the query `v` points to the cell `code`."""
 
@@ -210,45 +197,115 @@ def _centres(members: DataFrame, hot: DataFrame, cell_rows: int) -> DataFrame:
 _HITS = "array<struct<low:double,vec_id:long,x1:long,copy:int>>"
 
 
-def _compare(n: int):
-    """A task that compares the queries of one block with the vectors of one block, and keeps the n nearest of each."""
+def _matrix(t: pa.Table, name: str = "v") -> np.ndarray:
+    return t.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, -1).astype(np.float64)
+
+
+def _pointing(asked: pa.Table, q: np.ndarray, level: int, least: float):
+    """A function of a cell's code: the queries of one node that probe it, told as probes() tells them."""
+    table, wanted = asked.column("table")[0].as_py(), asked.column("wanted")[0].as_py()
+    along = coordinates(directions(q, _matrix(asked, "centre") if level else None), table, level, wanted)
+    need = np.minimum(least * len(along), sum(y.max(1) for y in along)) - 1e-9 if along else np.full(len(q), -np.inf)
+
+    def told(code: int) -> np.ndarray:
+        places = []
+        for y in reversed(along):
+            places.append(code % y.shape[1])
+            code //= y.shape[1]
+        total = np.zeros(len(q))
+        for y, place in zip(along, reversed(places), strict=True):
+            total += y[:, place]
+        return np.flatnonzero(total >= need)
+
+    return told
+
+
+def _enter(level: int, least: float):
+    """A task that tells which queries of a node probe which of its hot cells."""
+
+    def run(hot: pa.Table, asked: pa.Table) -> pa.Table:
+        found, cell = [], []
+        if hot.num_rows and asked.num_rows:
+            told = _pointing(asked, _matrix(asked), level, least)
+            for c, code in zip(hot.column("cell").to_pylist(), hot.column("code").to_pylist(), strict=True):
+                found.append(told(code))
+                cell.append(np.full(len(found[-1]), c, np.int64))
+        at = np.concatenate([*found, np.empty(0, np.int64)])
+        of = lambda name: asked.column(name).to_numpy()[at] if len(at) else np.empty(0, np.int64)
+        return pa.table({"node": np.concatenate([*cell, np.empty(0, np.int64)]), "h1": of("h1"), "h2": of("h2")})
+
+    return run
+
+
+class _Nearest:
+    """The n nearest of the vectors `x` of each query `q`, out of pairs that are put to it cell by cell. `bound` is what a later pair has to reach."""
+
+    def __init__(self, x: np.ndarray, q: np.ndarray, ids: pa.Array, x1: np.ndarray, n: int) -> None:
+        self.x, self.q, self.x1, self.n = x, q, x1, n
+        self.copies, self.ids = np.diff(ids.offsets.to_numpy()), ids.flatten().to_numpy()
+        self.of = np.concatenate([[0], np.cumsum(self.copies)])
+        self.slack = 1e-10 * np.sqrt((x * x).sum(1)).max() * np.sqrt((q * q).sum(1))
+        self.bound = np.full(len(q), -np.inf)
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+        #: query, -score, id, hash of the vector, which of its copies
+        self.kept = [np.empty(0, t) for t in (np.int64, np.float64, np.int64, np.int64, np.int64)]
+
+    def put(self, cell: np.ndarray, asking: np.ndarray) -> None:
+        vectors = self.x[cell].T
+        step = max(1, (1 << 22) // len(cell))
+        for a in range(0, len(asking), step):
+            some = asking[a : a + step]
+            s = self.q[some] @ vectors
+            first = np.flatnonzero(np.isneginf(self.bound[some])) if len(cell) > self.n else ()
+            if len(first):  # its nth best of this cell is a bound already
+                self.bound[some[first]] = np.partition(s[first], len(cell) - self.n, axis=1)[:, len(cell) - self.n] - self.slack[some[first]]
+            i, j = np.nonzero(~(s < self.bound[some][:, None]))
+            self.waiting.append((some[i], cell[j]))
+            self.size += len(i)
+            if self.size > 1 << 20:
+                self.settle()
+
+    def settle(self) -> None:
+        """Ranks what waits, and raises the bounds."""
+        i, j = (np.concatenate([w[k] for w in self.waiting] or [np.empty(0, np.int64)]) for k in (0, 1))
+        self.waiting, self.size = [], 0
+        low = np.zeros(len(i))
+        step = max(1, (1 << 22) // self.x.shape[1])
+        for a in range(0, len(i), step):  # added up in order, so that a pair has one score wherever it is found
+            low[a : a + step] = np.cumsum(self.q[i[a : a + step]] * self.x[j[a : a + step]], axis=1)[:, -1] + 0.0
+        at = np.repeat(np.arange(len(i)), self.copies[j])
+        copy = np.arange(len(at)) - np.repeat(np.cumsum(self.copies[j]) - self.copies[j], self.copies[j])
+        i, j, low = i[at], j[at], -low[at]
+        i, low, found, x1, copy = (np.concatenate(c) for c in zip(self.kept, (i, low, self.ids[self.of[j] + copy], self.x1[j], copy), strict=True))
+        order = np.lexsort((copy, x1, found, low, i))
+        place = np.arange(len(order)) - np.searchsorted(i[order], i[order])
+        last = order[place == self.n - 1]
+        self.bound[i[last]] = np.fmax(self.bound[i[last]], -low[last] - self.slack[i[last]])
+        order = order[place < self.n]
+        self.kept = [c[order] for c in (i, low, found, x1, copy)]
+
+
+def _compare(n: int, level: int, least: float):
+    """A task that compares the queries of one block of a node with the cells of one block that they probe, and keeps the n nearest of each."""
     struct = pa.struct([("low", pa.float64()), ("vec_id", pa.int64()), ("x1", pa.int64()), ("copy", pa.int32())])
 
     def run(members: pa.Table, asked: pa.Table) -> pa.Table:
-        out = {"q1": [], "q2": [], "table": [], "hits": []}
-        members, asked = members.combine_chunks(), asked.combine_chunks()
-        if members.num_rows and asked.num_rows:
-            matrix = lambda t: t.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, -1).astype(np.float64)
-            x, q = matrix(members), matrix(asked)
-            ids = members.column("ids").combine_chunks()
-            copies, all_ids, x1 = np.diff(ids.offsets.to_numpy()), ids.flatten().to_numpy(), members.column("h1").to_numpy()
-            of = np.concatenate([[0], np.cumsum(copies)])
-            longest = np.sqrt((x * x).sum(1)).max()
-            for a in range(0, len(q), 1024):
-                some = q[a : a + 1024]
-                s = some @ x.T
-                bound = np.full(len(some), -np.inf) if len(x) <= n else np.partition(s, len(x) - n, axis=1)[:, len(x) - n]
-                bound = bound - 1e-10 * longest * np.sqrt((some * some).sum(1))
-                i, j = np.nonzero(~(s < bound[:, None]))
-                low = np.zeros(len(i))
-                for c in range(x.shape[1]):  # in order, so that a pair has one score wherever it is found
-                    low += some[i, c] * x[j, c]
-                at = np.repeat(np.arange(len(i)), copies[j])
-                copy = np.arange(len(at)) - np.repeat(np.cumsum(copies[j]) - copies[j], copies[j])
-                i, j, low = i[at], j[at], -low[at]
-                found = all_ids[of[j] + copy]
-                order = np.lexsort((copy, x1[j], found, low, i))
-                i, j, low, copy, found = i[order], j[order], low[order], copy[order], found[order]
-                begin = np.searchsorted(i, np.arange(len(some)))
-                keep = np.arange(len(i)) - begin[i] < n
-                kept = np.bincount(i[keep], minlength=len(some))
-                hits = pa.StructArray.from_arrays([pa.array(low[keep]), pa.array(found[keep]), pa.array(x1[j[keep]]), pa.array(copy[keep].astype(np.int32))], fields=list(struct))
-                out["hits"].append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(kept)]).astype(np.int32)), hits))
-            for c in ("q1", "q2", "table"):
-                out[c] = asked.column(c)
-            out["hits"] = pa.chunked_array(out["hits"])
-            return pa.table(out)
-        return pa.table({"q1": pa.array([], pa.int64()), "q2": pa.array([], pa.int64()), "table": pa.array([], pa.int32()), "hits": pa.array([], pa.list_(struct))})
+        if not members.num_rows or not asked.num_rows:
+            return pa.table({"q1": pa.array([], pa.int64()), "q2": pa.array([], pa.int64()), "table": pa.array([], pa.int32()), "hits": pa.array([], pa.list_(struct))})
+        q, code = _matrix(asked), members.column("code").to_numpy()
+        told = _pointing(asked, q, level, least)
+        best = _Nearest(_matrix(members), q, members.column("ids").combine_chunks(), members.column("h1").to_numpy(), n)
+        order = np.argsort(code, kind="stable")
+        for cell in np.split(order, np.flatnonzero(np.diff(code[order])) + 1):
+            best.put(cell, told(int(code[cell[0]])))
+        best.settle()
+        i, low, found, x1, copy = best.kept
+        there, times = np.unique(i, return_counts=True)
+        hits = pa.StructArray.from_arrays([pa.array(low), pa.array(found), pa.array(x1), pa.array(copy.astype(np.int32))], fields=list(struct))
+        own = asked.take(pa.array(there))
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(times)]).astype(np.int32)), hits)
+        return pa.table({"q1": own.column("h1"), "q2": own.column("h2"), "table": own.column("table"), "hits": lists})
 
     return run
 
@@ -326,27 +383,41 @@ class Index:
         return float(least) if np.isfinite(least) else 0.0
 
     def search(self, asked: DataFrame, least: float, n: int) -> DataFrame:
-        """(h1, h2, hits) of the queries `asked` (h1, h2, v, size): the n nearest vectors' ids in the cells that they probe."""
-        probing = asked.join(self.nodes[0], "size").select("table", "node", "wanted", "centre", "h1", "h2", "v")
+        """(h1, h2, hits) of the queries `asked` (h1, h2, v, size): the n nearest vectors' ids in the cells that they probe.
+
+        A query goes once to each block of a node's cells, and what it probes is told there: neither its vector nor a list of hits is
+        written for each cell. A cell lies in one block, unless it is larger than hot_rows.
+        """
+        block = F.greatest(F.lit(1), F.least(F.lit(self.block_queries), F.floor(F.lit(BLOCK_COMPONENTS) / F.col("size")).cast("int")))
+        each = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+        columns = ["table", "node", "wanted", "centre", "h1", "h2", "v", "size"]
+        probing = asked.join(self.nodes[0], "size").select(*columns)
         parts: list[DataFrame] = []
         for level, (members, cells_) in enumerate(zip(self.levels, self.cells, strict=True)):
-            found = _probed(probing, level, least).withColumn("cell", _cell()).drop("wanted", "centre", "node", "code", "table")
-            found = cut_lineage(found.join(cells_, "cell"))
-            ends = found.where(~F.col("hot")).drop("hot")
-            # Both sides in blocks: each block of a cell's vectors meets each block of the queries that probe it.
-            sizes = ends.groupBy("cell").agg(F.first("m").alias("m"), F.ceil(F.count("*") / self.block_queries).alias("qn")).withColumn("mn", F.ceil(F.col("m") / self.hot_rows)).drop("m")
-            sizes = cut_lineage(sizes)
-            left = members.select("cell", "h1", "ids", "v").join(sizes, "cell").withColumn("mb", F.pmod(F.xxhash64("h1"), "mn")).withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("qn") - 1))).drop("qn", "mn")
-            right = ends.select("cell", "table", F.col("h1").alias("q1"), F.col("h2").alias("q2"), "v").join(sizes, "cell").withColumn("qb", F.pmod(F.xxhash64("q1"), "qn")).withColumn("mb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mn") - 1))).drop("qn", "mn")
-            by = ["cell", "mb", "qb"]
-            parts.append(left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(_compare(n), f"q1 long, q2 long, table int, hits {_HITS}"))
+            asks = probing.groupBy("table", "node").agg(F.ceil(F.count("*") / F.max(block)).alias("qn"))
+            cold = members.join(cells_.where(~F.col("hot")).select("cell", "m"), "cell")
+            # Blocks of a small node are smaller, so that tasks share it.
+            held = cold.groupBy("table", "node").agg(F.count("*").alias("rows"), F.max(F.size("v")).alias("size"))
+            mn = F.greatest(F.ceil(F.col("rows") / block), F.least(F.ceil(F.col("rows") / HOT_ROWS), F.lit(LEAST_BLOCKS)))
+            sizes = cut_lineage(held.select("table", "node", mn.alias("mn")).join(asks, ["table", "node"]))
+            part = F.pmod(F.xxhash64("h1", F.lit(3)), F.ceil(F.col("m") / self.hot_rows))
+            left = cold.join(sizes, ["table", "node"]).select("table", "node", "code", "h1", "ids", "v", F.pmod(F.xxhash64("cell", part), "mn").alias("mb"), each("qn").alias("qb"))
+            right = probing.drop("size").join(sizes, ["table", "node"]).withColumn("qb", F.pmod(F.xxhash64("h1", "h2"), "qn")).withColumn("mb", each("mn")).drop("qn", "mn")
+            by = ["table", "node", "mb", "qb"]
+            parts.append(left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(_compare(n, level, least), f"q1 long, q2 long, table int, hits {_HITS}"))
             if level + 1 < len(self.levels):
-                probing = found.where("hot").drop("hot", "m", "table").withColumnRenamed("cell", "node").join(self.nodes[level + 1], "node").select("table", "node", "wanted", "centre", "h1", "h2", "v")
+                hot = members.join(cells_.where("hot").select("cell"), "cell").groupBy("cell").agg(F.first("table").alias("table"), F.first("node").alias("node"), F.first("code").alias("code"))
+                left = hot.join(asks, ["table", "node"]).withColumn("qb", each("qn")).drop("qn")
+                right = probing.drop("size").join(asks, ["table", "node"]).withColumn("qb", F.pmod(F.xxhash64("h1", "h2"), "qn")).drop("qn")
+                entered = cut_lineage(left.groupBy("table", "node", "qb").cogroup(right.groupBy("table", "node", "qb")).applyInArrow(_enter(level, least), "node long, h1 long, h2 long"))
+                probing = cut_lineage(entered.join(self.nodes[level + 1], "node").join(asked, ["h1", "h2"]).select(*columns))
         hits = parts[0]
         for p in parts[1:]:
             hits = hits.unionByName(p)
-        best = lambda c: F.slice(F.sort_array(F.array_distinct(F.flatten(F.collect_list(c)))), 1, n).alias("hits")
-        return hits.groupBy("q1", "q2", "table").agg(best("hits")).groupBy(F.col("q1").alias("h1"), F.col("q2").alias("h2")).agg(best("hits"))
+        # A vector is in one cell of a table: it can be found twice only by two tables.
+        of_table = F.slice(F.sort_array(F.flatten(F.collect_list("hits"))), 1, n).alias("hits")
+        best = F.slice(F.sort_array(F.array_distinct(F.flatten(F.collect_list("hits")))), 1, n).alias("hits")
+        return hits.groupBy("q1", "q2", "table").agg(of_table).groupBy(F.col("q1").alias("h1"), F.col("q2").alias("h2")).agg(best)
 
 
 def nearest(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, every: int = 20, **shape: int) -> DataFrame:

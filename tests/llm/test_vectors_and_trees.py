@@ -6,6 +6,7 @@ import zlib
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -227,6 +228,25 @@ def test_neighbours_against_every_pair(spark, shape):
     assert short == [1, *range(1401, 1400 + len(short))] and of_copy[len(of_copy) - len(short) :] == short
 
 
+def test_a_block_of_cells_gives_one_list_a_query():
+    """Of all cells of a block that a query probes it gets its n nearest, once: what a task writes does not grow with the cells."""
+    rng = np.random.default_rng(23)
+    x, q = rng.normal(size=(3000, 16)), rng.normal(size=(70, 16))
+    wanted, n, least = 64.0, 5, 0.3
+    code = neighbours.cells(neighbours.coordinates(neighbours.directions(x.copy()), 1, 0, wanted), len(x))
+    assert len(np.unique(code)) > 20
+    lists = lambda m: pa.array(m.tolist(), pa.list_(pa.float64()))
+    members = pa.table({"code": code, "h1": np.arange(len(x)), "ids": pa.array([[i] for i in range(len(x))], pa.list_(pa.int64())), "v": lists(x)})
+    asked = pa.table({"table": pa.array([1] * len(q), pa.int32()), "wanted": [wanted] * len(q), "h1": np.arange(len(q)), "h2": np.arange(len(q)), "v": lists(q)})
+    got = neighbours._compare(n, 0, least)(members, asked).to_pylist()
+    along = neighbours.coordinates(neighbours.directions(q.copy()), 1, 0, wanted)
+    assert len(got) == len(q)
+    for r in got:
+        probed = np.flatnonzero(np.isin(code, neighbours.probes(along, r["q1"], least)))
+        want = probed[np.argsort(-(x[probed] @ q[r["q1"]]), kind="stable")][:n].tolist()
+        assert [h["vec_id"] for h in r["hits"]] == want
+
+
 def test_neighbours_of_few_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.0]), (2, [0.5, 3.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in neighbours.nearest(df).orderBy("rank").collect()] == [(0, 1, 1, 0.5), (0, 2, 2, 0.5)]
