@@ -18,8 +18,10 @@ SHINGLE, SIMILARITY = 5, 0.8
 SKETCHES, MINIMA = 16, 3
 #: Members and bytes of shingles of a bucket that are held together; a larger bucket is compared block by block.
 BLOCK_MEMBERS, BLOCK_BYTES = 4096, 32 << 20
-#: Members of a bucket above which it is split: its members meet where they agree in two such buckets.
+#: Members of a bucket above which they meet by their rarest shingles instead, which loses no pair.
 HOT_MEMBERS = 50_000
+#: Counters that tell how frequent shingles are, as a power of two, and the highest ones that are kept: a few hundred KB, whatever the input.
+SLOT_BITS, FREQUENT_SLOTS = 18, 1 << 14
 _SEEDS = mix64(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
 
@@ -314,13 +316,47 @@ def _joined_in_buckets(members: DataFrame, shingled: DataFrame) -> DataFrame:
     return cut_lineage(placed.mapInArrow(run, "a binary, b binary"))
 
 
-def _shared_buckets(sketches: DataFrame, hot_members: int) -> DataFrame:
+def _rarest(shingled: DataFrame) -> DataFrame:
+    """(bucket, node): a row for each of the rarest labelled shingles of a text of `shingled` (node, shingles), so many that texts at SIMILARITY share one.
+
+    Texts of n and m shingles at SIMILARITY have SIMILARITY * max(n, m) or more in common. In any one order of all shingles, the first
+    n - ceil(SIMILARITY * n) + 1 of the one and of the other then hold a common one: no pair is lost, whatever the order. Here those come
+    first whose counter is low, which only makes buckets small; what many texts share, such as a header, comes last.
+    """
+
+    def slot(tokens: np.ndarray) -> np.ndarray:
+        return (tokens >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        times = np.zeros(1 << SLOT_BITS, np.int64)
+        for b in slices(batches):
+            for data in b.column(0):
+                np.add.at(times, slot(labelled(_numbers(data.as_py()))), 1)
+        at = np.flatnonzero(times)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(times[at])], ["slot", "n"])
+
+    counted = shingled.select("shingles").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    often = np.zeros(1 << SLOT_BITS, np.int64)
+    for r in counted.orderBy(F.desc("n"), "slot").limit(FREQUENT_SLOTS).collect():
+        often[r["slot"]] = r["n"]
+    shared = shingled.sparkSession.sparkContext.broadcast(often)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            for node, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                tokens = labelled(_numbers(data))
+                first = len(tokens) - int(np.ceil(SIMILARITY * len(tokens) - 1e-6)) + 1
+                chosen = tokens[np.lexsort((tokens, shared.value[slot(tokens)]))[:first]]
+                yield pa.RecordBatch.from_arrays([pa.array(chosen.view(np.int64)), pa.array([node] * len(chosen), pa.binary())], ["bucket", "node"])
+
+    return shingled.select("node", "shingles").mapInArrow(run, "bucket long, node binary")
+
+
+def _shared_buckets(sketches: DataFrame, texts: DataFrame, hot_members: int) -> DataFrame:
     """(bucket, node, n): the buckets of `sketches` (node, sketch) that n > 1 texts share.
 
-    A bucket of more than `hot_members` texts, such as those with one long header, is split: each of its
-    members goes, for every two hot buckets that it is in, to the bucket of these two. That makes 120 rows of
-    a member at most, and parts those that only share the header. Of two texts at SIMILARITY, which agree in
-    each of the 16 sketches by a chance of a half, 2 in 10,000 agree in one hot bucket and nowhere else.
+    A bucket of more than `hot_members` texts, such as those with one long header, is replaced by those of its members' rarest
+    shingles (see _rarest()), where all pairs of its members at SIMILARITY meet. `texts` are (node, text).
     """
     rows = sketches.select("node", F.posexplode("sketch").alias("i", "s")).select("node", F.xxhash64("i", "s").alias("bucket"))
 
@@ -332,9 +368,9 @@ def _shared_buckets(sketches: DataFrame, hot_members: int) -> DataFrame:
     hot = found.where(F.col("n") > hot_members)
     if not hot.take(1):
         return found
-    of_node = hot.groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("h")).where(F.size("h") > 1)
-    twos = F.expr("flatten(transform(sequence(0, size(h) - 2), i -> transform(sequence(i + 1, size(h) - 1), j -> xxhash64(h[i], h[j]))))")
-    return found.where(F.col("n") <= hot_members).unionByName(shared(of_node.select("node", F.explode(twos).alias("bucket"))))
+    members = texts.join(hot.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    rarest = cut_lineage(_rarest(cut_lineage(_shingled(members))))
+    return found.where(F.col("n") <= hot_members).unionByName(shared(rarest))
 
 
 def links(docs: DataFrame, text_col: str = "text", exact: bool = False, hot_members: int = HOT_MEMBERS) -> tuple[DataFrame, DataFrame]:
@@ -352,7 +388,7 @@ def links(docs: DataFrame, text_col: str = "text", exact: bool = False, hot_memb
         shingled = cut_lineage(_shingled(texts.groupBy("node").agg(F.first("text").alias("text"))).where(F.length("shingles") > 0))
         found = _joined_in_buckets(shingled.select(F.lit(0).cast("long").alias("bucket"), "node", F.col("node").alias("root")), shingled)
         return found, cut_lineage(components(found))
-    multi = _shared_buckets(_sketches(texts), hot_members)
+    multi = _shared_buckets(_sketches(texts), texts, hot_members)
     nodes = multi.groupBy("node").agg(F.sum("n").alias("degree"))
     wanted = texts.join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     shingled = cut_lineage(_shingled(wanted))
@@ -390,7 +426,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", exa
     are members of their own; an empty table gives an empty result; other columns are not read. Whole texts
     are compared, whatever their length.
 
-    Sketches find a pair at SIMILARITY but for a chance of 1e-5 (2e-4 in hot buckets, see _shared_buckets());
+    Sketches find a pair at SIMILARITY but for a chance of 1e-5; hot buckets lose none of theirs (see _shared_buckets()).
     `exact` compares all pairs of distinct texts instead, block by block, at the cost of their number's square.
     """
     rows = docs.select(F.col(id_col).alias("id"), content(text_col).alias("node"))

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from test_corpus_ops import VOCABULARY, plain_aligned, prose
 
 from scriptoria.llm import common, decontaminate, html_extract, neardup
@@ -299,6 +300,24 @@ def test_recall_against_all_pairs(spark):
         assert recall >= 0.99, (hot, recall)
 
 
+def test_pairs_that_meet_in_one_hot_bucket_only(spark, monkeypatch):
+    """All texts agree in one sketch and in no other, and their bucket is hot: every pair at 0.8 is joined, by the rarest shingles, and no other."""
+    rng = random.Random(29)
+    header = prose(rng, 40)
+    texts = []
+    for _ in range(60):
+        words = f"{header} {prose(rng, 60)}".split()
+        texts.append(" ".join(words))
+        at = rng.randrange(45, 95)
+        texts.append(" ".join([*words[:at], "changed", *words[at + 1 :]]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(neardup, "_sketches", lambda docs: docs.select("node").distinct().withColumn("sketch", F.array(F.lit(7).cast("long"))))
+    nodes = {r["node"]: r["doc_id"] for r in df.select("doc_id", neardup.content("text").alias("node")).collect()}
+    roots = {nodes[r["node"]]: r["root"] for r in neardup.links(df, hot_members=20)[1].collect()}
+    assert [roots.get(i, i) == roots.get(i + 1, i + 1) for i in range(0, len(texts), 2)] == [True] * 60
+    assert len({roots[i] for i in range(0, len(texts), 2)}) == 60
+
+
 def test_long_alignments_in_bands():
     rng = np.random.default_rng(18)
     for n, edits in ((700, 10), (700, 60), (300, 20)):
