@@ -20,6 +20,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 #: Bytes of one task, and of one row of it.
 PARTITION_BYTES, CHUNK_BYTES = 64 << 20, 4 << 20
+#: Partitions up to which smaller ones than PARTITION_BYTES are made, if asked for: beyond, each holds more, so that tasks do not grow in number with the files.
+MOST_PARTITIONS = 256
+#: Bytes, and rows, of small chunks that go on together.
+_BATCH_BYTES, _BATCH_ROWS = 1 << 20, 256
 
 
 def store(path: str) -> tuple[fs.FileSystem, str]:
@@ -61,9 +65,9 @@ def files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFra
     return (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path).select("path", "length")
 
 
-class _Range(InputPartition):
-    def __init__(self, path: str, start: int, size: int) -> None:
-        self.path, self.start, self.size = path, start, size
+class _Ranges(InputPartition):
+    def __init__(self, ranges: list[tuple[str, int, int]]) -> None:
+        self.ranges = ranges
 
 
 class _RangeReader(DataSourceReader):
@@ -72,20 +76,45 @@ class _RangeReader(DataSourceReader):
         self.partition, self.chunk = int(options.get("partitionBytes", PARTITION_BYTES)), int(options.get("chunkBytes", CHUNK_BYTES))
 
     def partitions(self) -> list[InputPartition]:
-        step = max(self.chunk, self.partition // self.chunk * self.chunk)
-        return [_Range(path, start, min(step, length - start)) for path, length in self.files for start in range(0, length, step)] or [_Range("", 0, 0)]
+        """A partition for each `partitionBytes`; where these are more than MOST_PARTITIONS, each holds several, PARTITION_BYTES at most."""
+        whole = lambda n: max(self.chunk, n // self.chunk * self.chunk)
+        most = max(whole(self.partition), whole(min(PARTITION_BYTES, -(-sum(n for _, n in self.files) // MOST_PARTITIONS) + self.chunk - 1)))
+        step = whole(self.partition)
+        if sum(-(-length // step) for _, length in self.files) > MOST_PARTITIONS:
+            step = most
+        ranges = [(path, start, min(step, length - start)) for path, length in self.files for start in range(0, length, step)]
+        if len(ranges) <= MOST_PARTITIONS:
+            return [_Ranges([r]) for r in ranges] or [_Ranges([])]
+        out, held = [], step + 1
+        for r in ranges:
+            if held + r[2] > step:
+                out.append([])
+                held = 0
+            out[-1].append(r)
+            held += r[2]
+        return [_Ranges(x) for x in out]
 
     def read(self, partition: Any) -> Iterator[pa.RecordBatch]:
-        if not partition.size:
-            return
-        with Counted(partition.path) as file:
-            for start in range(partition.start, partition.start + partition.size, self.chunk):
-                content = file.read(start, min(self.chunk, partition.start + partition.size - start))
-                yield pa.RecordBatch.from_arrays([pa.array([partition.path]), pa.array([start], pa.int64()), pa.array([content], pa.binary())], ["path", "start", "content"])
+        def told() -> pa.RecordBatch:
+            columns = zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.binary()), strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], ["path", "start", "content"])
+
+        rows, held = [], 0
+        for path, begin, size in partition.ranges:
+            with Counted(path) as file:
+                for start in range(begin, begin + size, self.chunk):
+                    content = file.read(start, min(self.chunk, begin + size - start))
+                    if rows and (held + len(content) > _BATCH_BYTES or len(rows) == _BATCH_ROWS):
+                        yield told()
+                        rows, held = [], 0
+                    rows.append((path, start, content))
+                    held += len(content)
+        if rows:
+            yield told()
 
 
 class FileRanges(DataSource):
-    """Byte ranges of files: a partition for each `partitionBytes`, a row (path, start, content) for each `chunkBytes` of a file.
+    """Byte ranges of files: a partition for each `partitionBytes` (see MOST_PARTITIONS), a row (path, start, content) for each `chunkBytes` of a file.
 
     Chunks begin at whole multiples of `chunkBytes`, whatever the partitions. Option `files`: JSON of [path, length] pairs.
     """
