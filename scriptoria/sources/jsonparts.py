@@ -22,6 +22,8 @@ from scriptoria.sources.ranges import CHUNK_BYTES, PARTITION_BYTES, Counted, rea
 OUTSIDE, INSIDE, ESCAPED = 0, 1, 2
 #: Bytes before a list in which its name must be found.
 NAME_BYTES = 1 << 16
+#: Bytes that are read first behind a chunk for the end of its last element.
+_AHEAD = 1 << 10
 _QUOTE, _BACKSLASH, _OPEN, _CLOSE = 34, 92, (91, 123), (93, 125)
 
 
@@ -89,7 +91,7 @@ def name_before(file: Counted, at: int) -> str:
 def elements_from(file: Counted, start: int, size: int, state: int, depth: int, ahead: int = 1 << 20) -> tuple[list[tuple[int, bytes]], list[tuple[int, str, bool]]]:
     """Of a chunk that begins so: (place, bytes) of the objects on depth 3 that begin in it, and (place, name, is a list) of what the document's object holds.
 
-    An object that goes on behind the chunk is read to its end.
+    An object that goes on behind the chunk is read to its end, in pieces that grow up to `ahead` bytes.
     """
     content = file.read(start, size)
     marks, up, end = scan(content, state)
@@ -104,9 +106,10 @@ def elements_from(file: Counted, start: int, size: int, state: int, depth: int,
         if at < len(close):
             found.append((start + i, content[i : close[at] + 1]))
             continue
-        pieces, level, place = [content[i:]], int(after[-1]), start + size
+        pieces, level, place, step = [content[i:]], int(after[-1]), start + size, min(ahead, _AHEAD)
         while level > 2:
-            more = file.read(place, ahead)
+            more = file.read(place, step)
+            step = min(ahead, 4 * step)
             if not more:
                 raise ValueError(f"an element at {start + i} does not end")
             marks_, up_, end = scan(more, end)

@@ -345,3 +345,29 @@ def test_lines_behind_the_last_record_are_not_read(spark, tmp_path):
     for name, numbers in got.items():
         assert numbers == sorted(r["line_number"] for r in whole if r["file"] == name)[:3]
     assert datasets.read_validation(spark, str(tmp_path), 2).where("dataset = 'early'").count() == 2
+
+
+def test_small_ranges_of_large_files_do_not_become_tasks():
+    """Partitions are bounded in number until they hold PARTITION_BYTES; all bytes are in them once, chunks begin at whole multiples."""
+    for listed, partition, chunk in (([["a", 800 << 20]], 1 << 14, 1 << 14), ([["a", 6 << 30], ["b", 5]], 1 << 16, 1 << 12), ([[f"f{i}", 1000] for i in range(5000)], 1 << 16, 1 << 12)):
+        found = ranges._RangeReader({"files": json.dumps(listed), "partitionBytes": partition, "chunkBytes": chunk}).partitions()
+        assert len(found) <= ranges.MOST_PARTITIONS
+        places = {}
+        for path, start, size in (r for p in found for r in p.ranges):
+            assert start % chunk == 0 and start == places.get(path, 0)
+            places[path] = start + size
+        assert places == dict(listed)
+
+
+def test_end_of_an_element_is_looked_for_nearby():
+    """Behind a chunk little more is read than the rest of its last element."""
+    content = b'{"a":[{"x":1},' + b",".join(b'{"y":%d}' % i for i in range(300_000)) + b"]}"
+    read = []
+
+    class Bytes:
+        def read(self, start, size):
+            read.append(len(content[start : start + size]))
+            return content[start : start + size]
+
+    found, _ = jsonparts.elements_from(Bytes(), 0, 17, jsonparts.OUTSIDE, 0)
+    assert [e for _, e in found] == [b'{"x":1}', b'{"y":0}'] and sum(read) < 10_000
