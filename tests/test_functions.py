@@ -1,3 +1,4 @@
+import random
 import time
 
 import pytest
@@ -169,3 +170,24 @@ def test_distances_of_long_and_short_texts(spark):
     long = base * 100
     assert distance.edit_distance(long, long[:70_000] + "\u00e9" + long[70_010:]) == 10
     assert time.thread_time() - began < 3
+
+
+def test_edit_distance_where_bounds_meet(monkeypatch):
+    """Pieces left out or put in, and letters replaced one for one, are told without a table of the two texts."""
+    text = " ".join("the other breathes with them %d" % i for i in range(5000))
+
+    def none(*_):
+        raise AssertionError("a band was made")
+
+    monkeypatch.setattr(distance, "banded", none)
+    assert distance.edit_distance(text, text.replace("th", "")) == 2 * text.count("th")
+    assert distance.edit_distance("ß" + text.replace(" ", "  "), text) == 1 + text.count(" ")
+    assert distance.edit_distance(text, text.replace("e", "\U0001d522")) == text.count("e")
+    monkeypatch.undo()
+    rng = random.Random(31)
+    for _ in range(600):
+        a, b = ("".join(rng.choices("abc", k=rng.randint(0, 9))) for _ in range(2))
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row = [last := i, *(last := min(row[j] + 1, last + 1, row[j - 1] + (x != b[j - 1])) for j in range(1, len(b) + 1))]
+        assert distance.edit_distance(a, b) == row[-1]
