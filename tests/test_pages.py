@@ -72,3 +72,12 @@ def test_stream_is_the_replay_across_a_restart(spark, small, tmp_path):
     ended = [r for r in got if r[1] is None]
     # Five minutes without an event ends a session, as far as the last file's watermark reaches; the counts are of its own events.
     assert ended and all(r[2].startswith("idle after ") and int(r[2].split()[2]) >= 1 for r in ended)
+
+
+def test_every_cell_and_category_comes_from_a_table(spark):
+    """Neither the benchmark's cells nor the categories are made up: Spark reads a given table for both."""
+    import __spark_entry__ as entry
+
+    for name, table in (("q_benchmark_matrix", "documents"), ("q_taxonomy", "part")):
+        read = entry.queries()[name](spark, "/root/testdata/sf0.001").inputFiles()
+        assert any(f"/{table}.parquet" in path for path in read), name
