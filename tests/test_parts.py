@@ -371,3 +371,18 @@ def test_end_of_an_element_is_looked_for_nearby():
 
     found, _ = jsonparts.elements_from(Bytes(), 0, 17, jsonparts.OUTSIDE, 0)
     assert [e for _, e in found] == [b'{"x":1}', b'{"y":0}'] and sum(read) < 10_000
+
+
+def test_pieces_are_moved_by_tasks_all_or_none(spark, tmp_path):
+    """A file that is there or cannot be moved: the folder stays as it was, nothing is left beside it, and the error is the file's own."""
+    out = tmp_path / "out"
+    out.mkdir()
+    (out / "b").write_text("old")
+    rows = lambda *r: spark.createDataFrame(r, "file string, place int, content string")
+    with pytest.raises(FileExistsError, match="out/b"):
+        fragments.write_pieces(rows(("a", 0, "1"), ("b", 0, "2")), str(out))
+    with pytest.raises(Exception, match="no-folder"):
+        fragments.write_pieces(rows(*((f"f{i}", 0, "1") for i in range(50)), ("no-folder/x", 0, "2")), str(out))
+    assert [p.name for p in out.iterdir()] == ["b"] and [p.name for p in tmp_path.iterdir()] == ["out"]
+    fragments.write_pieces(rows(("a", 1, "2"), ("c", 0, "x"), ("a", 0, "1")), str(out))
+    assert {p.name: p.read_text() for p in out.iterdir()} == {"a": "12", "b": "old", "c": "x"} and [p.name for p in tmp_path.iterdir()] == ["out"]
