@@ -7,6 +7,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -148,6 +149,12 @@ def png(width: int, height: int, pixels: bytes) -> bytes:
 #: First bytes of a file in which its sides are looked for; some formats have them far behind, and are then read whole.
 HEAD_BYTES = 1 << 16
 
+@lru_cache(1024)
+def _real(folder: str) -> str:
+    """Where a folder lies when links are followed; asked once for many files."""
+    return os.path.realpath(folder)
+
+
 INSPECTED = "path string, width int, height int, sha256 string, problem string, detail string"
 
 
@@ -159,7 +166,7 @@ def inspected(path: str, root: str | None = None, max_pixels: int = 100_000_000,
     where, at = store(path)
     if where.get_file_info(at).type != fs.FileType.File:
         return None, None, None, "missing", path
-    if root is not None and isinstance(where, fs.LocalFileSystem) and not os.path.realpath(at).startswith(os.path.realpath(store(root)[1]).rstrip("/") + "/"):
+    if root is not None and isinstance(where, fs.LocalFileSystem) and not (os.path.realpath(at) if os.path.islink(at) else f"{_real(os.path.dirname(at))}/").startswith(_real(store(root)[1]).rstrip("/") + "/"):
         return None, None, None, "outside", path
     w = h = None
     with Counted(path) as file:
@@ -193,6 +200,7 @@ def named_files(named: DataFrame, max_pixels: int = 100_000_000, min_side: int =
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _real.cache_clear()
         for b in batches:
             found = [inspected(path, root, max_pixels, min_side) for path, root in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
             columns = [pa.array(x, t) for x, t in zip(zip(*found, strict=True), (pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string()), strict=True)] if found else [pa.array([], t) for t in (pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string())]

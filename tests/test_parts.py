@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from scriptoria.operators import tensors
-from scriptoria.sources import datasets, fragments, jsonparts, ranges, sinks, tensorfiles
+from scriptoria.sources import datasets, fragments, images, jsonparts, ranges, sinks, tensorfiles
 
 # --- ranges and digests
 
@@ -386,3 +386,21 @@ def test_pieces_are_moved_by_tasks_all_or_none(spark, tmp_path):
     assert [p.name for p in out.iterdir()] == ["b"] and [p.name for p in tmp_path.iterdir()] == ["out"]
     fragments.write_pieces(rows(("a", 1, "2"), ("c", 0, "x"), ("a", 0, "1")), str(out))
     assert {p.name: p.read_text() for p in out.iterdir()} == {"a": "12", "b": "old", "c": "x"} and [p.name for p in tmp_path.iterdir()] == ["out"]
+
+
+def test_folders_of_named_files_are_followed_once(tmp_path, monkeypatch):
+    """Links out of the root are told by file and by folder, and a folder is followed once for all of its files."""
+    root, other = tmp_path / "root", tmp_path / "other"
+    root.mkdir()
+    other.mkdir()
+    picture = images.png(2, 2, bytes(12))
+    for i in range(20):
+        (root / f"{i}.png").write_bytes(picture)
+    (other / "x.png").write_bytes(picture)
+    (root / "link.png").symlink_to(other / "x.png")
+    (root / "folder").symlink_to(other)
+    asked, real = [], images.os.path.realpath
+    monkeypatch.setattr(images.os.path, "realpath", lambda p: asked.append(p) or real(p))
+    told = lambda name: images.inspected(f"{root}/{name}", str(root))[3]
+    assert [told(f"{i}.png") for i in range(20)] == [None] * 20 and len(asked) <= 2
+    assert told("link.png") == "outside" and told("folder/x.png") == "outside" and told("gone.png") == "missing"
