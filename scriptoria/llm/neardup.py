@@ -18,8 +18,10 @@ SHINGLE, SIMILARITY = 5, 0.8
 SKETCHES, MINIMA = 16, 3
 #: Members and bytes of shingles of a bucket that are held together; a larger bucket is compared block by block.
 BLOCK_MEMBERS, BLOCK_BYTES = 4096, 32 << 20
-#: Members of a bucket above which they meet by their rarest shingles instead, which loses no pair.
-HOT_MEMBERS = 50_000
+#: Members of a mixed bucket above which they meet by their rarest shingles instead, which loses no pair.
+HOT_MEMBERS = 4096
+#: The bound of partners' sizes where any size will do.
+ANY_SIZE = (1 << 31) - 1
 #: Counters that tell how frequent shingles are, as a power of two, and the highest ones that are kept: a few hundred KB, whatever the input.
 SLOT_BITS, FREQUENT_SLOTS = 18, 1 << 14
 _SEEDS = mix64(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
@@ -234,12 +236,13 @@ def parities(shingles: list[np.ndarray], bits: int) -> np.ndarray:
     return np.packbits(out.reshape(len(shingles), bits), axis=1).view(np.uint64)
 
 
-def joined(roots: np.ndarray, shingles: list[np.ndarray], side: np.ndarray | None = None) -> list[tuple[int, int]]:
+def joined(roots: np.ndarray, shingles: list[np.ndarray], side: np.ndarray | None = None, most_sizes: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Aligned pairs (i, j) that join the components of `roots` as far as any pair of the members does.
 
     Every pair of two components is aligned or excluded: texts of n and m shingles that align at SIMILARITY
     have at most (n + m) (1 - SIMILARITY) / (1 + SIMILARITY) shingles that the other has not, each counted as
-    often as it occurs, and the parities of their labelled shingles differ in no more bits. With `side`, only pairs of two sides are compared.
+    often as it occurs, and the parities of their labelled shingles differ in no more bits. With `side`, only pairs of two sides are compared;
+    with `most_sizes`, only those neither of whose texts has more shingles than the other's number there.
     """
     sizes = np.array([len(x) for x in shingles])
     longest = int(sizes.max())
@@ -254,6 +257,8 @@ def joined(roots: np.ndarray, shingles: list[np.ndarray], side: np.ndarray | Non
         other = comp[i + 1 :] != comp[i]
         if side is not None:
             other &= side[i + 1 :] != side[i]
+        if most_sizes is not None:
+            other &= (sizes[i + 1 :] <= most_sizes[i]) & (most_sizes[i + 1 :] >= sizes[i])
         near = np.flatnonzero(other) + i + 1
         most = (sizes[near] + sizes[i]) * ((1 - SIMILARITY) / (1 + SIMILARITY)) + 1e-6
         ok = np.abs(sizes[near] - sizes[i]) <= most
@@ -273,27 +278,27 @@ def joined(roots: np.ndarray, shingles: list[np.ndarray], side: np.ndarray | Non
 
 
 def _joined_in_buckets(members: DataFrame, shingled: DataFrame) -> DataFrame:
-    """Links (a, b) that join what is left apart in the buckets of `members` (bucket, node, root): all pairs of each are compared.
+    """Links (a, b) that join what is left apart in the buckets of `members` (bucket, node, root, most): all pairs of each are compared.
 
-    Buckets of the same members are compared once. A large bucket is dealt out in blocks, and each pair of
+    A member is compared with those of `most` shingles at most. Buckets of the same members are compared once. A large bucket is dealt out in blocks, and each pair of
     blocks is a group of its own, so that what a task holds is bounded whatever the bucket's size.
     """
     sizes = shingled.select("node", F.length("shingles").alias("size"))
-    marks = (F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x"), F.sum(F.xxhash64("node", F.lit(2)).cast("decimal(38,0)")).alias("y"))
+    marks = (F.bit_xor(F.xxhash64("node", "most", F.lit(1))).alias("x"), F.sum(F.xxhash64("node", "most", F.lit(2)).cast("decimal(38,0)")).alias("y"))
     shapes = members.join(sizes, "node").groupBy("bucket").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), *marks)
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_MEMBERS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
     kept = cut_lineage(shapes.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket"), F.first("bytes").alias("bytes")).select("bucket", blocks.alias("blocks")))
     dealt = members.join(kept, "bucket").withColumn("block", F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = cut_lineage(dealt.select("node", "root", "bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block"))
+    dealt = cut_lineage(dealt.select("node", "root", "most", "bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block"))
     key = ["bucket", "lo", "hi"]
-    placed = dealt.join(shingled, "node").select(*key, "block", "node", "root", "shingles").repartition(*key).sortWithinPartitions(*key)
+    placed = dealt.join(shingled, "node").select(*key, "block", "node", "root", "most", "shingles").repartition(*key).sortWithinPartitions(*key)
 
     def compared(group: list[tuple]) -> list[tuple[bytes, bytes]]:
-        block, node, root, data = zip(*group, strict=True)
+        block, node, root, most, data = zip(*group, strict=True)
         side = np.array(block) if len(set(block)) > 1 else None
         number = {r: k for k, r in enumerate(dict.fromkeys(root))}
-        return [(node[i], node[j]) for i, j in joined(np.array([number[r] for r in root]), [_numbers(x) for x in data], side)]
+        return [(node[i], node[j]) for i, j in joined(np.array([number[r] for r in root]), [_numbers(x) for x in data], side, np.array(most))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, group = None, []
@@ -304,12 +309,12 @@ def _joined_in_buckets(members: DataFrame, shingled: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], ["a", "b"])
 
         for b in slices(batches):
-            for *at, block, node, root, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for *at, block, node, root, most, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if at != now:
                     if group:
                         yield done()
                     now, group = at, []
-                group.append((block, node, root, data))
+                group.append((block, node, root, most, data))
         if group:
             yield done()
 
@@ -317,11 +322,13 @@ def _joined_in_buckets(members: DataFrame, shingled: DataFrame) -> DataFrame:
 
 
 def _rarest(shingled: DataFrame) -> DataFrame:
-    """(bucket, node): a row for each of the rarest labelled shingles of a text of `shingled` (node, shingles), so many that texts at SIMILARITY share one.
+    """(bucket, node, size, most): a row for each of the rarest labelled shingles of a text of `shingled` (node, shingles), so many that texts at SIMILARITY share one.
 
     Texts of n and m shingles at SIMILARITY have SIMILARITY * max(n, m) or more in common. In any one order of all shingles, the first
     n - ceil(SIMILARITY * n) + 1 of the one and of the other then hold a common one: no pair is lost, whatever the order. Here those come
-    first whose counter is low, which only makes buckets small; what many texts share, such as a header, comes last.
+    first whose counter is low, which only makes buckets small; what many texts share, such as a header, comes last. The two have
+    t = ceil((n + m) * SIMILARITY / (1 + SIMILARITY)) in common, so their first n - t + 1 and m - t + 1 do already: the shingle at place p
+    of a text of n (`size`) is asked for partners of t <= n - p only, that is of `most` shingles at most.
     """
 
     def slot(tokens: np.ndarray) -> np.ndarray:
@@ -347,30 +354,34 @@ def _rarest(shingled: DataFrame) -> DataFrame:
                 tokens = labelled(_numbers(data))
                 first = len(tokens) - int(np.ceil(SIMILARITY * len(tokens) - 1e-6)) + 1
                 chosen = tokens[np.lexsort((tokens, shared.value[slot(tokens)]))[:first]]
-                yield pa.RecordBatch.from_arrays([pa.array(chosen.view(np.int64)), pa.array([node] * len(chosen), pa.binary())], ["bucket", "node"])
+                size = np.full(first, len(tokens), np.int32)
+                most = np.floor((size - np.arange(first)) * ((1 + SIMILARITY) / SIMILARITY) - size + 1e-6).astype(np.int32)
+                nodes = pa.array([node] * first, pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(chosen.view(np.int64)), nodes, pa.array(size), pa.array(most)], ["bucket", "node", "size", "most"])
 
-    return shingled.select("node", "shingles").mapInArrow(run, "bucket long, node binary")
+    return shingled.select("node", "shingles").mapInArrow(run, "bucket long, node binary, size int, most int")
 
 
-def _shared_buckets(sketches: DataFrame, texts: DataFrame, hot_members: int) -> DataFrame:
-    """(bucket, node, n): the buckets of `sketches` (node, sketch) that n > 1 texts share.
+def _rare_buckets(members: DataFrame, shingled: DataFrame) -> DataFrame:
+    """(bucket, node, root, most) where all pairs of `members` (node, root) at SIMILARITY and of two roots meet, each within the other's `most`.
 
-    A bucket of more than `hot_members` texts, such as those with one long header, is replaced by those of its members' rarest
-    shingles (see _rarest()), where all pairs of its members at SIMILARITY meet. `texts` are (node, text).
+    Left out are rows whose bucket has no partner within their bounds: the shorter text of a pair has a `most` of its own size or more.
+    What many texts share, such as a header, is a bucket only of texts that are nearly all header, which are at SIMILARITY by that alone.
     """
-    rows = sketches.select("node", F.posexplode("sketch").alias("i", "s")).select("node", F.xxhash64("i", "s").alias("bucket"))
+    rows = cut_lineage(_rarest(cut_lineage(shingled.join(members, "node", "left_semi"))))
+    bounds = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("size").alias("shortest"), F.max("most").alias("reach"), F.max(F.col("most") >= F.col("size")).alias("core"))
+    bounds = cut_lineage(bounds.where("n > 1 and core").select("bucket", "shortest", "reach"))
+    near = rows.join(bounds, "bucket").where("most >= shortest and size <= reach").select("bucket", "node", "most")
+    near = cut_lineage(near.join(members, "node").select("bucket", "node", "root", "most"))
+    mixed = cut_lineage(near.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket"))
+    return near.join(mixed, "bucket", "left_semi").select("bucket", "node", "root", "most")
 
-    def shared(rows: DataFrame) -> DataFrame:
-        sizes = cut_lineage(rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
-        return cut_lineage(rows.join(sizes, "bucket").select("bucket", "node", "n"))
 
-    found = shared(rows)
-    hot = found.where(F.col("n") > hot_members)
-    if not hot.take(1):
-        return found
-    members = texts.join(hot.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-    rarest = cut_lineage(_rarest(cut_lineage(_shingled(members))))
-    return found.where(F.col("n") <= hot_members).unionByName(shared(rarest))
+def _shared_buckets(sketches: DataFrame) -> DataFrame:
+    """(bucket, node, n): the buckets of `sketches` (node, sketch) that n > 1 texts share, all of them whatever their size."""
+    rows = sketches.select("node", F.posexplode("sketch").alias("i", "s")).select("node", F.xxhash64("i", "s").alias("bucket"))
+    sizes = cut_lineage(rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
+    return cut_lineage(rows.join(sizes, "bucket").select("bucket", "node", "n"))
 
 
 def links(docs: DataFrame, text_col: str = "text", exact: bool = False, hot_members: int = HOT_MEMBERS) -> tuple[DataFrame, DataFrame]:
@@ -381,14 +392,16 @@ def links(docs: DataFrame, text_col: str = "text", exact: bool = False, hot_memb
     bucket is aligned with the most central one, which shares most with others. Where a bucket then still
     holds several components, every pair of members of two components is aligned or excluded by a bound that
     loses none (see joined()). Members of one component are not aligned again: that could join nothing.
+    Members of such buckets of more than `hot_members` texts, such as those with one long header, are not compared
+    there: all of their pairs at SIMILARITY meet again by their rarest shingles (see _rarest()).
     With `exact`, sketches are not asked: all texts are one bucket, whose blocks are compared pair by pair.
     """
     texts = docs.select(content(text_col).alias("node"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     if exact:
         shingled = cut_lineage(_shingled(texts.groupBy("node").agg(F.first("text").alias("text"))).where(F.length("shingles") > 0))
-        found = _joined_in_buckets(shingled.select(F.lit(0).cast("long").alias("bucket"), "node", F.col("node").alias("root")), shingled)
+        found = _joined_in_buckets(shingled.select(F.lit(0).cast("long").alias("bucket"), "node", F.col("node").alias("root"), F.lit(ANY_SIZE).alias("most")), shingled)
         return found, cut_lineage(components(found))
-    multi = _shared_buckets(_sketches(texts), texts, hot_members)
+    multi = _shared_buckets(_sketches(texts))
     nodes = multi.groupBy("node").agg(F.sum("n").alias("degree"))
     wanted = texts.join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     shingled = cut_lineage(_shingled(wanted))
@@ -398,9 +411,14 @@ def links(docs: DataFrame, text_col: str = "text", exact: bool = False, hot_memb
     found = _verified(cut_lineage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()), shingled)
     roots = cut_lineage(components(found))
     # A bucket of two is done with: its one pair was aligned.
-    labelled = multi.where("n > 2").join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+    labelled = multi.where("n > 2").join(roots, "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
     mixed = cut_lineage(labelled.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket"))
-    more = _joined_in_buckets(cut_lineage(labelled.join(mixed, "bucket", "left_semi")), shingled)
+    apart = cut_lineage(labelled.join(mixed, "bucket", "left_semi"))
+    members = apart.where(F.col("n") <= hot_members).select("bucket", "node", "root", F.lit(ANY_SIZE).alias("most"))
+    hot = cut_lineage(apart.where(F.col("n") > hot_members).select("node", "root").distinct())
+    if hot.take(1):
+        members = cut_lineage(members.unionByName(_rare_buckets(hot, shingled)))
+    more = _joined_in_buckets(members, shingled)
     if not more.take(1):
         return found, roots
     found = cut_lineage(found.union(more))
@@ -426,7 +444,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", exa
     are members of their own; an empty table gives an empty result; other columns are not read. Whole texts
     are compared, whatever their length.
 
-    Sketches find a pair at SIMILARITY but for a chance of 1e-5; hot buckets lose none of theirs (see _shared_buckets()).
+    Sketches find a pair at SIMILARITY but for a chance of 1e-5; hot buckets lose none of theirs (see _rarest()).
     `exact` compares all pairs of distinct texts instead, block by block, at the cost of their number's square.
     """
     rows = docs.select(F.col(id_col).alias("id"), content(text_col).alias("node"))

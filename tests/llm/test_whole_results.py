@@ -1,10 +1,13 @@
 """Results that a cut once left out: near copies in large buckets, texts with a recurring line, article text, edited test items."""
 
+import functools
 import itertools
 import random
 
+import corpus_pipeline
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from test_corpus_ops import VOCABULARY, plain_aligned, prose
 
@@ -318,6 +321,53 @@ def test_pairs_that_meet_in_one_hot_bucket_only(spark, monkeypatch):
     assert len({roots[i] for i in range(0, len(texts), 2)}) == 60
 
 
+def in_one_hot_bucket(monkeypatch):
+    """All texts agree in one sketch and in no other, and a bucket of more than 20 is hot, whoever asks for links."""
+    monkeypatch.setattr(neardup, "_sketches", lambda docs: docs.select("node").distinct().withColumn("sketch", F.array(F.lit(7).cast("long"))))
+    monkeypatch.setattr(neardup, "links", functools.partial(neardup.links, hot_members=20))
+
+
+def test_pipeline_keeps_one_of_each_pair_of_a_hot_bucket(spark, monkeypatch):
+    """The pipeline's near_duplicates drops every near copy whose only common bucket is hot, and nothing else; texts that share a header of most of their words are not compared pair by pair."""
+    rng = random.Random(31)
+    header = prose(rng, 100)
+    texts = []
+    for i in range(200):
+        words = f"{header} {prose(rng, rng.randint(15, 30))}".split()
+        texts.append(" ".join(words))
+        if i % 5 == 0:
+            texts.append(" ".join([*words, "changed"]))
+    expected = joined_by_all_pairs(texts, lambda w: common.shingle_hashes(w, 5))
+    assert len(set(expected)) == 200
+    docs = spark.createDataFrame([(i, t, None, None, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars int")
+    in_one_hot_bucket(monkeypatch)
+    dealt, compare = [], neardup._joined_in_buckets
+    monkeypatch.setattr(neardup, "_joined_in_buckets", lambda members, shingled: dealt.append(members.select("bucket", F.size(F.collect_set("node").over(Window.partitionBy("bucket"))).alias("n")).agg(F.max("n")).first()[0]) or compare(members, shingled))
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    assert sorted(r["doc_id"] for r in stage(spark, docs, "").collect()) == sorted(set(expected))
+    assert max(dealt) < 20
+
+
+def test_hot_bucket_of_texts_of_all_lengths(spark, monkeypatch):
+    """Beginnings of one text, edited and of all lengths, in one hot bucket: its classes are those of all pairs, at once and in blocks."""
+    rng = random.Random(37)
+    base = prose(rng, 160).split()
+    texts = []
+    for _ in range(240):
+        words = base[: rng.randint(3, 160)]
+        for at in rng.sample(range(len(words)), min(len(words), rng.choice((0, 1, 1, 2, 3)))):
+            words[at] = "".join(rng.choices(VOCABULARY, k=2))
+        texts.append(" ".join(words))
+    texts = list(dict.fromkeys(texts))
+    expected = joined_by_all_pairs(texts, lambda w: common.shingle_hashes(w, 5))
+    assert 20 < len(set(expected)) < len(texts) - 20
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    in_one_hot_bucket(monkeypatch)
+    for members in (4096, 10):
+        monkeypatch.setattr(neardup, "BLOCK_MEMBERS", members)
+        assert {r["doc_id"]: r["class_id"] for r in neardup.classes(df).collect()} == dict(enumerate(expected))
+
+
 def test_long_alignments_in_bands():
     rng = np.random.default_rng(18)
     for n, edits in ((700, 10), (700, 60), (300, 20)):
