@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from scriptoria.functions.text import natural_key
 from scriptoria.sources.pictures import check_jpeg, encoded, png_rows
-from scriptoria.sources.ranges import Counted, store
+from scriptoria.sources.ranges import Counted, names_in, qualified, store
 
 PROBED = T.StructType([T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType()), T.StructField("error", T.StringType())])
 SUFFIXES = ("bmp", "jpeg", "jpg", "png", "tif", "tiff", "webp")
@@ -276,16 +276,20 @@ def opaque_id(path: Column) -> Column:
 
 
 def catalogue(spark: SparkSession, folder: str) -> DataFrame:
-    """The images right in a folder, in natural order: image_id, name, stem, width, height, sha256, size_bytes, modified, error. A bad file is a row with an error."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{" + ",".join([*SUFFIXES, *(s.upper() for s in SUFFIXES)]) + "}").option("recursiveFileLookup", "false").load(folder)
+    """The images right in a folder, in natural order: image_id, name, stem, width, height, sha256, size_bytes, modified, error. A bad file is a row with an error, and so is one without a byte."""
+    root = qualified(spark, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sides out of the first bytes, and the digest of the file streamed, however large it is."""
         for b in batches:
             found = []
-            for path, length in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for name in b.column(0).to_pylist():
+                where, at = store(path := f"{root}/{name}")
+                info = where.get_file_info(at)
+                if info.type != fs.FileType.File:
+                    continue
                 w = h = error = None
-                digest = hashlib.sha256()
+                length, digest = info.size, hashlib.sha256()
                 with Counted(path) as file:
                     head = file.read(0, min(length, HEAD_BYTES))
                     try:
@@ -298,13 +302,13 @@ def catalogue(spark: SparkSession, folder: str) -> DataFrame:
                         error = str(e) if w is None else None
                     for start in range(0, length, 1 << 20):
                         digest.update(file.read(start, 1 << 20))
-                found.append((w, h, error, digest.hexdigest()))
-            kinds = (pa.int32(), pa.int32(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array([f[i] for f in found], t) for i, t in enumerate(kinds))], [*b.schema.names, "width", "height", "error", "sha256"])
+                # Whole milliseconds, as Spark's listing has them.
+                found.append((name, length, None if info.mtime_ns is None else info.mtime_ns // 1_000_000, w, h, error, digest.hexdigest()))
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate(kinds)], ["name", "length", "millis", "width", "height", "error", "sha256"])
 
-    listed = files.select("path", "length", "modificationTime").repartition(max(1, spark.sparkContext.defaultParallelism), "path")
-    told = listed.mapInArrow(run, "path string, length long, modificationTime timestamp, width int, height int, error string, sha256 string")
-    rows = told.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"), "sha256", "width", "height", "error")
+    told = names_in(spark, root, tuple(f".{s}" for s in SUFFIXES)).mapInArrow(run, "name string, length long, millis long, width int, height int, error string, sha256 string")
+    rows = told.select("name", F.col("length").alias("size_bytes"), F.timestamp_millis("millis").alias("modified"), "sha256", "width", "height", "error")
     out = rows.select(opaque_id(F.col("name")).alias("image_id"), "name", F.regexp_replace("name", r"\.[^.]*$", "").alias("stem"), "width", "height", "sha256", "size_bytes", "modified", "error")
     return out.orderBy(natural_key(F.col("name")), "name")
 

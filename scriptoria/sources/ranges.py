@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 from collections.abc import Iterator
+from contextlib import nullcontext
 from typing import Any
 
 import pyarrow as pa
@@ -65,6 +67,52 @@ def files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFra
     return (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path).select("path", "length")
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """A folder's path as every executor has it: with its store, and from the root. Raises FileNotFoundError where there is none."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    where = path.getFileSystem(conf)
+    if not where.exists(path):
+        raise FileNotFoundError(folder)
+    return where.makeQualified(path).toString().rstrip("/")
+
+
+def names_in(spark: SparkSession, folder: str, suffixes: tuple[str, ...]) -> DataFrame:
+    """(name) of what lies right in a folder and has one of `suffixes` (lower-case, with the dot), whatever its case, dealt to tasks by name. `folder` is qualified().
+
+    files() has the driver hold every file of a folder, and plans a task for a few dozen of them. Here one task goes through the names and
+    hands them on, and the driver gets none. A local folder is streamed; of other stores that task holds the list. No file is looked at, so
+    folders may be among the names. Names that are no UTF-8 are left out.
+    """
+
+    def is_text(name: str) -> bool:
+        try:
+            return bool(name.encode())
+        except UnicodeEncodeError:
+            return False
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(held, pa.string())], ["name"])
+
+        for _ in batches:  # one row
+            where, at = store(folder)
+            local = isinstance(where, fs.LocalFileSystem)
+            held: list[str] = []
+            with os.scandir(at) if local else nullcontext(where.get_file_info(fs.FileSelector(at))) as entries:
+                for entry in entries:
+                    name = entry.name if local else entry.base_name
+                    if os.path.splitext(name)[1].lower() in suffixes and is_text(name):
+                        held.append(name)
+                        if len(held) == 4096:
+                            yield told()
+                            held = []
+            yield told()
+
+    tasks = max(1, spark.sparkContext.defaultParallelism * 4)
+    return spark.range(0, 1, 1, 1).mapInArrow(run, "name string").repartition(tasks, "name")
+
+
 class _Ranges(InputPartition):
     def __init__(self, ranges: list[tuple[str, int, int]]) -> None:
         self.ranges = ranges
@@ -206,4 +254,4 @@ def tree_digests(spark: SparkSession, path: str, partition_bytes: int = PARTITIO
     return runs.withColumnRenamed("run", "at").groupBy("path").agg(F.sum("size").alias("length"), joined("digest"))
 
 
-__all__ = ["CHUNK_BYTES", "Counted", "FileRanges", "digests", "files", "read_ranges", "store", "stretch_lines", "tree_digests"]
+__all__ = ["CHUNK_BYTES", "Counted", "FileRanges", "digests", "files", "names_in", "qualified", "read_ranges", "store", "stretch_lines", "tree_digests"]

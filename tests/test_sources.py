@@ -1,4 +1,5 @@
 import json
+import os
 import struct
 import zlib
 
@@ -25,6 +26,30 @@ def test_catalogue(spark, tmp_path):
     assert all(len(r["image_id"]) == 24 for r in got)
 
 
+def test_a_catalogue_is_listed_by_a_task(spark, tmp_path):
+    """The driver gets no file. Files without a byte, suffixes of any case and names that Spark hides are told; folders, broken links and names that are no UTF-8 are not."""
+    folder = tmp_path / "a folder"
+    (folder / "sub.png").mkdir(parents=True)
+    for name in ("_a.PnG", ".b.png", "é 10%.png"):
+        (folder / name).write_bytes(png(3, 4))
+    for name in ("empty.bmp", ".png", "png", "x.png.txt", *(f"n{i}.gif" for i in range(3)), *(f"n{i}.bmp" for i in range(5000))):
+        (folder / name).touch()
+    (folder / "gone.png").symlink_to(tmp_path / "gone.png")
+    (folder / os.fsdecode(b"\xff.png")).touch()
+    found = images.catalogue(spark, str(folder))
+    assert found.inputFiles() == []
+    got = [tuple(r) for r in found.select("name", "width", "height", F.col("error").isNotNull(), "size_bytes", F.unix_millis("modified")).collect()]
+    told = {r[0]: r[1:] for r in got}
+    assert len(got) == len(told) == 5004 and [r[0] for r in got if r[0][0] == "n"] == [f"n{i}.bmp" for i in range(5000)]
+    millis = lambda name: (folder / name).stat().st_mtime_ns // 1_000_000
+    assert all(told[name] == (3, 4, False, len(png(3, 4)), millis(name)) for name in ("_a.PnG", ".b.png", "é 10%.png"))
+    assert told["empty.bmp"] == (None, None, True, 0, millis("empty.bmp"))
+    as_spark_has_it = spark.read.format("binaryFile").option("pathGlobFilter", "*%.png").load(str(folder)).select(F.unix_millis("modificationTime")).first()[0]
+    assert as_spark_has_it == millis("é 10%.png")
+    with pytest.raises(FileNotFoundError):
+        images.catalogue(spark, str(tmp_path / "none"))
+
+
 def test_dataset_shards(spark, tmp_path):
     for i, name in enumerate(("train-00000-of-00002.parquet", "train-00001-of-00002.parquet", "dev-00000-of-00001.parquet", "test.x.parquet")):
         spark.range(i + 1).selectExpr("id", "'x' as text").toPandas().to_parquet(tmp_path / name)
